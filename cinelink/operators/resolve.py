@@ -174,20 +174,21 @@ def assemble(entities):
 
     All masters registered with a tmdb_id; those registered with an imdb_id only,
     unless a tmdb master has acquired that imdb_id; of the rest the last one per
-    (title_norm, year) not covered yet.
+    (title_norm, year) not covered yet. `tier` tells the three apart.
     """
     by_tmdb = entities.where("registered_tmdb is not null")
     covered = by_tmdb.where("imdb_id is not null").select("imdb_id").distinct()
     by_imdb = entities.where("registered_tmdb is null and registered_imdb is not null").join(
         covered, "imdb_id", "left_anti").select(entities.columns)
-    by_id = by_tmdb.union(by_imdb)
+    by_id = by_tmdb.withColumn("tier", F.lit(1)).union(by_imdb.withColumn("tier", F.lit(2)))
     # The last master of a key stands for it, whether or not it has identifiers.
     row = F.struct(*[c for c in entities.columns if c not in ("title_norm", "year")])
     last = entities.groupBy("title_norm", "year").agg(F.max_by(row, "pos").alias("row"))
     last = last.select(*[
         F.col(c) if c in ("title_norm", "year") else F.col(f"row.{c}").alias(c) for c in entities.columns
     ])
-    return by_id.union(uncovered_titles(last, by_id)).drop("registered_tmdb", "registered_imdb")
+    by_title = uncovered_titles(last, by_id).withColumn("tier", F.lit(3))
+    return by_id.union(by_title).drop("registered_tmdb", "registered_imdb")
 
 
 def link_records(records, threshold=None, max_rounds=MAX_ROUNDS):

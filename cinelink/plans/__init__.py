@@ -1 +1,4 @@
-"""Compositions of sources and operators."""
+"""Compositions of sources and operators, and the registered queries."""
+
+from cinelink.plans import text_queries, profile_queries  # noqa: F401
+from cinelink.plans.registry import ORACLES, QUERIES  # noqa: F401
