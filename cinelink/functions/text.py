@@ -34,9 +34,10 @@ def _character(code):
 
 def decode_entities(col):
     """Replace character references; unknown names stay as written."""
-    named = F.create_map(*[
-        F.lit(v) for name, code in sorted(name2codepoint.items()) for v in (name, chr(code))
-    ])
+    named = F.str_to_map(
+        F.lit("\n".join(f"{name}\t{chr(code)}" for name, code in sorted(name2codepoint.items()))),
+        F.lit("\n"), F.lit("\t"),
+    )
 
     def resolve(name):
         return (

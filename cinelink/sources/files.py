@@ -61,7 +61,7 @@ BASICS_HEADER = [
 ]
 RATINGS_HEADER = ["tconst", "averageRating", "numVotes"]
 
-API_PAGE = T.StructType.fromDDL(
+API_PAGE = (
     "page INT, total_pages INT, total_results INT, results ARRAY<STRUCT<"
     "id BIGINT, title STRING, original_title STRING, overview STRING, release_date STRING,"
     "vote_average DOUBLE, vote_count BIGINT, popularity DOUBLE, poster_path STRING,"
