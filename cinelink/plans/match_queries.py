@@ -35,12 +35,12 @@ def deduplicated_records(t):
 
 
 @query("uncovered_ids", f"""
-    WITH {Q.NORMAL} SELECT k, imdb_id FROM normal a WHERE tier = 2 AND NOT EXISTS (
-        SELECT 1 FROM normal b WHERE b.tier = 1 AND b.imdb_id = a.imdb_id)""")
+    WITH {Q.NORMAL} SELECT k, source, imdb_id FROM normal a WHERE imdb_id IS NOT NULL AND NOT EXISTS (
+        SELECT 1 FROM normal b WHERE b.tier = 1 AND b.imdb_id = a.imdb_id AND b.source = a.source)""")
 def uncovered_by_ids(t):
     n = normalize_records(raw_films(t)).withColumn("k", F.col("seq.a"))
-    by_imdb = n.where("tmdb_id is null and imdb_id is not null")
-    return uncovered_ids(by_imdb, n.where("tmdb_id is not null")).select("k", "imdb_id")
+    covering = n.where("tmdb_id is not null")
+    return uncovered_ids(n.where("imdb_id is not null"), covering, ["source"]).select("k", "source", "imdb_id")
 
 
 @query("uncovered_titles", f"""

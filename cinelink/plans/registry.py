@@ -26,3 +26,17 @@ def query(name, sql=None):
         return build
 
     return register
+
+
+def select_list(text):
+    """Split a select list at its top-level commas."""
+    items, depth, quoted, start = [], 0, False, 0
+    for i, ch in enumerate(text):
+        if ch == "'":
+            quoted = not quoted
+        elif not quoted:
+            depth += (ch == "(") - (ch == ")")
+            if ch == "," and depth == 0:
+                items.append(text[start:i].strip())
+                start = i + 1
+    return [*items, text[start:].strip()]

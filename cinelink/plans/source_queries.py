@@ -8,7 +8,7 @@ from cinelink.operators import load
 from cinelink.operators.normalize import normalize_records
 from cinelink.plans import statements as Q
 from cinelink.plans.catalogue import FILMS, films, raw_films
-from cinelink.plans.registry import query
+from cinelink.plans.registry import query, select_list
 from cinelink.runtime import new_path
 from cinelink.sources import files, landed_html
 
@@ -22,6 +22,11 @@ def written(df, label, write):
     return path
 
 
+def columns_of(statement):
+    """The select list of a one-table statement."""
+    return select_list(statement.split("SELECT", 1)[1].rsplit("FROM", 1)[0])
+
+
 def spelled(df):
     """Dates as text, lists joined, order keys as plain numbers: easy to compare."""
     return df.withColumns({
@@ -81,7 +86,7 @@ CATALOGUE = """
     QUALIFY row_number() OVER (PARTITION BY title, release_date ORDER BY tmdb_id) = 1""")
 def catalogue_csv(t):
     film = t.part.selectExpr(
-        *[c.strip() for c in _select_list(CATALOGUE)]
+        *columns_of(CATALOGUE)
     ).select(
         F.col("p_partkey").alias("ID"), F.col("imdb").alias("Imdb_Id"), F.col("title").alias("Title"),
         F.col("year").alias("Year"), F.col("rating").alias("RATING"), F.col("votes").alias("Votes"),
@@ -97,21 +102,6 @@ def catalogue_csv(t):
         "runtime_minutes", "genres", "overview")
 
 
-def _select_list(statement):
-    """The expressions between SELECT and FROM of a one-table statement."""
-    body = statement.split("SELECT", 1)[1].rsplit("FROM", 1)[0]
-    items, depth, quoted, start = [], 0, False, 0
-    for i, ch in enumerate(body):
-        if ch == "'":
-            quoted = not quoted
-        elif not quoted:
-            depth += (ch == "(") - (ch == ")")
-            if ch == "," and depth == 0:
-                items.append(body[start:i])
-                start = i + 1
-    return [*items, body[start:]]
-
-
 @query("split_csv", f"""
     SELECT 'spark' AS source, tmdb_id, imdb_id, title, release_date, vote_average, popularity, budget, runtime_minutes,
         array_to_string(g, '|') AS genres
@@ -147,7 +137,7 @@ BASICS = """
 
 
 def _basics_path(t):
-    cols = [c.replace("'\\N'", "'\\\\N'") for c in _select_list(BASICS)]
+    cols = [c.replace("'\\N'", "'\\\\N'") for c in columns_of(BASICS)]
     b = t.part.selectExpr("p_partkey", *cols)
     # Every film is followed by a second row of the same id, which must lose, and by a
     # row that is too short.
