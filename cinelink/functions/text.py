@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from cinelink.schema import THEME_KEYWORDS
 
-# The blanks of Unicode text, control separators included.
-BLANK = r"[\t-\r\x1c-\x20\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+# The blanks of Unicode text, control separators included. Single
+# characters below 256 share one lookup table; ranges would be tested one by one.
+BLANK = r"[\t\n\x0B\f\r\x1c\x1d\x1e\x1f \x85\xa0\p{Z}]"
 
 # Markup whose content is not text.
 MARKUP = [

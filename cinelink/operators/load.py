@@ -75,21 +75,21 @@ def split_rejected(rows):
     return good, bad.drop("reasons")
 
 
-def _first_of(rows, key):
+def _first_of(rows, key, n):
     """Each row with a key value to the first row holding it: (nr, first)."""
     keyed = rows.where(F.col(key).isNotNull()).select("nr", key)
     first = keyed.groupBy(key).agg(F.min("nr").alias("first"))
-    linked = skew_join(keyed, first, [key], "inner", hot_keys(keyed, [key]), spread_by=["nr"])
+    linked = skew_join(keyed, first, [key], "inner", hot_keys(keyed, [key], at_most=n), spread_by=["nr"])
     return linked.where("first < nr").select("nr", "first")
 
 
 def existing_ids(rows, movies):
     """The stored movie each row denotes: by tmdb_id, else by imdb_id. (nr, by, movie_id)"""
-    found = None
+    found, n = None, rows.count()
     for by in ("tmdb_id", "imdb_id"):
         keyed = rows.where(F.col(by).isNotNull()).select("nr", by)
         stored = movies.where(F.col(by).isNotNull()).select(by, F.col("id").alias("movie_id"))
-        hit = skew_join(keyed, stored, [by], "inner", hot_keys(keyed, [by]), spread_by=["nr"])
+        hit = skew_join(keyed, stored, [by], "inner", hot_keys(keyed, [by], at_most=n), spread_by=["nr"])
         hit = hit.select("nr", F.lit(by).alias("by"), "movie_id")
         found = hit if found is None else found.union(hit.join(found.select("nr"), "nr", "left_anti"))
     return found
@@ -107,9 +107,10 @@ def target_ids(rows, movies, max_rounds=60):
     stored = materialize(existing_ids(rows, movies), "stored")
     by_tmdb = stored.where("by = 'tmdb_id'").select("nr", "movie_id")
     by_imdb = stored.where("by = 'imdb_id'").select("nr", "movie_id")
-    leans = _first_of(rows, "tmdb_id").join(by_tmdb, "nr", "left_anti")
+    n = rows.count()
+    leans = _first_of(rows, "tmdb_id", n).join(by_tmdb, "nr", "left_anti")
     settled = stored.select("nr").union(leans.select("nr"))
-    leans = leans.union(_first_of(rows, "imdb_id").join(settled, "nr", "left_anti"))
+    leans = leans.union(_first_of(rows, "imdb_id", n).join(settled, "nr", "left_anti"))
     leans = materialize(leans, "leans")
     # A row leaning on an earlier one by tmdb_id does so before its stored imdb_id counts.
     own = by_tmdb.union(by_imdb.join(leans.select("nr"), "nr", "left_anti"))

@@ -24,6 +24,10 @@ from cinelink.runtime import hot_keys, materialize, skew_join
 
 MAX_ROUNDS = 100
 
+# Larger edge tables are cut down to the undecided hubs whenever half of the records
+# have been settled; smaller ones are cheaper to read again.
+SHRINK_EDGES = 1_000_000
+
 
 def title_hub(token_key, year):
     """Name of the hub of a title group; null for titles that match nothing."""
@@ -82,6 +86,7 @@ def elect_masters(members, edges, hot=None, max_rounds=MAX_ROUNDS):
     of records that depend on one another; exceeding `max_rounds` raises.
     """
     elected, open_ = [], members
+    at_last_cut, many = members.count(), edges.count() > SHRINK_EDGES
     for _ in range(max_rounds):
         # The first undecided record of each hub, and of its similar hubs.
         lead = open_.groupBy("hub").agg(F.min(F.struct("pos", "hubs")).alias("lead"))
@@ -103,8 +108,15 @@ def elect_masters(members, edges, hot=None, max_rounds=MAX_ROUNDS):
         settled_hubs = won.union(near).distinct()
         settled = skew_join(open_, settled_hubs, ["hub"], "left_semi", hot, spread_by=["pos"])
         open_ = materialize(open_.join(settled.select("pos").distinct(), "pos", "left_anti"), "open")
-        if open_.isEmpty():
+        left = open_.count()
+        if not left:
             return reduce(lambda a, b: a.union(b), elected)
+        if many and left * 2 <= at_last_cut:
+            hubs = open_.select("hub").distinct()
+            edges = edges.join(hubs.withColumnRenamed("hub", "hub_a"), "hub_a", "left_semi")
+            edges = edges.join(hubs.withColumnRenamed("hub", "hub_b"), "hub_b", "left_semi")
+            edges = materialize(edges.select("hub_a", "hub_b", "score"), "edges")
+            at_last_cut, many = left, edges.count() > SHRINK_EDGES
     raise RuntimeError(f"masters not settled after {max_rounds} rounds; raise max_rounds")
 
 
@@ -197,7 +209,7 @@ def link_records(records, threshold=None, max_rounds=MAX_ROUNDS):
     nodes = materialize(match_nodes(records), "nodes")
     edges = materialize(title_edges(nodes, threshold), "edges")
     members = materialize(memberships(nodes), "members")
-    hot = hot_keys(members, ["hub"])
+    hot = hot_keys(members, ["hub"], at_most=members.count())
     masters = materialize(elect_masters(members, edges, hot, max_rounds), "elected")
     followers = materialize(assign_masters(members, edges, masters, hot), "followers")
     # Records without any hub match nothing and are masters too.

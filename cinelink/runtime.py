@@ -39,19 +39,21 @@ def materialize(df, label):
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def hot_keys(df, keys, hot_rows=None):
+def hot_keys(df, keys, hot_rows=None, at_most=None):
     """Keys holding more than `hot_rows` rows and the number of splits each needs.
 
-    Returns None when there is none, so that ordinary data pay only for one
-    map-side combined count.
+    Returns None when there is none, so that ordinary data pay only for one map-side
+    combined count, and not even for that when `df` is known to have `at_most` few
+    rows.
     """
     limit = hot_rows or HOT_ROWS
+    if at_most is not None and at_most <= limit:
+        return None
     hot = (
         df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limit)
         .select(*keys, F.ceil(F.col("n") / limit).cast("int").alias("splits"))
     )
-    hot = materialize(hot, "hot")
-    return None if hot.isEmpty() else hot
+    return None if hot.isEmpty() else materialize(hot, "hot")
 
 
 def skew_join(left, right, keys, how, hot=None, spread_by=None, condition=None):
