@@ -87,11 +87,12 @@ def elect_masters(members, edges, hot=None, max_rounds=MAX_ROUNDS):
     """
     elected, open_ = [], members
     at_last_cut, many = members.count(), edges.count() > SHRINK_EDGES
+    hot_edges = hot_keys(edges, ["hub_b"], at_most=edges.count())
     for _ in range(max_rounds):
         # The first undecided record of each hub, and of its similar hubs.
         lead = open_.groupBy("hub").agg(F.min(F.struct("pos", "hubs")).alias("lead"))
         beside = (
-            edges.join(lead.select(F.col("hub").alias("hub_b"), "lead"), "hub_b")
+            skew_join(edges, lead.withColumnRenamed("hub", "hub_b"), ["hub_b"], "inner", hot_edges, ["hub_a"])
             .groupBy(F.col("hub_a").alias("hub")).agg(F.min("lead.pos").alias("beside"))
         )
         leads = lead.join(beside, "hub", "left").where("beside is null or lead.pos < beside")
@@ -134,7 +135,8 @@ def assign_masters(members, edges, masters, hot=None):
         F.when(kind == "g", -100.0).otherwise(F.lit(0.0)).alias("rank"),
         "master",
     )
-    beside = edges.join(held.withColumnRenamed("hub", "hub_b"), "hub_b").select(
+    hot_edges = hot_keys(edges, ["hub_b"], at_most=edges.count())
+    beside = skew_join(edges, held.withColumnRenamed("hub", "hub_b"), ["hub_b"], "inner", hot_edges, ["hub_a"]).select(
         F.col("hub_a").alias("hub"), F.lit(3).alias("level"), (-F.col("score")).alias("rank"), "master"
     )
     # Per hub and score only the earliest master can win, so the list kept per hub is

@@ -11,7 +11,7 @@ most k edits on k + 1 pieces there is a piece i that has none, with exactly i ed
 before it and at most k - i after it: take the last i for which the edits before
 piece i number at least i. That piece occurs unchanged in the longer title, shifted
 by at most i from its place, and by at most k - i from its place counted from the
-end. So equal (lengths, piece number, piece text) is an equi-join key that misses
+end; since every edit before it moves it by one, the shift has the parity of i. So equal (lengths, piece number, piece text) is an equi-join key that misses
 no pair, for every T.
 """
 
@@ -23,12 +23,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cinelink import schema as S
-from cinelink.runtime import hot_keys, materialize, skew_join
+from cinelink.runtime import grid_join, materialize
 
 # Executors need not have this package: the scoring function travels with the task.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# Index rows under one block key before the key is split over several tasks.
+# Titles under one block key, per side, that one task compares.
 HOT_BLOCK = 50_000
 
 # Titles expanded to block keys by one task.
@@ -70,7 +70,7 @@ def _probe_blocks(threshold):
         filter(sequence({shortest}, n), m -> {k} >= n - m),
         m -> flatten(transform(sequence(0, {k}),
             i -> transform(
-                filter({shifts}, d -> {start} + d >= 0 and {end} + d <= n),
+                filter({shifts}, d -> pmod(d - i, 2) = 0 and {start} + d >= 0 and {end} + d <= n),
                 d -> xxhash64(n, m, i, substring(s, {start} + d + 1, {end} - {start}))))))))"""
 
 
@@ -141,11 +141,8 @@ def candidate_pairs(groups, threshold=S.FUZZY_THRESHOLD):
         (n_a > n_b or s_a > s_b or (s_a = s_b and o_a > o_b))
         and bit_count(bits_a ^ bits_b) <= {k}
         and levenshtein(s_a, s_b, {k}) >= 0""")
-    hot = hot_keys(index, ["block", "band"], HOT_BLOCK)
-    # Sizes are estimated before the explode, so neither side may be broadcast.
-    pairs = skew_join(
-        index, probe.hint("merge"), ["block", "band"], "inner", hot, spread_by=["s_b", "o_b"],
-        condition=worth_scoring,
+    pairs = grid_join(
+        index, probe, ["block", "band"], worth_scoring, HOT_BLOCK, ["s_b", "o_b"], ["s_a", "o_a"]
     )
     return pairs.select("s_a", "y_a", "s_b", "y_b").distinct()
 

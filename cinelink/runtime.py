@@ -56,29 +56,59 @@ def hot_keys(df, keys, hot_rows=None, at_most=None):
     return None if hot.isEmpty() else materialize(hot, "hot")
 
 
-def skew_join(left, right, keys, how, hot=None, spread_by=None, condition=None):
+def skew_join(left, right, keys, how, hot=None, spread_by=None):
     """Equi-join whose hot keys (see `hot_keys`) are spread over several tasks.
 
     Rows of `left` under a hot key are dealt out by a hash of `spread_by`; the
     matching rows of `right` are repeated once per split. `left` is the side that
-    carries the skew, so only inner, left, semi and anti joins make sense.
-    Every other column name must be unique to one side.
+    carries the skew and `right` has few rows per key, so only inner, left, semi and
+    anti joins make sense.
     """
-    if hot is not None:
-        splits = F.coalesce(F.col("splits"), F.lit(1))
-        left = left.join(hot, keys, "left").withColumn(
-            "split", F.pmod(F.xxhash64(*spread_by), splits).cast("int")
-        ).drop("splits")
-        right = right.join(hot, keys, "left").withColumn(
-            "split", F.explode(F.sequence(F.lit(0), (splits - 1).cast("int")))
-        ).drop("splits")
-        keys = [*keys, "split"]
-    if condition is None:
-        out = left.join(right, keys, how)
-    else:
-        out = left.alias("l").join(
-            right.alias("r"),
-            [F.col(f"l.{k}") == F.col(f"r.{k}") for k in keys] + [condition], how,
-        )
-        return out
-    return out.drop("split") if hot is not None else out
+    if hot is None:
+        return left.join(right, keys, how)
+    splits = F.coalesce(F.col("splits"), F.lit(1))
+    left = left.join(hot, keys, "left").withColumn(
+        "split", F.pmod(F.xxhash64(*spread_by), splits).cast("int")
+    ).drop("splits")
+    right = right.join(hot, keys, "left").withColumn(
+        "split", F.explode(F.sequence(F.lit(0), splits - 1))
+    ).drop("splits")
+    return left.join(right, [*keys, "split"], how).drop("split")
+
+
+def grid_join(left, right, keys, condition, cell_rows, spread_left, spread_right):
+    """Inner equi-join with a condition, for keys that are hot on both sides.
+
+    A key with more than `cell_rows` rows on a side is cut into a grid: each row
+    gets a random-looking line on its own side and is repeated along the other, so
+    that every pair meets in exactly one cell and no cell is larger than about
+    `cell_rows` by `cell_rows`. Column names other than the keys must differ.
+    """
+    one, none = F.lit(1), F.lit(0)
+    sizes = (
+        left.select(*keys, one.alias("l"), none.alias("r"))
+        .union(right.select(*keys, none.alias("l"), one.alias("r")))
+        .groupBy(*keys).agg(F.sum("l").alias("l"), F.sum("r").alias("r"))
+        .where((F.col("l") > 0) & (F.col("r") > 0) & (F.greatest("l", "r") > cell_rows))
+    )
+    grid = sizes.select(*keys, *[
+        F.ceil(F.col(side) / cell_rows).cast("int").alias(f"{side}_cuts") for side in ("l", "r")
+    ])
+    if not grid.isEmpty():
+        grid = materialize(grid, "grid")
+
+        def place(df, own, other, spread_by):
+            cuts = F.coalesce(F.col(f"{own}_cuts"), one)
+            across = F.coalesce(F.col(f"{other}_cuts"), one)
+            return df.join(grid, keys, "left").withColumns({
+                f"{own}_cell": F.pmod(F.xxhash64(*spread_by), cuts).cast("int"),
+                f"{other}_cell": F.explode(F.sequence(none, across - 1)),
+            }).drop("l_cuts", "r_cuts")
+
+        left, right = place(left, "l", "r", spread_left), place(right, "r", "l", spread_right)
+        keys = [*keys, "l_cell", "r_cell"]
+    # Sizes are estimated before rows are repeated, so neither side may be broadcast.
+    return left.alias("a").join(
+        right.hint("merge").alias("b"),
+        [F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys] + [condition],
+    )
