@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from cinelink import schema as S
 from cinelink.functions import text
 from cinelink.operators.dedup import uncovered_titles
-from cinelink.operators.similarity import similar_titles
+from cinelink.operators.similarity import Titles
 from cinelink.runtime import hot_keys, materialize, skew_join
 
 MAX_ROUNDS = 100
@@ -56,15 +56,19 @@ def memberships(nodes):
     )
 
 
-def title_edges(nodes, threshold=S.FUZZY_THRESHOLD):
+def title_groups(nodes):
+    return nodes.where("token_key <> ''").select("token_key", "year").distinct()
+
+
+def edges_of(pairs):
     """Similar title groups in both directions: (hub_a, hub_b, score)."""
-    groups = nodes.where("token_key <> ''").select("token_key", "year").distinct()
-    pairs = similar_titles(groups, threshold).select(
+    pairs = pairs.select(
         title_hub(F.col("s_a"), F.col("y_a")).alias("hub_a"),
         title_hub(F.col("s_b"), F.col("y_b")).alias("hub_b"),
         "score",
     )
-    both = F.explode(F.array(F.struct("hub_a", "hub_b"), F.struct(F.col("hub_b").alias("hub_a"), F.col("hub_a").alias("hub_b"))))
+    both = F.explode(F.array(
+        F.struct("hub_a", "hub_b"), F.struct(F.col("hub_b").alias("hub_a"), F.col("hub_a").alias("hub_b"))))
     return pairs.select(both.alias("e"), "score").select("e.hub_a", "e.hub_b", "score")
 
 
@@ -77,6 +81,24 @@ def same_id_links(records, id_column):
     return links.where("earlier < later")
 
 
+def hub_leads(members):
+    """The first record of each hub: (hub, lead), `lead` being (pos, hubs)."""
+    return members.groupBy("hub").agg(F.min(F.struct("pos", "hubs")).alias("lead"))
+
+
+def winners_of(leads):
+    """Records that lead in all their hubs."""
+    return (
+        leads.groupBy("lead").agg(F.count(F.lit(1)).alias("n")).where("n = lead.hubs").select("lead.pos")
+    )
+
+
+def settle(members, hubs, hot):
+    """The members left when everyone in `hubs` has been decided."""
+    settled = skew_join(members, hubs.distinct(), ["hub"], "left_semi", hot, ["pos"])
+    return materialize(members.join(settled.select("pos").distinct(), "pos", "left_anti"), "open")
+
+
 def elect_masters(members, edges, hot=None, max_rounds=MAX_ROUNDS):
     """Positions of the masters among the records of `members`.
 
@@ -85,40 +107,71 @@ def elect_masters(members, edges, hot=None, max_rounds=MAX_ROUNDS):
     neighbourhood follows and leaves. The rounds needed grow with the longest chain
     of records that depend on one another; exceeding `max_rounds` raises.
     """
-    elected, open_ = [], members
-    at_last_cut, many = members.count(), edges.count() > SHRINK_EDGES
+    elected, open_, left = [], members, members.count()
+    at_last_cut, many = left, edges.count() > SHRINK_EDGES
     hot_edges = hot_keys(edges, ["hub_b"], at_most=edges.count())
     for _ in range(max_rounds):
-        # The first undecided record of each hub, and of its similar hubs.
-        lead = open_.groupBy("hub").agg(F.min(F.struct("pos", "hubs")).alias("lead"))
+        if not left:
+            break
+        # The first undecided record of each hub, unless a similar hub has an earlier one.
+        lead = hub_leads(open_)
         beside = (
             skew_join(edges, lead.withColumnRenamed("hub", "hub_b"), ["hub_b"], "inner", hot_edges, ["hub_a"])
             .groupBy(F.col("hub_a").alias("hub")).agg(F.min("lead.pos").alias("beside"))
         )
         leads = lead.join(beside, "hub", "left").where("beside is null or lead.pos < beside")
-        winners = (
-            leads.groupBy("lead").agg(F.count(F.lit(1)).alias("n"))
-            .where("n = lead.hubs").select("lead.pos")
-        )
-        winners = materialize(winners, "masters")
+        winners = materialize(winners_of(leads), "masters")
         elected.append(winners)
         # Hubs with a master now, similar hubs included, settle all their members.
         won = open_.join(winners, "pos", "left_semi").select("hub")
-        near = edges.join(won.withColumnRenamed("hub", "hub_a"), "hub_a", "left_semi").select(
-            F.col("hub_b").alias("hub"))
-        settled_hubs = won.union(near).distinct()
-        settled = skew_join(open_, settled_hubs, ["hub"], "left_semi", hot, spread_by=["pos"])
-        open_ = materialize(open_.join(settled.select("pos").distinct(), "pos", "left_anti"), "open")
+        near = edges.join(won.withColumnRenamed("hub", "hub_a"), "hub_a", "left_semi").select("hub_b")
+        open_ = settle(open_, won.union(near), hot)
         left = open_.count()
-        if not left:
-            return reduce(lambda a, b: a.union(b), elected)
-        if many and left * 2 <= at_last_cut:
-            hubs = open_.select("hub").distinct()
-            edges = edges.join(hubs.withColumnRenamed("hub", "hub_a"), "hub_a", "left_semi")
-            edges = edges.join(hubs.withColumnRenamed("hub", "hub_b"), "hub_b", "left_semi")
-            edges = materialize(edges.select("hub_a", "hub_b", "score"), "edges")
+        if many and left and left * 2 <= at_last_cut:
+            edges = materialize(among_hubs(edges, open_), "edges")
             at_last_cut, many = left, edges.count() > SHRINK_EDGES
-    raise RuntimeError(f"masters not settled after {max_rounds} rounds; raise max_rounds")
+    if left:
+        raise RuntimeError(f"masters not settled after {max_rounds} rounds; raise max_rounds")
+    return reduce(lambda a, b: a.union(b), elected) if elected else members.select("pos").limit(0)
+
+
+def among_hubs(edges, members):
+    """Edges between hubs that still have members."""
+    hubs = members.select("hub").distinct()
+    for side in ("hub_a", "hub_b"):
+        edges = edges.join(hubs.withColumnRenamed("hub", side), side, "left_semi")
+    return edges.select("hub_a", "hub_b", "score")
+
+
+def absorb_crowds(members, nodes, titles, hot):
+    """Masters found without comparing titles pairwise, and the members left over.
+
+    For crowded blocks, where the pairs may be too many to list. A record that leads
+    its hubs and comes first under all block keys of its title is a master for
+    certain; only the titles of such masters are compared with the rest, which
+    removes crowds of near copies at a cost that grows with their number. Stops when
+    a round settles less than a tenth of what was left.
+    """
+    found, open_, left = [], members, members.count()
+    hubs = nodes.select(title_hub(F.col("token_key"), F.col("year")).alias("hub"), "token_key", "year").where(
+        "hub is not null").distinct()
+    hubs = materialize(hubs, "title-hubs")
+    while left:
+        lead = hub_leads(open_)
+        named = lead.join(hubs, "hub").select("hub", "token_key", "year", F.col("lead.pos").alias("lead"))
+        first = titles.first_in_blocks(named).select(title_hub(F.col("token_key"), F.col("year")).alias("hub"))
+        others = lead.where("not startswith(hub, 'g')")
+        winners = materialize(winners_of(others.union(lead.join(first, "hub", "left_semi"))), "masters")
+        won = open_.join(winners, "pos", "left_semi").select("hub")
+        chosen = titles.subset(hubs.join(won, "hub", "left_semi"))
+        near = edges_of(titles.pairs(chosen)).join(
+            won.withColumnRenamed("hub", "hub_a"), "hub_a", "left_semi").select("hub_b")
+        found.append(winners)
+        open_ = settle(open_, won.union(near), hot)
+        before, left = left, open_.count()
+        if left * 10 > before * 9:
+            break
+    return found, open_
 
 
 def assign_masters(members, edges, masters, hot=None):
@@ -209,10 +262,21 @@ def link_records(records, threshold=None, max_rounds=MAX_ROUNDS):
     """Every record's master: (pos, master, level, score); masters have level 0."""
     threshold = S.FUZZY_THRESHOLD if threshold is None else float(threshold)
     nodes = materialize(match_nodes(records), "nodes")
-    edges = materialize(title_edges(nodes, threshold), "edges")
+    titles = Titles(title_groups(nodes), threshold)
     members = materialize(memberships(nodes), "members")
     hot = hot_keys(members, ["hub"], at_most=members.count())
-    masters = materialize(elect_masters(members, edges, hot, max_rounds), "elected")
+    if titles.crowded() is None:
+        edges = materialize(edges_of(titles.pairs()), "edges")
+        masters = materialize(elect_masters(members, edges, hot, max_rounds), "elected")
+    else:
+        found, open_ = absorb_crowds(members, nodes, titles, hot)
+        rest = Titles(title_groups(nodes.join(open_.select("pos").distinct(), "pos", "left_semi")), threshold)
+        edges = materialize(edges_of(rest.pairs(grid=rest.crowded())), "edges")
+        found.append(elect_masters(open_, edges, hot, max_rounds))
+        masters = materialize(reduce(lambda a, b: a.union(b), found), "elected")
+        # Followers choose among the masters only.
+        held = title_groups(nodes.join(masters, "pos", "left_semi"))
+        edges = materialize(edges_of(titles.pairs(titles.subset(held))), "edges")
     followers = materialize(assign_masters(members, edges, masters, hot), "followers")
     # Records without any hub match nothing and are masters too.
     own = nodes.select("pos").join(followers.select("pos"), "pos", "left_anti")

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cinelink import schema as S
-from cinelink.runtime import grid_join, materialize
+from cinelink.runtime import grid_join, hot_grid, materialize
 
 # Executors need not have this package: the scoring function travels with the task.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -111,40 +111,99 @@ def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     ], dtype="float64")
 
 
-def candidate_pairs(groups, threshold=S.FUZZY_THRESHOLD):
-    """Pairs of title groups that pass every cheap bound (see `similar_titles`)."""
-    g = materialize(
-        groups.where("token_key <> ''")
-        .selectExpr("token_key as s", "year as y", "length(token_key) as n", "coalesce(year, -1) as o")
-        .withColumn("bits", F.expr(_SIGNATURE)),
-        "titles",
-    )
-    # Every title becomes a hundred block keys or more, so partitions start small.
-    spark = g.sparkSession
-    g = g.repartition(
-        max(spark.sparkContext.defaultParallelism, g.count() // TITLES_PER_TASK + 1), "s", "y"
-    )
-    undated = not g.where("y is null").isEmpty()
-    near = "sequence(y - 1, y + 1)"
-    index_years = f"if(y is null, array({UNKNOWN}), concat({near}, array({ANY})))" if undated else near
-    probe_years = f"if(y is null, array({ANY}, {UNKNOWN}), array(y, {UNKNOWN}))" if undated else "array(y)"
-
-    def blocks(years, keys, side):
-        out = g.withColumn("block", F.expr(f"explode({keys})"))
-        out = out.withColumn("band", F.expr(f"explode({years})"))
-        return out.select("block", "band", *[F.col(c).alias(f"{c}_{side}") for c in ("s", "y", "n", "o", "bits")])
-
-    index = blocks(index_years, _index_blocks(threshold), "b")
-    probe = blocks(probe_years, _probe_blocks(threshold), "a")
-    k = _max_edits("n_a", "n_b", threshold)
-    worth_scoring = F.expr(f"""
-        (n_a > n_b or s_a > s_b or (s_a = s_b and o_a > o_b))
-        and bit_count(bits_a ^ bits_b) <= {k}
-        and levenshtein(s_a, s_b, {k}) >= 0""")
-    pairs = grid_join(
-        index, probe, ["block", "band"], worth_scoring, HOT_BLOCK, ["s_b", "o_b"], ["s_a", "o_a"]
-    )
-    return pairs.select("s_a", "y_a", "s_b", "y_b").distinct()
+class Titles:
+    """Distinct (token_key, year) groups prepared for blocking; stored once.
+
+    Columns of `table`: s and y (the group), n (length), o (y or -1), bits (signature).
+    """
+
+    def __init__(self, groups, threshold):
+        if not 0 < threshold <= 100:
+            raise ValueError("threshold must be in (0, 100]")
+        self.threshold = threshold
+        self.table = materialize(
+            groups.where("token_key <> ''").selectExpr(
+                "token_key as s", "year as y", "length(token_key) as n", "coalesce(year, -1) as o")
+            .withColumn("bits", F.expr(_SIGNATURE)),
+            "titles",
+        )
+        undated = not self.table.where("y is null").isEmpty()
+        near = "sequence(y - 1, y + 1)"
+        self.index_bands = f"if(y is null, array({UNKNOWN}), concat({near}, array({ANY})))" if undated else near
+        self.probe_bands = f"if(y is null, array({ANY}, {UNKNOWN}), array(y, {UNKNOWN}))" if undated else "array(y)"
+        self.index_blocks, self.probe_blocks = _index_blocks(threshold), _probe_blocks(threshold)
+
+    def spread(self, table):
+        """Every title becomes a hundred block keys or more, so partitions start small."""
+        tasks = max(table.sparkSession.sparkContext.defaultParallelism, table.count() // TITLES_PER_TASK + 1)
+        return table.repartition(tasks, "s", "y")
+
+    def keyed(self, table, role):
+        """One row per title and block key, columns suffixed by the role (b index, a probe)."""
+        blocks, bands = (
+            (self.index_blocks, self.index_bands) if role == "b" else (self.probe_blocks, self.probe_bands)
+        )
+        out = self.spread(table).withColumn("block", F.expr(f"explode({blocks})"))
+        out = out.withColumn("band", F.expr(f"explode({bands})"))
+        return out.select("block", "band", *[F.col(c).alias(f"{c}_{role}") for c in ("s", "y", "n", "o", "bits")])
+
+    def subset(self, groups):
+        """The titles among `groups` (token_key, year)."""
+        chosen = groups.selectExpr("token_key as s", "coalesce(year, -1) as o").distinct()
+        return materialize(self.table.join(chosen, ["s", "o"], "left_semi").select(self.table.columns), "titles")
+
+    def crowded(self):
+        """Whether some block holds more titles than one task should compare."""
+        return hot_grid(self.keyed(self.table, "b"), self.keyed(self.table, "a"), ["block", "band"], HOT_BLOCK)
+
+    def candidates(self, index, probe, grid=None):
+        """Pairs of an index and a probe title that pass every cheap bound."""
+        k = _max_edits("n_a", "n_b", self.threshold)
+        worth_scoring = F.expr(f"""
+            (n_a > n_b or s_a > s_b or (s_a = s_b and o_a > o_b))
+            and bit_count(bits_a ^ bits_b) <= {k}
+            and levenshtein(s_a, s_b, {k}) >= 0""")
+        return grid_join(
+            self.keyed(index, "b"), self.keyed(probe, "a"), ["block", "band"], worth_scoring, grid,
+            ["s_b", "o_b"], ["s_a", "o_a"],
+        ).select("s_a", "y_a", "s_b", "y_b")
+
+    def pairs(self, among=None, grid=None):
+        """All pairs scoring at least the threshold: (s_a, y_a, s_b, y_b, score).
+
+        With `among`, a subset of the titles, only pairs with a member in it.
+        """
+        if among is None:
+            found = self.candidates(self.table, self.table, grid)
+        else:
+            # The subset may still crowd a block with the others.
+            sides = [(self.table, among), (among, self.table)]
+            found = None
+            for index, probe in sides:
+                cells = hot_grid(self.keyed(index, "b"), self.keyed(probe, "a"), ["block", "band"], HOT_BLOCK)
+                one = self.candidates(index, probe, cells)
+                found = one if found is None else found.union(one)
+        scored = found.distinct().withColumn("score", similarity("s_a", "s_b"))
+        return scored.where(F.col("score") >= self.threshold)
+
+    def first_in_blocks(self, leads):
+        """Groups whose `lead` precedes that of every group they might be similar to.
+
+        `leads` is (token_key, year, lead). Two similar groups share a block key, so a
+        group that comes first under all its keys has no earlier similar group. Needs
+        one row per key, never a pair. Returns (token_key, year).
+        """
+        ranked = self.table.join(
+            leads.selectExpr("token_key as s", "coalesce(year, -1) as o", "lead"), ["s", "o"])
+        keys = " , ".join(
+            f"flatten(transform({blocks}, b -> transform({bands}, y -> xxhash64(b, y))))"
+            for blocks, bands in ((self.index_blocks, self.index_bands), (self.probe_blocks, self.probe_bands))
+        )
+        keyed = self.spread(ranked).select("s", "y", "lead", F.expr(f"array_distinct(concat({keys}))").alias("keys"))
+        group = F.struct("lead", "s", "y", F.size("keys").alias("keys"))
+        first = keyed.select(F.explode("keys").alias("key"), group.alias("g")).groupBy("key").agg(F.min("g").alias("g"))
+        won = first.groupBy("g").agg(F.count(F.lit(1)).alias("n")).where("n = g.keys")
+        return won.select(F.col("g.s").alias("token_key"), F.col("g.y").alias("year"))
 
 
 def similar_titles(groups, threshold=S.FUZZY_THRESHOLD):
@@ -153,8 +212,5 @@ def similar_titles(groups, threshold=S.FUZZY_THRESHOLD):
     Years may differ by one; an unknown year matches any. Each pair appears once, as
     (s_a, y_a, s_b, y_b, score). `groups` must hold every group once.
     """
-    if not 0 < threshold <= 100:
-        raise ValueError("threshold must be in (0, 100]")
-    pairs = candidate_pairs(groups, threshold)
-    scored = pairs.withColumn("score", similarity("s_a", "s_b"))
-    return scored.where(F.col("score") >= threshold)
+    titles = Titles(groups, threshold)
+    return titles.pairs(grid=titles.crowded())

@@ -76,14 +76,8 @@ def skew_join(left, right, keys, how, hot=None, spread_by=None):
     return left.join(right, [*keys, "split"], how).drop("split")
 
 
-def grid_join(left, right, keys, condition, cell_rows, spread_left, spread_right):
-    """Inner equi-join with a condition, for keys that are hot on both sides.
-
-    A key with more than `cell_rows` rows on a side is cut into a grid: each row
-    gets a random-looking line on its own side and is repeated along the other, so
-    that every pair meets in exactly one cell and no cell is larger than about
-    `cell_rows` by `cell_rows`. Column names other than the keys must differ.
-    """
+def hot_grid(left, right, keys, cell_rows):
+    """Keys with more than `cell_rows` rows on a side, and the cuts each side needs."""
     one, none = F.lit(1), F.lit(0)
     sizes = (
         left.select(*keys, one.alias("l"), none.alias("r"))
@@ -94,15 +88,24 @@ def grid_join(left, right, keys, condition, cell_rows, spread_left, spread_right
     grid = sizes.select(*keys, *[
         F.ceil(F.col(side) / cell_rows).cast("int").alias(f"{side}_cuts") for side in ("l", "r")
     ])
-    if not grid.isEmpty():
-        grid = materialize(grid, "grid")
+    return None if grid.isEmpty() else materialize(grid, "grid")
+
 
+def grid_join(left, right, keys, condition, grid, spread_left, spread_right):
+    """Inner equi-join with a condition, for keys that are hot on both sides.
+
+    A key listed in `grid` (see `hot_grid`) is cut into cells: each row gets a
+    random-looking line on its own side and is repeated along the other, so that
+    every pair meets in exactly one cell and no cell is larger than about the rows
+    allowed per side. Column names other than the keys must differ.
+    """
+    if grid is not None:
         def place(df, own, other, spread_by):
-            cuts = F.coalesce(F.col(f"{own}_cuts"), one)
-            across = F.coalesce(F.col(f"{other}_cuts"), one)
+            cuts = F.coalesce(F.col(f"{own}_cuts"), F.lit(1))
+            across = F.coalesce(F.col(f"{other}_cuts"), F.lit(1))
             return df.join(grid, keys, "left").withColumns({
                 f"{own}_cell": F.pmod(F.xxhash64(*spread_by), cuts).cast("int"),
-                f"{other}_cell": F.explode(F.sequence(none, across - 1)),
+                f"{other}_cell": F.explode(F.sequence(F.lit(0), across - 1)),
             }).drop("l_cuts", "r_cuts")
 
         left, right = place(left, "l", "r", spread_left), place(right, "r", "l", spread_right)

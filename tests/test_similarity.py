@@ -4,8 +4,7 @@ import random
 
 import pytest
 
-from cinelink.operators.similarity import similar_titles
-from cinelink.runtime import materialize
+from cinelink.operators.similarity import Titles, similar_titles
 from statement import lcs
 
 
@@ -45,8 +44,6 @@ def test_blocking_equals_brute_force(spark, threshold):
 
 
 def test_neither_side_of_the_block_join_is_broadcast(spark):
-    from cinelink.operators.similarity import candidate_pairs
-
-    df = materialize(spark.createDataFrame([("abc", 2000), ("abd", 2000)], "token_key string, year int"), "t")
-    plan = candidate_pairs(df)._jdf.queryExecution().executedPlan().toString()
+    titles = Titles(spark.createDataFrame([("abc", 2000), ("abd", 2000)], "token_key string, year int"), 85.0)
+    plan = titles.candidates(titles.table, titles.table)._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "Broadcast" not in plan and "Cartesian" not in plan
