@@ -38,7 +38,7 @@ def keep_best(df, keys, score, order):
 def uncovered_ids(survivors, covering, by=()):
     """Survivors keyed by imdb_id that no id-keyed survivor covers."""
     covered = covering.where("imdb_id is not null").select(*by, "imdb_id").distinct()
-    return survivors.join(covered, [*by, "imdb_id"], "left_anti")
+    return survivors.join(covered, [*by, "imdb_id"], "left_anti").select(survivors.columns)
 
 
 def uncovered_titles(survivors, covering, by=()):
@@ -80,11 +80,14 @@ def deduplicate(df):
         ),
     ).drop("first_seen")
     best = materialize(best, "survivors")
-    by_tmdb = best.where("tier = 1")
-    by_imdb = uncovered_ids(best.where("tier = 2"), by_tmdb, ["source"])
+    # The tiers cover one another by their keys alone; whole rows move once, by `pos`.
+    keys = best.select("pos", "source", "tier", "imdb_id", "title_norm", "year")
+    by_tmdb = keys.where("tier = 1")
+    by_imdb = uncovered_ids(keys.where("tier = 2"), by_tmdb, ["source"])
     by_id = by_tmdb.unionByName(by_imdb)
-    by_title = uncovered_titles(best.where("tier = 3"), by_id, ["source"])
-    return by_id.unionByName(by_title).drop("tier")
+    by_title = uncovered_titles(keys.where("tier = 3"), by_id, ["source"])
+    kept = by_id.unionByName(by_title).select("pos")
+    return best.join(kept, "pos", "left_semi").drop("tier")
 
 
 def removed_counts(before, after):

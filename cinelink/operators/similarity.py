@@ -152,9 +152,13 @@ class Titles:
         chosen = groups.selectExpr("token_key as s", "coalesce(year, -1) as o").distinct()
         return materialize(self.table.join(chosen, ["s", "o"], "left_semi").select(self.table.columns), "titles")
 
-    def crowded(self):
-        """Whether some block holds more titles than one task should compare."""
-        return hot_grid(self.keyed(self.table, "b"), self.keyed(self.table, "a"), ["block", "band"], HOT_BLOCK)
+    def crowded(self, index=None, probe=None):
+        """Blocks with more titles than one task should compare, None when there are none."""
+        index, probe = (self.table if t is None else t for t in (index, probe))
+        # A title has a block key once, so a block is never larger than its table.
+        if max(index.count(), probe.count()) <= HOT_BLOCK:
+            return None
+        return hot_grid(self.keyed(index, "b"), self.keyed(probe, "a"), ["block", "band"], HOT_BLOCK)
 
     def candidates(self, index, probe, grid=None):
         """Pairs of an index and a probe title that pass every cheap bound."""
@@ -180,8 +184,7 @@ class Titles:
             sides = [(self.table, among), (among, self.table)]
             found = None
             for index, probe in sides:
-                cells = hot_grid(self.keyed(index, "b"), self.keyed(probe, "a"), ["block", "band"], HOT_BLOCK)
-                one = self.candidates(index, probe, cells)
+                one = self.candidates(index, probe, self.crowded(index, probe))
                 found = one if found is None else found.union(one)
         scored = found.distinct().withColumn("score", similarity("s_a", "s_b"))
         return scored.where(F.col("score") >= self.threshold)
