@@ -3,54 +3,61 @@
 from pyspark.sql import functions as F
 
 from cinelink.functions.text import BLANK
-from cinelink.schema import DATE_NULL_TOKENS
 
 # Accepted layouts. Slashed and dashed numbers are month first, day
 # first when the first number cannot be a month. Each layout names the shape it is
-# tried on, so a value reaches at most a few parsers.
+# tried on ("~" is a run of blanks), so a value reaches at most a few parsers.
 LAYOUTS = [
-    (r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$", ["yyyy-M-d"]),
-    (r"^[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}$", ["yyyy/M/d"]),
-    (r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}[T ][0-9]{1,2}:[0-9]{2}", ["yyyy-M-d"]),
-    (r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$", ["M/d/yyyy", "d/M/yyyy"]),
-    (r"^[0-9]{1,2}-[0-9]{1,2}-[0-9]{4}$", ["M-d-yyyy", "d-M-yyyy"]),
-    (r"^[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4}$", ["M.d.yyyy", "d.M.yyyy"]),
-    (r"^[A-Za-z]{3} [0-9]{1,2},? [0-9]{4}$", ["MMM d yyyy"]),
-    (r"^[A-Za-z]{3,9} [0-9]{1,2},? [0-9]{4}$", ["MMMM d yyyy"]),
-    (r"^[0-9]{1,2} [A-Za-z]{3},? [0-9]{4}$", ["d MMM yyyy"]),
-    (r"^[0-9]{1,2} [A-Za-z]{3,9},? [0-9]{4}$", ["d MMMM yyyy"]),
-    (r"^[A-Za-z]{3},? [0-9]{4}$", ["MMM yyyy"]),
-    (r"^[A-Za-z]{3,9},? [0-9]{4}$", ["MMMM yyyy"]),
-    (r"^[0-9]{8}$", ["yyyyMMdd"]),
-    (r"^[0-9]{4}-[0-9]{1,2}$", ["yyyy-M"]),
-    (r"^[0-9]{1,2}/[0-9]{4}$", ["M/yyyy"]),
+    (r"[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}", ["yyyy-M-d"]),
+    (r"[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}", ["yyyy/M/d"]),
+    (r"[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}(?:T|~)[0-9]{1,2}:[0-9]{2}.*", ["yyyy-M-d"]),
+    (r"[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}", ["M/d/yyyy", "d/M/yyyy"]),
+    (r"[0-9]{1,2}-[0-9]{1,2}-[0-9]{4}", ["M-d-yyyy", "d-M-yyyy"]),
+    (r"[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4}", ["M.d.yyyy", "d.M.yyyy"]),
+    (r"[A-Za-z]{3}~[0-9]{1,2},?~[0-9]{4}", ["MMM d yyyy"]),
+    (r"[A-Za-z]{3,9}~[0-9]{1,2},?~[0-9]{4}", ["MMMM d yyyy"]),
+    (r"[0-9]{1,2}~[A-Za-z]{3},?~[0-9]{4}", ["d MMM yyyy"]),
+    (r"[0-9]{1,2}~[A-Za-z]{3,9},?~[0-9]{4}", ["d MMMM yyyy"]),
+    (r"[A-Za-z]{3},?~[0-9]{4}", ["MMM yyyy"]),
+    (r"[A-Za-z]{3,9},?~[0-9]{4}", ["MMMM yyyy"]),
+    (r"[0-9]{8}", ["yyyyMMdd"]),
+    (r"[0-9]{4}-[0-9]{1,2}", ["yyyy-M"]),
+    (r"[0-9]{1,2}/[0-9]{4}", ["M/yyyy"]),
 ]
 
 
+def _has_shape(col, shape):
+    return col.rlike(f"^{BLANK}*(?:{shape.replace('~', BLANK + '+')}){BLANK}*$")
+
+
 def null_tokens(col, tokens):
     """Null when the text is one of `tokens`."""
     return F.when(~col.isin(tokens), col)
 
 
 def parse_date(col):
-    """Date from text; a missing month or day becomes 01, anything unknown null."""
-    text = F.trim(F.regexp_replace(col.cast("string"), BLANK + "+", " "))
-    text = null_tokens(text, DATE_NULL_TOKENS)
+    """Date from text; a missing month or day becomes 01, anything unknown null.
+
+    Null tokens have no accepted shape. The text is cleaned only in the branch whose
+    shape it has.
+    """
+    raw = col.cast("string")
+    text = F.trim(F.regexp_replace(raw, BLANK + "+", " "))
     # Month names as the parser expects them, without commas or the time of day.
     words = F.initcap(F.regexp_replace(text, ",", ""))
     day_part = F.regexp_replace(text, "[T ][0-9]{1,2}:.*$", "")
     parsed = F.when(
-        text.rlike("^[0-9]{1,4}$"), F.make_date(text.try_cast("int"), F.lit(1), F.lit(1))
+        _has_shape(raw, "[0-9]{1,4}"), F.make_date(text.try_cast("int"), F.lit(1), F.lit(1))
     )
     for shape, layouts in LAYOUTS:
         if "A-Za-z" in shape:
             value = words
-        elif ":" in shape:
+        elif ":[0-9]" in shape:
             value = day_part
         else:
             value = text
         parsed = parsed.when(
-            text.rlike(shape), F.coalesce(*[F.try_to_date(value, f) for f in layouts])
+            _has_shape(raw, shape), F.coalesce(*[F.try_to_date(value, f) for f in layouts])
         )
     return parsed
 

@@ -60,7 +60,9 @@ def strip_markup(col):
     out = col
     for pattern in MARKUP:
         out = F.regexp_replace(out, pattern, " ")
-    return decode_entities(out)
+    # The list of one gives the stripped text a name, so that it is computed once.
+    decoded = F.transform(F.array(out), decode_entities)[0]
+    return F.when(col.contains("&"), decoded).otherwise(out)
 
 
 def collapse_blanks(col):

@@ -10,8 +10,7 @@ UNKNOWN_PRIORITY = 99
 # Sources whose extraction already applies the theme.
 PREFILTERED_SOURCES = ["tmdb", "imdb", "spark"]
 
-# Null tokens of the date normaliser and of the catalogue CSV.
-DATE_NULL_TOKENS = ["\\N", "N/A", "NA", "null", ""]
+# Null tokens of the catalogue CSV.
 CSV_NULL_TOKENS = ["", "N/A", "NA", "null", "None"]
 
 # Thematic keywords, genre term, genre id of the API.
