@@ -88,7 +88,7 @@ def existing_ids(rows, movies):
     found, n = None, rows.count()
     for by in ("tmdb_id", "imdb_id"):
         keyed = rows.where(F.col(by).isNotNull()).select("nr", by)
-        stored = movies.where(F.col(by).isNotNull()).select(by, F.col("id").alias("movie_id"))
+        stored = movies.where(F.col(by).isNotNull()).groupBy(by).agg(F.min("id").alias("movie_id"))
         hit = skew_join(keyed, stored, [by], "inner", hot_keys(keyed, [by], at_most=n), spread_by=["nr"])
         hit = hit.select("nr", F.lit(by).alias("by"), "movie_id")
         found = hit if found is None else found.union(hit.join(found.select("nr"), "nr", "left_anti"))

@@ -21,8 +21,8 @@ def missing(df, columns):
     ])).alias("r")).select("r.*")
 
 
-def out_of_range(df, column, low=None, high=None, above=None):
-    """Rows whose value is below `low`, over `high` or not over `above`."""
+def beyond(column, low=None, high=None, above=None):
+    """Condition: the value is below `low`, over `high` or not over `above`."""
     bad = F.lit(False)
     if low is not None:
         bad = bad | (F.col(column) < low)
@@ -30,7 +30,11 @@ def out_of_range(df, column, low=None, high=None, above=None):
         bad = bad | (F.col(column) > high)
     if above is not None:
         bad = bad | (F.col(column) <= above)
-    return df.where(bad)
+    return bad
+
+
+def out_of_range(df, column, low=None, high=None, above=None):
+    return df.where(beyond(column, low, high, above))
 
 
 def not_in(df, column, values):
@@ -70,41 +74,66 @@ def delete_movies(tables, doomed):
     }
 
 
+def row_rules():
+    """Conditions that a single row breaks: {table: {check: condition}}."""
+    rules = {
+        "movies": {
+            "title not null": F.col("title").isNull(),
+            "runtime_minutes > 0": beyond("runtime_minutes", above=0),
+        },
+        "genres": {"name not null": F.col("name").isNull()},
+        "ratings": {
+            "source not null": F.col("source").isNull(),
+            "scale not null": F.col("scale").isNull(),
+            "score >= 0": beyond("score", low=0),
+            "vote_count >= 0": beyond("vote_count", low=0),
+            "source known": ~F.col("source").isin(S.SOURCES),
+        },
+        "rt_details": {
+            "tomatometer_score 0-100": beyond("tomatometer_score", 0, 100),
+            "audience_score 0-100": beyond("audience_score", 0, 100),
+        },
+        "ingestion_logs": {
+            "status not null": F.col("status").isNull(),
+            "status known": ~F.col("status").isin(S.LOG_STATUS),
+        },
+    }
+    for table, limits in S.MAX_LENGTHS.items():
+        for c, n in limits.items():
+            rules[table][f"{c} at most {n} long"] = F.length(c) > n
+    return rules
+
+
 def audit(tables):
-    """Violations of every declared constraint: (table_name, check_name, violations)."""
+    """Violations of every declared constraint: (table_name, check_name, violations).
+
+    All rules on single rows of a table are counted in one pass over it.
+    """
     m, g, mg, r, d, logs = (tables[n] for n in S.TARGET_TABLES)
-    checks = [
+    rows = []
+    for table, rules in row_rules().items():
+        counted = tables[table].agg(*[F.count_if(bad).alias(name) for name, bad in rules.items()])
+        rows.append(counted.select(F.explode(F.array(*[
+            F.struct(F.lit(table).alias("table_name"), F.lit(name).alias("check_name"),
+                     F.col(f"`{name}`").alias("violations"))
+            for name in rules
+        ])).alias("r")).select("r.*"))
+    between_rows = [
         ("movies", "unique tmdb_id", duplicate_keys(m, ["tmdb_id"])),
         ("movies", "unique imdb_id", duplicate_keys(m, ["imdb_id"])),
         ("genres", "unique name", duplicate_keys(g, ["name"])),
         ("ratings", "unique movie_id, source", duplicate_keys(r, ["movie_id", "source"])),
         ("rt_details", "unique movie_id", duplicate_keys(d, ["movie_id"])),
-        ("movies", "title not null", m.where("title is null")),
-        ("genres", "name not null", g.where("name is null")),
-        ("ratings", "source not null", r.where("source is null")),
-        ("ratings", "scale not null", r.where("scale is null")),
-        ("ingestion_logs", "status not null", logs.where("status is null")),
-        ("movies", "runtime_minutes > 0", out_of_range(m, "runtime_minutes", above=0)),
-        ("ratings", "score >= 0", out_of_range(r, "score", low=0)),
-        ("ratings", "vote_count >= 0", out_of_range(r, "vote_count", low=0)),
-        ("rt_details", "tomatometer_score 0-100", out_of_range(d, "tomatometer_score", 0, 100)),
-        ("rt_details", "audience_score 0-100", out_of_range(d, "audience_score", 0, 100)),
-        ("ratings", "source known", not_in(r, "source", S.SOURCES)),
-        ("ingestion_logs", "status known", not_in(logs, "status", S.LOG_STATUS)),
         ("movie_genres", "movie exists", orphans(mg, "movie_id", m, "id")),
         ("movie_genres", "genre exists", orphans(mg, "genre_id", g, "id")),
         ("ratings", "movie exists", orphans(r, "movie_id", m, "id")),
         ("rt_details", "movie exists", orphans(d, "movie_id", m, "id")),
         ("ingestion_logs", "movie exists", orphans(logs, "movie_id", m, "id")),
     ]
-    checks += [
-        (t, f"{c} at most {n} long", too_long(tables[t], c, n))
-        for t, limits in S.MAX_LENGTHS.items() for c, n in limits.items()
-    ]
-    rows = [
+    rows += [
         df.agg(F.count(F.lit(1)).alias("violations")).select(
             F.lit(t).alias("table_name"), F.lit(c).alias("check_name"), "violations")
-        for t, c, df in checks
+        for t, c, df in between_rows
     ]
     return reduce(lambda a, b: a.union(b), rows)
 

@@ -22,7 +22,7 @@ from cinelink.operators.dedup import uncovered_titles
 from cinelink.operators.similarity import Titles
 from cinelink.runtime import hot_keys, materialize, skew_join
 
-MAX_ROUNDS = 100
+MAX_ROUNDS = 1000
 
 # Larger edge tables are cut down to the undecided hubs whenever half of the records
 # have been settled; smaller ones are cheaper to read again.

@@ -310,6 +310,7 @@ FAULTY = {
 
 
 def _audit_sql():
+    """Counts over the faulty tables, and the zeros expected after a load."""
     count = lambda table, where: f"(SELECT count(*) FROM f_{table} WHERE {where})"
     twice = lambda table, *keys: (
         f"(SELECT count(*) FROM (SELECT 1 FROM f_{table} WHERE {' AND '.join(f'{k} IS NOT NULL' for k in keys)} "
@@ -347,10 +348,11 @@ def _audit_sql():
     tables = ", ".join(f"f_{n} AS ({s})" for n, s in FAULTY.items())
     return f"WITH {tables} " + " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, '{c}' AS check_name, CAST({n} AS BIGINT) AS violations"
-        for (t, c), n in found.items())
+        for (t, c), n in found.items()), " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, '{c}' AS check_name, 0 AS violations" for t, c in found)
 
 
-@query("constraint_audit", _audit_sql())
+@query("constraint_audit", _audit_sql()[0])
 def constraint_audit(t):
     def table(name):
         expressions, source = FAULTY[name].split("SELECT", 1)[1].rsplit("FROM", 1)
@@ -359,7 +361,7 @@ def constraint_audit(t):
     return quality.audit({name: table(name) for name in S.TARGET_TABLES})
 
 
-@query("audit_of_load")
+@query("audit_of_load", _audit_sql()[1])
 def audit_of_load(t):
     return quality.audit({n: materialize(df, n) for n, df in loaded_tables(t).items()})
 
