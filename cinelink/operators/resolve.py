@@ -143,7 +143,7 @@ def among_hubs(edges, members):
     return edges.select("hub_a", "hub_b", "score")
 
 
-def absorb_crowds(members, nodes, titles, hot):
+def absorb_crowds(members, nodes, titles, grid, hot):
     """Masters found without comparing titles pairwise, and the members left over.
 
     For crowded blocks, where the pairs may be too many to list. A record that leads
@@ -164,7 +164,7 @@ def absorb_crowds(members, nodes, titles, hot):
         winners = materialize(winners_of(others.union(lead.join(first, "hub", "left_semi"))), "masters")
         won = open_.join(winners, "pos", "left_semi").select("hub")
         chosen = titles.subset(hubs.join(won, "hub", "left_semi"))
-        near = edges_of(titles.pairs(chosen)).join(
+        near = edges_of(titles.pairs(grid, chosen)).join(
             won.withColumnRenamed("hub", "hub_a"), "hub_a", "left_semi").select("hub_b")
         found.append(winners)
         open_ = settle(open_, won.union(near), hot)
@@ -265,18 +265,19 @@ def link_records(records, threshold=None, max_rounds=MAX_ROUNDS):
     titles = Titles(title_groups(nodes), threshold)
     members = materialize(memberships(nodes), "members")
     hot = hot_keys(members, ["hub"], at_most=members.count())
-    if titles.crowded() is None:
+    grid = titles.crowded()
+    if grid is None:
         edges = materialize(edges_of(titles.pairs()), "edges")
         masters = materialize(elect_masters(members, edges, hot, max_rounds), "elected")
     else:
-        found, open_ = absorb_crowds(members, nodes, titles, hot)
+        found, open_ = absorb_crowds(members, nodes, titles, grid, hot)
         rest = Titles(title_groups(nodes.join(open_.select("pos").distinct(), "pos", "left_semi")), threshold)
         edges = materialize(edges_of(rest.pairs(grid=rest.crowded())), "edges")
         found.append(elect_masters(open_, edges, hot, max_rounds))
         masters = materialize(reduce(lambda a, b: a.union(b), found), "elected")
         # Followers choose among the masters only.
         held = title_groups(nodes.join(masters, "pos", "left_semi"))
-        edges = materialize(edges_of(titles.pairs(titles.subset(held))), "edges")
+        edges = materialize(edges_of(titles.pairs(grid, titles.subset(held))), "edges")
     followers = materialize(assign_masters(members, edges, masters, hot), "followers")
     # Records without any hub match nothing and are masters too.
     own = nodes.select("pos").join(followers.select("pos"), "pos", "left_anti")

@@ -45,33 +45,35 @@ def _max_edits(a, b, threshold):
     return f"({k} - pmod({k} - ({a} + {b}), 2))"
 
 
-def _start(i, pieces, n):
-    return f"cast(floor(({i}) * {n} / ({pieces})) as int)"
+def _partners(sequence, low, high, threshold):
+    """SQL array of structs (m, k): partner lengths and the edits allowed with them."""
+    with_k = f"transform({sequence}, m -> struct(m, {_max_edits('m', 'n', threshold)} as k))"
+    return f"filter({with_k}, x -> x.k >= {high} - {low})"
+
+
+def _pieces(n, k):
+    """SQL array of structs (i, at, size): k + 1 pieces of a text of length n."""
+    at = lambda i: f"cast(({i}) * {n} div ({k} + 1) as int)"
+    return f"transform(sequence(0, {k}), i -> struct(i, {at('i')} as at, {at('i + 1')} - {at('i')} as size))"
 
 
 def _index_blocks(threshold):
     """SQL array of block keys of a title `s` of length `n` as the shorter side."""
     longest = f"cast(floor(n * {200 / threshold - 1!r}D + 1e-9D) as int)"
-    k = _max_edits("m", "n", threshold)
-    start, end = _start("i", f"{k} + 1", "n"), _start("i + 1", f"{k} + 1", "n")
-    return f"""flatten(transform(
-        filter(sequence(n, {longest}), m -> {k} >= m - n),
-        m -> transform(sequence(0, {k}),
-            i -> xxhash64(m, n, i, substring(s, {start} + 1, {end} - {start})))))"""
+    partners = _partners(f"sequence(n, {longest})", "n", "x.m", threshold)
+    return f"""flatten(transform({partners}, x -> transform({_pieces('n', 'x.k')},
+        p -> xxhash64(x.m, n, p.i, substring(s, p.at + 1, p.size)))))"""
 
 
 def _probe_blocks(threshold):
     """SQL array of block keys of a title `s` of length `n` as the longer side."""
     shortest = f"greatest(1, cast(ceil(n * {threshold / (200 - threshold)!r}D - 1e-9D) as int))"
-    k = _max_edits("n", "m", threshold)
-    start, end = _start("i", f"{k} + 1", "m"), _start("i + 1", f"{k} + 1", "m")
-    shifts = f"""sequence(greatest(-i, n - m - ({k} - i)), least(i, n - m + ({k} - i)))"""
-    return f"""array_distinct(flatten(transform(
-        filter(sequence({shortest}, n), m -> {k} >= n - m),
-        m -> flatten(transform(sequence(0, {k}),
-            i -> transform(
-                filter({shifts}, d -> pmod(d - i, 2) = 0 and {start} + d >= 0 and {end} + d <= n),
-                d -> xxhash64(n, m, i, substring(s, {start} + d + 1, {end} - {start}))))))))"""
+    partners = _partners(f"sequence({shortest}, n)", "x.m", "n", threshold)
+    shifts = "sequence(greatest(-p.i, n - x.m - (x.k - p.i)), least(p.i, n - x.m + (x.k - p.i)), 2)"
+    return f"""array_distinct(flatten(transform({partners}, x -> flatten(transform({_pieces('x.m', 'x.k')},
+        p -> transform(
+            filter({shifts}, d -> p.at + d >= 0 and p.at + d + p.size <= n),
+            d -> xxhash64(n, x.m, p.i, substring(s, p.at + d + 1, p.size))))))))"""
 
 
 # One bit per (character, how many of it): an edit changes at most one bit.
@@ -152,13 +154,12 @@ class Titles:
         chosen = groups.selectExpr("token_key as s", "coalesce(year, -1) as o").distinct()
         return materialize(self.table.join(chosen, ["s", "o"], "left_semi").select(self.table.columns), "titles")
 
-    def crowded(self, index=None, probe=None):
+    def crowded(self):
         """Blocks with more titles than one task should compare, None when there are none."""
-        index, probe = (self.table if t is None else t for t in (index, probe))
-        # A title has a block key once, so a block is never larger than its table.
-        if max(index.count(), probe.count()) <= HOT_BLOCK:
+        # A title has a block key once, so a block is never larger than the table.
+        if self.table.count() <= HOT_BLOCK:
             return None
-        return hot_grid(self.keyed(index, "b"), self.keyed(probe, "a"), ["block", "band"], HOT_BLOCK)
+        return hot_grid(self.keyed(self.table, "b"), self.keyed(self.table, "a"), ["block", "band"], HOT_BLOCK)
 
     def candidates(self, index, probe, grid=None):
         """Pairs of an index and a probe title that pass every cheap bound."""
@@ -172,7 +173,7 @@ class Titles:
             ["s_b", "o_b"], ["s_a", "o_a"],
         ).select("s_a", "y_a", "s_b", "y_b")
 
-    def pairs(self, among=None, grid=None):
+    def pairs(self, grid=None, among=None):
         """All pairs scoring at least the threshold: (s_a, y_a, s_b, y_b, score).
 
         With `among`, a subset of the titles, only pairs with a member in it.
@@ -180,12 +181,7 @@ class Titles:
         if among is None:
             found = self.candidates(self.table, self.table, grid)
         else:
-            # The subset may still crowd a block with the others.
-            sides = [(self.table, among), (among, self.table)]
-            found = None
-            for index, probe in sides:
-                one = self.candidates(index, probe, self.crowded(index, probe))
-                found = one if found is None else found.union(one)
+            found = self.candidates(self.table, among, grid).union(self.candidates(among, self.table, grid))
         scored = found.distinct().withColumn("score", similarity("s_a", "s_b"))
         return scored.where(F.col("score") >= self.threshold)
 
