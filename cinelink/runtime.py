@@ -2,6 +2,7 @@
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import functions as F
 
@@ -24,19 +25,44 @@ def work_dir(spark):
     return _local_dir["path"]
 
 
+def run_dir(spark):
+    """The sub-folder of `work_dir` that this application writes to."""
+    return f"{work_dir(spark)}/cinelink-{spark.sparkContext.applicationId}"
+
+
 def new_path(spark, label):
-    return f"{work_dir(spark)}/cinelink-{label}-{uuid.uuid4().hex}"
+    return f"{run_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def release(spark):
+    """Delete all intermediate tables of this application. DataFrames that read them end with it."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(run_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def _shuffles_dropped(spark):
+    """Let Spark drop the shuffle files of what runs inside as soon as it has ended."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
-def materialize(df, label):
+def materialize(df, label, partition_by=()):
     """Write `df` once and return the stored table.
 
     Cuts the lineage on storage every executor can reach, and gives later plans
-    true sizes, so a small side is broadcast only when it really is small.
+    true sizes, so a small side is broadcast only when it really is small. Its shuffle
+    files are not needed any longer and go at once.
     """
-    path = new_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark, path = df.sparkSession, new_path(df.sparkSession, label)
+    with _shuffles_dropped(spark):
+        df.write.option("compression", "zstd").partitionBy(*partition_by).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def hot_keys(df, keys, hot_rows=None, at_most=None):
