@@ -8,11 +8,14 @@ between two sets with a probability equal to their similarity, concentrated as i
 independently.
 
 Rows of coordinates are hashed into bands; with 48 bands of 4 a link at similarity 0.75 is
-missed with probability 1.2e-8. Equal sets are one class from the start. Inside a bucket
-pairs are never listed: every class is compared with one leader per round, links are merged
-into components, and a bucket whose classes are all in one component is done. After
-`ROUNDS` rounds with different leaders, what still lies in different components of a bucket
-is compared in full, so nothing is capped. Similarities are verified on full sets.
+missed with probability 1.2e-8. Equal sets are one class from the start. Shingles that no
+other candidate has bound what a set can have in common with any: a pair that can't reach
+the similarity by that bound is never made. Inside a bucket pairs are not listed: every
+class is compared with one leader per round, the class with the smallest share of shingles
+of its own first; links are merged into components, and a bucket whose classes are all in
+one component is done. After `ROUNDS` rounds with different leaders, what still lies in
+different components of a bucket is compared in full, in blocks of sets, so nothing is
+capped and no list of pairs is made. Similarities are verified on full sets.
 
 Defined results: text is lower-cased A-Z; fewer words than a shingle form one shingle; null,
 empty or wordless texts have an empty set and link with nothing, not even one another; every
@@ -31,7 +34,8 @@ from cinelink.runtime import materialize
 WORDS = 5
 PERCENT = 75
 BANDS, ROWS = 48, 4
-ROUNDS = 3
+ROUNDS = 2
+BLOCK = 256
 MULTIPLIER, WORD_FACTOR = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -122,9 +126,78 @@ def _verify(pairs, sets, percent):
     return both.where(similar("x", "y")).select("a", "b")
 
 
-def _sizes_allow(percent):
-    """Sets that differ more than this in size can't be similar enough."""
-    return 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
+def _shared_sizes(sets):
+    """(class, shared): how many shingles of each set are in any other set of the table."""
+    def spread(batches):
+        for batch in batches:
+            for name, raw in zip(batch["class"], batch["shingles"]):
+                yield pd.DataFrame({"class": name, "shingle": np.frombuffer(raw, np.int64)})
+
+    own = sets.mapInPandas(spread, "class long, shingle long").groupBy("shingle").agg(
+        F.count("*").alias("c"), F.min("class").alias("class")).where("c = 1").groupBy("class").agg(F.count("*").alias("own"))
+    return sets.select("class", (F.octet_length("shingles") / 8).cast("long").alias("n")).join(own, "class", "left").select(
+        "class", (F.col("n") - F.coalesce("own", F.lit(0))).alias("shared"))
+
+
+def _may_link(percent):
+    """Whether sizes allow a link: two sets have no more in common than what each shares with any set."""
+    most = F.least("s_a", "s_b")
+    return 100 * most >= percent * (F.col("n_a") + F.col("n_b") - most)
+
+
+def _rest(state, heads, sets, percent, block=BLOCK):
+    """Links between components that still share a bucket, compared in full, in blocks.
+
+    Classes joined by such buckets form a crowd. All outside its largest component ask all
+    others. Askers and asked are cut into blocks of about `block` sets, and every pair of
+    blocks is a cell; a set is sent once per block of the other side, a pair is no row.
+    """
+    open_ = materialize(state.join(heads.select("bucket", F.col("head.class").alias("head")), "bucket").select(
+        "class", "n", "s", "part", "head").distinct(), "open")
+    if open_.isEmpty():
+        return open_.select(F.col("class").alias("a"), F.col("head").alias("b"))
+    crowds = materialize(merge_components(open_, "class", "head", "class", "crowd"), "crowds")
+    members = materialize(open_.select("class", "n", "s", "part").distinct().join(crowds, "class"), "members")
+    sizes = members.groupBy("crowd", "part").agg(F.count("*").alias("c"))
+    shape = sizes.groupBy("crowd").agg(F.sum("c").alias("all"), F.max(F.struct("c", "part")).alias("top")).select(
+        "crowd", F.col("top.part").alias("top"), F.ceil(F.col("all") / block).alias("across"),
+        F.greatest(F.ceil((F.col("all") - F.col("top.c")) / block), F.lit(1)).alias("down"))
+    rows = members.join(shape, "crowd").join(sets, "class")
+    bins = max(1, members.count() // block)
+
+    def side(frame, asks):
+        own, other = ("down", "across") if asks else ("across", "down")
+        frame = frame.where(F.col("part") != F.col("top")) if asks else frame
+        mine = F.pmod(F.xxhash64("class"), F.col(own))
+        frame = frame.select("crowd", "class", "part", "n", "s", "shingles", mine.cast("long").alias(own), F.explode(
+            F.sequence(F.lit(0).cast("long"), F.col(other) - 1)).alias(other))
+        frame = frame.withColumn("bin", F.pmod(F.xxhash64("crowd", "down", "across"), F.lit(bins)))
+        return frame.toDF(*frame.columns)  # columns of its own: both sides come from one table
+
+    def compare(asking, asked):
+        cells = {k: g for k, g in asked.groupby(["crowd", "down", "across"])}
+        out = []
+        for key, left in asking.groupby(["crowd", "down", "across"]):
+            right = cells.get(key)
+            if right is None:
+                continue
+            arrays = [np.frombuffer(x, np.uint64) for x in right["shingles"]]
+            every, owner = np.concatenate(arrays), np.repeat(np.arange(len(arrays)), [len(x) for x in arrays])
+            n, s, name, part = (right[c].to_numpy() for c in ("n", "s", "class", "part"))
+            for row in left.itertuples():
+                most = np.minimum(s, row.s)
+                if not ((part != row.part) & (100 * most >= percent * (n + row.n - most))).any():
+                    continue
+                x = np.frombuffer(row.shingles, np.uint64)
+                at = np.minimum(np.searchsorted(x, every), len(x) - 1)
+                common = np.bincount(owner[x[at] == every], minlength=len(arrays))
+                good = (part != row.part) & (100 * common >= percent * (n + row.n - common))
+                out.extend((min(row[cls], int(k)), max(row[cls], int(k))) for k in name[good])
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    cls = 2  # place of `class` in a row, after the index and the crowd
+    found = side(rows, True).groupBy("bin").cogroup(side(rows, False).groupBy("bin")).applyInPandas(compare, "a long, b long")
+    return materialize(found.distinct(), "links")
 
 
 def link(docs, doc_id="doc_id", text="text", words=WORDS, percent=PERCENT, bands=BANDS, rows=ROWS, rounds=ROUNDS):
@@ -152,31 +225,37 @@ def link(docs, doc_id="doc_id", text="text", words=WORDS, percent=PERCENT, bands
 
     sets = texts.mapInPandas(to_sets, "class long, set_hash binary, shingles binary")
     sets = materialize(sets.where(F.col("class") == F.xxhash64("set_hash")).dropDuplicates(["class"]).select("class", "shingles"), "sets")
+    # A link needs percent of the larger set in common, so a set that shares less with all others has none.
+    shared = _shared_sizes(sets).withColumnRenamed("shared", "s")
+    buckets = materialize(buckets.join(shared, "class").where(100 * F.col("s") >= percent * F.col("n")), "buckets")
 
     links, parts = None, None
-    for turn in range(rounds + 1):
-        state = buckets if parts is None else buckets.join(parts, "class", "left").withColumn("part", F.coalesce("part", F.col("class")))
+
+    def add(fresh):
+        nonlocal links, parts
+        if not fresh.isEmpty():
+            links = fresh if links is None else materialize(links.union(fresh), "links")
+            parts = materialize(merge_components(links, "a", "b", "class", "part"), "parts")
+
+    def state():
         if parts is None:
-            state = state.withColumn("part", F.col("class"))
-        order = F.struct(F.xxhash64("class", F.lit(turn)).alias("h"), F.col("class").alias("class"), F.col("n").alias("n"), F.col("part").alias("part"))
-        heads = state.groupBy("bucket").agg(
+            return buckets.withColumn("part", F.col("class"))
+        return buckets.join(parts, "class", "left").withColumn("part", F.coalesce("part", F.col("class")))
+
+    def heads(turn):
+        """The leader of every bucket that still holds several components."""
+        rank = 1 - F.col("s") / F.col("n") if turn == 0 else F.xxhash64("class", F.lit(turn)).cast("double")
+        order = F.struct(rank.alias("rank"), *[F.col(c).alias(c) for c in ("class", "n", "s", "part")])
+        return state().groupBy("bucket").agg(
             F.min(order).alias("head"), F.min("part").alias("low"), F.max("part").alias("high")).where("low < high")
-        if turn < rounds:
-            pairs = state.join(heads.select("bucket", "head"), "bucket").where(F.col("part") != F.col("head.part")).select(
-                F.col("class").alias("a"), F.col("head.class").alias("b"), F.col("n").alias("n_a"), F.col("head.n").alias("n_b"))
-        else:
-            left = state.join(heads.select("bucket"), "bucket")
-            pairs = left.select("bucket", F.col("class").alias("a"), F.col("n").alias("n_a"), F.col("part").alias("p")).join(
-                left.select("bucket", F.col("class").alias("b"), F.col("n").alias("n_b"), F.col("part").alias("q")), "bucket",
-            ).where((F.col("a") < F.col("b")) & (F.col("p") != F.col("q")))
-        pairs = pairs.where(_sizes_allow(percent)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        fresh = materialize(_verify(pairs, sets, percent), "links")
-        if fresh.isEmpty():
-            if turn < rounds:
-                continue
-            break
-        links = fresh if links is None else materialize(links.union(fresh), "links")
-        parts = materialize(merge_components(links, "a", "b", "class", "part"), "parts")
+
+    for turn in range(rounds):
+        pairs = state().join(heads(turn).select("bucket", "head"), "bucket").where(F.col("part") != F.col("head.part")).select(
+            F.col("class").alias("a"), F.col("head.class").alias("b"), F.col("n").alias("n_a"), F.col("head.n").alias("n_b"),
+            F.col("s").alias("s_a"), F.col("head.s").alias("s_b"))
+        pairs = pairs.where(_may_link(percent)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        add(materialize(_verify(pairs, sets, percent), "links"))
+    add(_rest(state(), heads(0), sets, percent))
 
     if parts is None:
         labelled = filled.select("id", "n_shingles", "class").withColumn("part", F.col("class"))
