@@ -9,7 +9,7 @@ with common prefixes (`induction.py`); windows that share `length` bytes with a
 are one class, and a class with two places repeats.
 
 The number of shards follows the bytes, and an anchor with more than `split` contexts is
-dealt over several shards, whose classes then meet by a 128-bit hash of the window. What a
+dealt over several shards of its own, whose classes then meet by a 128-bit hash of the window. What a
 task holds is bounded by the shard size, the split size, and its longest document.
 
 Defined results: null and empty texts have no bytes and no spans; equal texts repeat one
@@ -28,7 +28,7 @@ from cinelink.runtime import materialize
 
 LENGTH = 400
 GRAM = 64
-SHARD_BYTES = 2 << 20
+SHARD_BYTES = 1 << 20
 SPLIT = 1000
 BASE = 0x9E3779B97F4A7C15 | 1
 _powers = {}
@@ -163,8 +163,9 @@ def spans(docs, text="text", length=LENGTH, gram=GRAM, shard_bytes=SHARD_BYTES,
     salted = mixed.join(parts, "anchor").withColumn("salt", F.pmod(F.xxhash64("context"), F.col("parts")))
     wanted = salted.select(
         F.col("owner.digest").alias("digest"), F.struct(
-            F.pmod(F.xxhash64("anchor", "salt"), F.lit(shards)).alias("shard"), "anchor", "context", "places",
-            F.col("owner.start").alias("start"), F.col("owner.windows").alias("windows"), (F.col("parts") > 1).alias("dealt"),
+            F.when(F.col("parts") > 1, F.xxhash64("anchor", "salt")).otherwise(
+                F.pmod(F.xxhash64("anchor"), F.lit(shards))).alias("shard"), "anchor", "context", "places",
+            F.col("owner.start").alias("start"), F.col("owner.windows").alias("windows"), F.col("parts").alias("parts"),
         ).alias("w")).groupBy("digest").agg(F.collect_list("w").alias("wanted"))
 
     def cut(batches):
@@ -173,40 +174,56 @@ def spans(docs, text="text", length=LENGTH, gram=GRAM, shard_bytes=SHARD_BYTES,
             for text_, ask in zip(batch["text"], batch["wanted"]):
                 raw = _raw(text_)
                 for w in ask:
-                    rows.append((w["shard"], w["anchor"], w["context"], w["places"], w["windows"], w["dealt"],
+                    rows.append((w["shard"], w["anchor"], w["context"], w["places"], w["windows"], w["parts"],
                                  raw[w["start"]:w["start"] + w["windows"] + length - 1]))
                 if len(rows) > 20_000:
                     yield pd.DataFrame(rows, columns=columns)
                     rows = []
             yield pd.DataFrame(rows, columns=columns)
 
-    columns = ["shard", "anchor", "context", "places", "windows", "dealt", "raw"]
-    pieces = texts.join(wanted, "digest").select("text", "wanted").mapInPandas(
-        cut, "shard long, anchor long, context long, places long, windows int, dealt boolean, raw binary")
+    columns = ["shard", "anchor", "context", "places", "windows", "parts", "raw"]
+    # Copies of a text shrink to one before they are shuffled.
+    pieces = texts.groupBy("digest").agg(F.first("text").alias("text")).join(wanted, "digest").select("text", "wanted").mapInPandas(
+        cut, "shard long, anchor long, context long, places long, windows int, parts int, raw binary")
 
     def judge(shard):
-        shard = shard.drop_duplicates(["anchor", "context"])  # equal texts cut the same contexts
         hits, classes = repeats_in_shard(
             shard["raw"].tolist(), shard["windows"].tolist(), shard["places"].tolist(), length, memory)
-        rows, seen = [], set()
-        for anchor, context, dealt, raw, hit, kind in zip(
-                shard["anchor"], shard["context"], shard["dealt"], shard["raw"], hits, classes):
-            for a, b in _spans(hit, length):
-                rows.append((anchor, context, a, b, None))
-            if dealt:
-                # Other shards may hold the rest of a class: one row per class that repeats here, and every other window.
+        rows, seen, packets = [], set(), {}
+        for anchor, context, parts_, raw, hit, kind in zip(
+                shard["anchor"], shard["context"], shard["parts"], shard["raw"], hits, classes):
+            rows.extend((anchor, context, a, b, 0, None) for a, b in _spans(hit, length))
+            if parts_ > 1:
+                # Other parts may hold the rest of a class: one window per class that repeats here, and all others.
                 for i, (h, k) in enumerate(zip(hit.tolist(), kind.tolist())):
                     if not h or k not in seen:
                         seen.add(k)
-                        rows.append((anchor, None if h else context, i, i + length, xxhash.xxh3_128_digest(raw[i:i + length])))
-        return pd.DataFrame(rows, columns=["anchor", "context", "a", "b", "window"])
-
-    judged = materialize(
-        pieces.groupBy("shard").applyInPandas(judge, "anchor long, context long, a int, b int, window binary"), "judged")
-    dealt = judged.where("window is not null")
-    met = dealt.groupBy("window").agg(F.count("*").alias("n")).where("n > 1").select("window")
-    late = dealt.where("context is not null").join(met, "window").select("anchor", "context", "a", "b")
-    partial = judged.where("window is null").select("anchor", "context", "a", "b").union(late).groupBy("anchor", "context").agg(
+                        key = xxhash.xxh3_128_digest(raw[i:i + length])
+                        place = np.array([0 if h else context, -1 if h else i], np.int64).tobytes()
+                        packets.setdefault((anchor, key[0] % parts_), []).append(key + place)
+        rows.extend((anchor, 0, 0, 0, bucket, b"".join(p)) for (anchor, bucket), p in packets.items())
+        return pd.DataFrame(rows, columns=["anchor", "context", "a", "b", "bucket", "windows"])
+
+    def meet(packets):
+        """Windows of different parts of one anchor that are equal; a packet holds 32 bytes a window."""
+        table = np.frombuffer(b"".join(packets["windows"]), np.uint8).reshape(-1, 32)
+        keys = np.ascontiguousarray(table[:, :16]).view("V16").ravel()
+        places = np.ascontiguousarray(table[:, 16:]).view(np.int64)
+        _, which, count = np.unique(keys, return_inverse=True, return_counts=True)
+        places = places[(count[which] > 1) & (places[:, 1] >= 0)]
+        rows = []
+        for context in np.unique(places[:, 0]):
+            at = places[places[:, 0] == context, 1]
+            hit = np.zeros(int(at.max()) + 1, bool)
+            hit[at] = True
+            rows.extend((packets["anchor"].iloc[0], int(context), a, b) for a, b in _spans(hit, length))
+        return pd.DataFrame(rows, columns=["anchor", "context", "a", "b"])
+
+    judged = materialize(pieces.groupBy("shard").applyInPandas(
+        judge, "anchor long, context long, a int, b int, bucket int, windows binary"), "judged")
+    late = judged.where("windows is not null").select("anchor", "bucket", "windows").groupBy("anchor", "bucket").applyInPandas(
+        meet, "anchor long, context long, a int, b int")
+    partial = judged.where("windows is null").select("anchor", "context", "a", "b").union(late).groupBy("anchor", "context").agg(
         F.sort_array(F.collect_list(F.struct("a", "b"))).alias("runs"))
 
     places = found.select("digest", "anchor", "context", "start").distinct()
