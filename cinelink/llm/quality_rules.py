@@ -2,8 +2,8 @@
 
 Lines are normalised (lower case, one blank for white space, trimmed) and hashed. Of every
 host the distinct texts that hold a line are counted; a line in more than `max_documents`
-of them is boilerplate, unless it belongs to a family of near copies: those keep the line's
-neighbours, so at least half as many distinct neighbourhoods as texts are asked for. A
+of them is boilerplate, unless it belongs to a family of near copies: those keep their first
+and middle lines, so at least half as many distinct pairs of these as texts are asked for. A
 document of whose characters less than `min_left` percent remain without its boilerplate
 lines is depleted. Exact copies count as one text, so copying does not make a line
 boilerplate.
@@ -89,8 +89,8 @@ def facts(docs, text="text", host="source", keep=()):
 def boilerplate(found, max_documents=MAX_DOCUMENTS):
     """(host_, line) of the lines above the limit. Every step combines before it shuffles."""
     texts = found.dropDuplicates(["host_", "digest_"])
-    lines = texts.select("host_", "digest_", F.col("lines_.line").alias("all_"), F.posexplode("lines_.line").alias("at", "line"))
-    lines = lines.withColumn("around", F.xxhash64(F.get("all_", F.col("at") - 1), F.get("all_", F.col("at") + 1)))
+    around = F.xxhash64(F.get("lines_.line", F.lit(0)), F.get("lines_.line", F.floor(F.size("lines_") / 2).cast("int")))
+    lines = texts.select("host_", "digest_", around.alias("around"), F.explode("lines_.line").alias("line"))
     return (
         lines.groupBy("host_", "digest_", "line").agg(F.min("around").alias("around"))
         .groupBy("host_", "line", "around").agg(F.count("*").alias("n"))
