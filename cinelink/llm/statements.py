@@ -1,3 +1,41 @@
 """DuckDB statements of the queries that SQL can express."""
 
-ORACLES = {}
+OP2 = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+g AS (SELECT DISTINCT item_id, least(len(w), 13) AS n, unnest(list_transform(range(1, len(w) - least(len(w), 13) + 2), lambda i: array_to_string(w[i:i + least(len(w), 13) - 1], ' '))) AS gram FROM b WHERE len(w) > 0),
+x AS (SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS pos, unnest(list_transform(range(1, len(w) - n + 2), lambda i: array_to_string(w[i:i + n - 1], ' '))) AS gram
+      FROM d, (SELECT DISTINCT n FROM g) WHERE len(w) >= n),
+h AS (SELECT x.doc_id, x.pos, x.n, g.item_id FROM x JOIN g USING (n, gram)),
+c AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(pos, pos + n)) AS p FROM h) GROUP BY doc_id),
+i AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM h) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN c USING (doc_id) LEFT JOIN i USING (doc_id)
+"""
+
+OP4 = """
+WITH s AS (SELECT coalesce('=' || source, '') AS source_, sum(length(coalesce(text, ''))) AS chars FROM documents GROUP BY 1),
+r AS (SELECT source_, CASE WHEN chars > 0 THEN (1.0::DOUBLE / (count(*) OVER ())) * (sum(chars) OVER ())::DOUBLE / chars::DOUBLE ELSE 1.0::DOUBLE END AS rate FROM s),
+k AS (SELECT source_, rate, unnest(range(0, CAST(ceil(rate + 12 * sqrt(rate) + 30) AS BIGINT) + 1)) AS k FROM r),
+p AS (SELECT source_, k, exp(k * ln(rate) - rate - sum(CASE WHEN k > 0 THEN ln(k::DOUBLE) ELSE 0.0 END) OVER (PARTITION BY source_ ORDER BY k)) AS p FROM k),
+c AS (SELECT source_, sum(p) OVER (PARTITION BY source_ ORDER BY k) AS cdf FROM p),
+d AS (SELECT doc_id, text, source, coalesce('=' || source, '') AS source_, ('0x' || substr(md5('mix-1:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u FROM documents),
+n AS (SELECT doc_id, any_value(text) AS text, any_value(source) AS source, CAST(count(*) AS INTEGER) AS n_copies FROM d JOIN c USING (source_) WHERE u >= cdf GROUP BY doc_id),
+e AS (SELECT *, CAST(unnest(range(0, n_copies)) AS INTEGER) AS copy_no FROM n)
+SELECT doc_id, text, source, n_copies, copy_no, md5('mix-1:order:' || CAST(doc_id AS VARCHAR) || ':' || CAST(copy_no AS VARCHAR)) AS shuffle_key FROM e
+"""
+
+_ESCAPED = "length(replace(replace(replace({0}, '&', '&amp;'), '<', '&lt;'), '[', '&#91;'))"
+OP9 = f"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]')
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(16 + {_ESCAPED.format('role')} + {_ESCAPED.format('text')}) AS BIGINT) AS formatted_chars
+FROM t GROUP BY conv_id
+"""
+
+ORACLES = {"op2_ngram_decontamination": OP2, "op4_poisson_mix": OP4, "op9_content_parts": OP9}
