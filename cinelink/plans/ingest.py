@@ -11,19 +11,26 @@ from cinelink.operators.dedup import deduplicate
 from cinelink.operators.normalize import normalize_records
 from cinelink.operators.resolve import resolve
 from cinelink.runtime import materialize
-from cinelink.sources import files
+from cinelink.sources import files, landed_html
 
 
-def file_readers(spark_paths):
-    """Readers for landed files: {source: path or (path, path)} to {source: function}."""
+def file_readers(spark_paths, options=None):
+    """Readers for landed files: {source: path or (path, path)} to {source: function}.
+
+    `options` maps a source to keyword arguments of its reader, as {"tmdb": {"max_pages": 20}}.
+    """
     read = {
-        "tmdb": files.read_api_pages, "kaggle": files.read_catalogue_csv,
-        "imdb": files.read_titles, "spark": files.read_split_csv,
+        "tmdb": files.read_api_pages, "rotten_tomatoes": landed_html.read_landed_pages,
+        "kaggle": files.read_catalogue_csv, "imdb": files.read_titles, "spark": files.read_split_csv,
     }
+    options = options or {}
+    unknown = sorted((set(spark_paths) | set(options)) - set(read))
+    if unknown:
+        raise ValueError(f"no file reader for {', '.join(unknown)}")
 
     def reader(name, paths):
         paths = (paths,) if isinstance(paths, str) else paths
-        return lambda spark: read[name](spark, *paths)
+        return lambda spark: read[name](spark, *paths, **options.get(name, {}))
 
     return {name: reader(name, paths) for name, paths in spark_paths.items()}
 

@@ -10,6 +10,7 @@ from cinelink import schema as S
 from cinelink.functions import dates, numbers, text
 from cinelink.operators.dedup import keep_first
 from cinelink.operators.filters import genre_filter
+from cinelink.runtime import materialize
 
 # Header synonyms of the catalogue CSV, in order of preference.
 CATALOGUE_HEADER = {
@@ -94,10 +95,11 @@ def or_empty(spark, read, schema):
 
 # --- API pages ---------------------------------------------------------------
 
-def api_movies(pages, max_pages=S.API_MAX_PAGES, genre_id=S.API_GENRE_ID):
-    """Landed result pages to records, up to the page cap."""
+def api_movies(pages, max_pages=None, genre_id=S.API_GENRE_ID, genre_name="Horror"):
+    """Landed result pages to records of one genre; all pages, or up to a cap."""
+    last = F.coalesce("total_pages", F.lit(1))
     films = pages.where(
-        F.col("page") <= F.least(F.coalesce("total_pages", F.lit(1)), F.lit(max_pages))
+        F.col("page") <= (last if max_pages is None else F.least(last, F.lit(max_pages)))
     ).select("page", F.posexplode("results").alias("i", "m"))
     in_genre = F.coalesce(F.array_contains("m.genre_ids", genre_id), F.lit(True))
     films = films.where(in_genre & ~F.coalesce("m.adult", F.lit(False)))
@@ -106,7 +108,7 @@ def api_movies(pages, max_pages=S.API_MAX_PAGES, genre_id=S.API_GENRE_ID):
         S.seq_key(F.col("page"), F.col("i")).alias("seq"),
         F.col("m.id").alias("tmdb_id"),
         F.col("m.runtime").alias("runtime_minutes"),
-        F.when(F.array_contains("m.genre_ids", genre_id), F.array(F.lit("Horror"))).alias("genres"),
+        F.when(F.array_contains("m.genre_ids", genre_id), F.array(F.lit(genre_name))).alias("genres"),
         *[f"m.{c}" for c in (
             "title", "original_title", "overview", "release_date", "vote_average", "vote_count",
             "popularity", "poster_path",
@@ -114,9 +116,9 @@ def api_movies(pages, max_pages=S.API_MAX_PAGES, genre_id=S.API_GENRE_ID):
     ).transform(S.conform, S.RAW)
 
 
-def read_api_pages(spark, path, max_pages=S.API_MAX_PAGES):
+def read_api_pages(spark, path, max_pages=None, genre_id=S.API_GENRE_ID, genre_name="Horror"):
     return or_empty(
-        spark, lambda: api_movies(spark.read.schema(API_PAGE).json(path), max_pages), S.RAW
+        spark, lambda: api_movies(spark.read.schema(API_PAGE).json(path), max_pages, genre_id, genre_name), S.RAW
     )
 
 
@@ -268,8 +270,9 @@ def read_titles(spark, basics_path, ratings_path, min_votes=S.MIN_VOTES):
 def extract_all(spark, readers, skip=()):
     """Union of all sources not skipped, and one status row per source.
 
-    `readers` maps a source name to a function of the session. A source whose
-    reader fails counts as empty; its message is kept.
+    `readers` maps a source name to a function of the session. Every source is read
+    and stored here, so one that fails while it is read counts as empty as well, and
+    the others go on; its message is kept.
     """
     frames, status = [], []
     for name, read in readers.items():
@@ -277,10 +280,10 @@ def extract_all(spark, readers, skip=()):
             status.append((name, "skipped", None))
             continue
         try:
-            frames.append(read(spark).transform(S.conform, S.RAW))
+            frames.append(materialize(read(spark).transform(S.conform, S.RAW), f"source-{name}"))
             status.append((name, "success", None))
         except Exception as e:
-            status.append((name, "error", str(e)[:500]))
+            status.append((name, "error", str(e)))
     report = spark.createDataFrame(status, "source string, status string, message string")
     if not frames:
         return S.empty(spark, S.RAW), report

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from cinelink import schema as S
 from cinelink.functions import numbers, text
+from cinelink.sources.files import or_empty
 
 # Markers of the page layout.
 CARD = "discovery-media-list-item"
@@ -48,13 +49,16 @@ def cards(pages):
 
 def details(pages):
     """Audience score and consensus per detail page, the first page of each address."""
-    first = pages.groupBy("url").agg(F.min_by("html", "page_id").alias("html"))
     html = F.col("html")
-    return first.select(
-        "url",
-        numbers.score_from_text(element_text(html, AUDIENCE)).alias("audience_score"),
-        element_text(html, CONSENSUS).alias("critics_consensus"),
+    found = pages.select(
+        "url", "page_id",
+        F.struct(
+            numbers.score_from_text(element_text(html, AUDIENCE)).alias("audience_score"),
+            element_text(html, CONSENSUS).alias("critics_consensus"),
+        ).alias("found"),
     )
+    # Pages are read before they are shuffled, so two short fields travel instead of the page.
+    return found.groupBy("url").agg(F.min_by("found", "page_id").alias("found")).select("url", "found.*")
 
 
 def listing_records(pages, limit=None):
@@ -82,3 +86,12 @@ def with_details(records, detail_pages):
     return plain.join(
         extra.withColumnRenamed("url", "detail_url"), "detail_url", "left"
     ).transform(S.conform, S.RAW)
+
+
+def read_landed_pages(spark, listings, detail_pages=None, limit=None):
+    """Records from folders of landed pages, Parquet with page_id, url and html."""
+    def read():
+        records = listing_records(spark.read.parquet(listings), limit)
+        return records if detail_pages is None else with_details(records, spark.read.parquet(detail_pages))
+
+    return or_empty(spark, read, S.RAW)
