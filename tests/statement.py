@@ -1,4 +1,4 @@
-"""Plain sequential statements of the operators, used as test oracles only."""
+"""Definitions of de-duplication and resolution over all pairs, used as test oracles only."""
 
 import random
 
@@ -33,74 +33,85 @@ def score(a, b):
     return (1 - (total - 2 * lcs(a, b)) / total) * 100
 
 
+def holds(r):
+    """What identifies a record inside its source: its strongest identifier, else title and year."""
+    return next(
+        (level, key) for level, key in enumerate([r["tmdb_id"], r["imdb_id"], (r["title_norm"], r["year"])])
+        if key is not None)
+
+
 def dedup(records):
-    """Records of one source, in order; each has title_norm and year."""
-    tiers = ({}, {}, {})
-    for r in records:
-        if r["tmdb_id"] is not None:
-            tier, key = 0, r["tmdb_id"]
-        elif r["imdb_id"] is not None:
-            tier, key = 1, r["imdb_id"]
-        else:
-            tier, key = 2, (r["title_norm"], r["year"])
-        filled = sum(r[c] is not None for c in COUNTED)
-        held = tiers[tier].get(key)
-        if held is None or filled > held[0]:
-            tiers[tier][key] = (filled, r)
-    first, second, third = ([r for _, r in t.values()] for t in tiers)
-    known = {r["imdb_id"] for r in first if r["imdb_id"]}
-    out = first + [r for r in second if r["imdb_id"] not in known]
-    keys = {(r["title_norm"], r["year"]) for r in out}
-    return out + [r for r in third if (r["title_norm"], r["year"]) not in keys]
+    """Of records that hold the same, the fullest and of these the first, level by level.
+
+    A level's records stand in the order in which their keys appear. A record goes when a
+    stronger level has its identifier (level 1) or its title and year (level 2).
+    """
+    order = list(dict.fromkeys(map(holds, records)))
+    best = {
+        key: max((r for r in records if holds(r) == key), key=lambda r: sum(r[c] is not None for c in COUNTED))
+        for key in order}
+    by_level = [[best[k] for k in order if k[0] == level] for level in range(3)]
+    imdb_ids = [r["imdb_id"] for r in by_level[0]]
+    strong = by_level[0] + [r for r in by_level[1] if r["imdb_id"] not in imdb_ids]
+    titles = [(r["title_norm"], r["year"]) for r in strong]
+    return strong + [r for r in by_level[2] if holds(r)[1] not in titles]
+
+
+def match(r, m, threshold):
+    """(level, -score) at which `r` belongs to master `m`; None where it doesn't."""
+    for level, name in enumerate(["tmdb_id", "imdb_id"]):
+        if r[name] is not None and r[name] == m[name]:
+            return level, 0
+    if r["title_norm"] and m["title_norm"]:
+        apart = 0 if None in (r["year"], m["year"]) else abs(r["year"] - m["year"])
+        alike = score(r["title_norm"], m["title_norm"])
+        if apart <= 1 and alike >= threshold:
+            return 2, -alike
+    return None
 
 
 def merge(records, threshold):
-    """Records in input order; returns gold dicts with `sources`."""
-    by_tmdb, by_imdb, by_title = {}, {}, {}
-    for r in sorted(records, key=lambda x: RANK.get(x["source"], 99)):
-        master = None
-        if r["tmdb_id"] is not None:
-            master = by_tmdb.get(r["tmdb_id"])
-        if master is None and r["imdb_id"] is not None:
-            master = by_imdb.get(r["imdb_id"])
-        if master is None and r["title_norm"]:
-            top = 0
-            for (title, year), m in by_title.items():
-                if title is None or (year is not None and r["year"] is not None and abs(year - r["year"]) > 1):
-                    continue
-                s = score(r["title_norm"], title)
-                if s > top:
-                    top, candidate = s, m
-            if top >= threshold:
-                master = candidate
-        if master is None:
-            master = {**r, "sources": [r["source"]]}
-            if r["tmdb_id"] is not None:
-                by_tmdb[r["tmdb_id"]] = master
-            if r["imdb_id"] is not None:
-                by_imdb[r["imdb_id"]] = master
-            by_title[(r["title_norm"], r["year"])] = master
-            continue
-        for c in ANY:
-            if master[c] is None:
-                master[c] = r[c]
-        for c, s in ONLY.items():
-            if master[c] is None and r["source"] == s:
-                master[c] = r[c]
-        if r["source"] not in master["sources"]:
-            master["sources"].append(r["source"])
-    gold = list(by_tmdb.values())
-    known = {g["imdb_id"] for g in gold if g["imdb_id"]}
-    gold += [m for m in by_imdb.values() if m["imdb_id"] not in known]
-    keys = {(g["title_norm"], g["year"]) for g in gold}
-    return gold + [m for k, m in by_title.items() if k not in keys]
+    """Gold dicts with `sources`, from the match relation over all pairs of records.
+
+    Masters are the first maximal set of records of which none matches another, by source
+    priority; any other record follows the master it matches best, the earlier one on ties.
+    """
+    queue = sorted(records, key=lambda r: RANK[r["source"]])
+    relation = {
+        (i, j): found for i, r in enumerate(queue) for j, m in enumerate(queue[:i])
+        if (found := match(r, m, threshold)) is not None}
+    group = {}
+    for i in range(len(queue)):
+        choice = min(((relation[i, j], j) for j in group if (i, j) in relation), default=None)
+        group.setdefault(choice[1] if choice else i, []).append(i)
+    return standing([(queue[j], filled_in([queue[i] for i in members])) for j, members in group.items()])
+
+
+def filled_in(members):
+    """The master with the first known value of each field that its followers may fill."""
+    def value(c):
+        given = [r[c] for r in members[:1]] + [
+            r[c] for r in members[1:] if c in ANY or ONLY.get(c) == r["source"]]
+        return next((v for v in given if v is not None), None)
+
+    return {c: value(c) for c in members[0]} | {"sources": list(dict.fromkeys(r["source"] for r in members))}
+
+
+def standing(entities):
+    """The entities that stay: by own tmdb_id, by an imdb_id no such entity shows, by a free title and year."""
+    top = [e for own, e in entities if own["tmdb_id"] is not None]
+    shown = {e["imdb_id"] for e in top}
+    top += [e for own, e in entities if own["tmdb_id"] is None and own["imdb_id"] is not None and e["imdb_id"] not in shown]
+    taken = {(e["title_norm"], e["year"]) for e in top}
+    last = {(e["title_norm"], e["year"]): e for _, e in entities}
+    return top + [e for key, e in last.items() if key not in taken]
 
 
 def random_records(seed, n):
     """Records full of clashes: few ids, near-equal titles, gaps everywhere."""
     rnd = random.Random(seed)
-    base = ["halloween", "hallowen", "the thing", "thing the", "hereditary", "heriditary", "it", "its",
-            "night of the dead", "nights of the dead", "night of a dead", "nite of the dead"]
+    base = ["lighthouse", "lighthuse", "the well", "well the", "orchardist", "orcherdist", "ox", "oxs",
+            "house of the crows", "houses of the crows", "house of a crows", "hose of the crows"]
     out = []
     for i in range(n):
         title = rnd.choice(base + [None, "!!!"])
