@@ -182,16 +182,24 @@ def upsert_movie_genres(rows, genres, movie_genres):
 
 
 def upsert_ratings(rows, ratings):
-    """One rating per movie and source of the entity; unknown sources are skipped."""
+    """One rating per movie and source of the entity; unknown sources are skipped.
+
+    A score always comes with the scale of the field it was read from.
+    """
     vote, tomato = F.col("vote_average"), F.col("tomatometer_score")
     scored = rows.where(F.col("source").isin(S.SOURCES)).select(
         "movie_id", "source", "nr", "vote_count",
         numbers.rating_score(vote, tomato).alias("score"),
         numbers.rating_scale(vote, tomato, F.col("source")).alias("scale"),
     )
-    incoming = scored.groupBy("movie_id", "source").agg(
-        last_filled("score", "nr"), last_filled("vote_count", "nr"), F.min_by("scale", "nr").alias("scale"))
-    return upsert(ratings, incoming, ["movie_id", "source"], ["score", "vote_count"], inserted=["scale"])
+    told = F.when(F.col("score").isNotNull(), F.struct("score", "scale"))
+    incoming = scored.withColumn("told", told).groupBy("movie_id", "source").agg(
+        last_filled("told", "nr"), last_filled("vote_count", "nr"), F.min_by("scale", "nr").alias("plain"))
+    stored = ratings.select("movie_id", "source", F.col("scale").alias("stored"))
+    # Without a score the stored scale stays; a new rating has the scale of its source.
+    incoming = incoming.join(stored, ["movie_id", "source"], "left").select(
+        "movie_id", "source", "told.score", "vote_count", F.coalesce("told.scale", "stored", "plain").alias("scale"))
+    return upsert(ratings, incoming, ["movie_id", "source"], ["score", "vote_count", "scale"])
 
 
 def source_ratings(records, links, movie_ids):

@@ -151,12 +151,13 @@ def movie_genre_links(t):
     WITH {ENTITIES}, rated AS (
         SELECT movie_id, source, {_last('coalesce(CASE WHEN vote_average <> 0 THEN vote_average END, tomatometer_score)')} AS score,
             {_last('vote_count')} AS vote_count,
-            arg_min(CASE WHEN vote_average <> 0 THEN '0-10' WHEN tomatometer_score IS NOT NULL
-                OR source = 'rotten_tomatoes' THEN '0-100' ELSE '0-10' END, tier * 1000000000::BIGINT + k) AS scale
+            arg_max(CASE WHEN vote_average <> 0 THEN '0-10' ELSE '0-100' END, tier * 1000000000::BIGINT + k)
+                FILTER (vote_average <> 0 OR tomatometer_score IS NOT NULL) AS scale,
+            CASE WHEN source = 'rotten_tomatoes' THEN '0-100' ELSE '0-10' END AS plain
         FROM good GROUP BY movie_id, source)
     SELECT coalesce(n.movie_id, o.movie_id) AS movie_id, coalesce(n.source, o.source) AS source,
         coalesce(n.score, o.score) AS score, coalesce(n.vote_count, o.vote_count) AS vote_count,
-        coalesce(o.scale, n.scale) AS scale
+        coalesce(n.scale, o.scale, n.plain) AS scale
     FROM ({STORED_RATINGS}) o FULL JOIN rated n ON n.movie_id = o.movie_id AND n.source = o.source""")
 def upserted_ratings(t):
     return loaded_tables(t)["ratings"]
