@@ -1,6 +1,6 @@
 """Text clean-up, match keys, genre lists, theme predicates."""
 
-from html.entities import name2codepoint
+from html.entities import html5
 
 from pyspark.sql import functions as F
 
@@ -18,7 +18,14 @@ MARKUP = [
     r"(?is)<template\b[^>]*>.*?</template\s*>",
     r"(?s)</?[A-Za-z!?][^>]*>",
 ]
-ENTITY = r"&(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]*);"
+ENTITY = r"&(#[0-9]+;?|#[xX][0-9A-Fa-f]+;?|[A-Za-z][A-Za-z0-9]*;?)"
+# Named references of HTML 5; the older ones are also known without a semicolon and then
+# by their longest beginning. A map is searched from the front, so the usual names stand there.
+USUAL = ["amp;", "quot;", "nbsp;", "lt;", "gt;", "apos;", "copy;", "middot;"]
+NAMED = "\x00".join(f"{name}\x01{html5[name]}" for name in sorted(html5, key=lambda n: (n not in USUAL, n)))
+OLDER = "^(" + "|".join(sorted((name for name in html5 if not name.endswith(";")), key=lambda n: (-len(n), n))) + ")(.*)$"
+# Numbers 128 to 159 mean the characters of the Western code page where it has one.
+WESTERN = "".join(bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(128, 160))
 
 
 def valid_utf8(binary):
@@ -28,23 +35,26 @@ def valid_utf8(binary):
 
 def _character(code):
     """Code point to a one-character string; invalid ones to the replacement character."""
-    bad = (code == 0) | (code > 0x10FFFF) | code.between(0xD800, 0xDFFF)
+    # A number too large for its type is null.
+    bad = code.isNull() | (code == 0) | (code > 0x10FFFF) | code.between(0xD800, 0xDFFF)
     code = F.when(bad, 0xFFFD).otherwise(code)
-    return F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    western = F.substring(F.lit(WESTERN), (code - 127).cast("int"), F.lit(1))
+    return F.when(code.between(128, 159), western).otherwise(F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
 
 
 def decode_entities(col):
     """Replace character references; unknown names stay as written."""
-    named = F.str_to_map(
-        F.lit("\n".join(f"{name}\t{chr(code)}" for name, code in sorted(name2codepoint.items()))),
-        F.lit("\n"), F.lit("\t"),
-    )
+    named = F.str_to_map(F.lit(NAMED), F.lit("\x00"), F.lit("\x01"))
+
+    def by_beginning(name):
+        older = F.regexp_extract(name, OLDER, 1)
+        return F.when(older != "", F.concat(F.try_element_at(named, older), F.regexp_extract(name, OLDER, 2)))
 
     def resolve(name):
         return (
-            F.when(name.rlike("^#[xX]"), _character(F.conv(F.substring(name, 3, 8), 16, 10).cast("bigint")))
-            .when(name.startswith("#"), _character(F.substring(name, 2, 8).try_cast("bigint")))
-            .otherwise(F.coalesce(F.try_element_at(named, name), F.concat(F.lit("&"), name, F.lit(";"))))
+            F.when(name.rlike("^#[xX]"), _character(F.conv(F.regexp_extract(name, "^#[xX]0*([^;]{0,12})", 1), 16, 10).try_cast("bigint")))
+            .when(name.startswith("#"), _character(F.regexp_extract(name, "^#([^;]*)", 1).try_cast("bigint")))
+            .otherwise(F.coalesce(F.try_element_at(named, name), by_beginning(name), F.concat(F.lit("&"), name)))
         )
 
     plain = F.split(col, ENTITY)
