@@ -14,6 +14,21 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS B
 FROM d LEFT JOIN c USING (doc_id) LEFT JOIN i USING (doc_id)
 """
 
+OP3 = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, list_sort(list_distinct(list_transform(range(1, len(w) - least(len(w), 5) + 2), lambda i: array_to_string(w[i:i + least(len(w), 5) - 1], ' ')))) AS shingles FROM d WHERE len(w) > 0),
+k AS (SELECT doc_id, len(shingles) AS n, min(doc_id) OVER (PARTITION BY md5(array_to_string(shingles, chr(10)))) AS class FROM s),
+x AS (SELECT doc_id AS class, len(shingles) AS n, unnest(shingles) AS shingle FROM s WHERE doc_id IN (SELECT class FROM k)),
+l AS (SELECT a.class AS a, b.class AS b FROM x a JOIN x b ON a.shingle = b.shingle AND a.class < b.class
+      GROUP BY a.class, b.class, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT DISTINCT class AS a, class AS b FROM k UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
+c AS (SELECT a AS class, min(b) AS component_id FROM r GROUP BY a)
+SELECT d.doc_id, CAST(coalesce(k.n, 0) AS BIGINT) AS n_shingles, coalesce(c.component_id, d.doc_id) AS component_id,
+       coalesce(c.component_id, d.doc_id) = d.doc_id AS kept
+FROM d LEFT JOIN k USING (doc_id) LEFT JOIN c USING (class)
+"""
+
 OP4 = """
 WITH s AS (SELECT coalesce('=' || source, '') AS source_, sum(length(coalesce(text, ''))) AS chars FROM documents GROUP BY 1),
 r AS (SELECT source_, CASE WHEN chars > 0 THEN (1.0::DOUBLE / (count(*) OVER ())) * (sum(chars) OVER ())::DOUBLE / chars::DOUBLE ELSE 1.0::DOUBLE END AS rate FROM s),
@@ -38,4 +53,26 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 FROM t GROUP BY conv_id
 """
 
-ORACLES = {"op2_ngram_decontamination": OP2, "op4_poisson_mix": OP4, "op9_content_parts": OP9}
+OP10 = r"""
+WITH d AS (SELECT doc_id, coalesce('=' || source, '') AS host, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+                  list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM documents),
+g AS (SELECT doc_id, unnest(range(1, len(w) - 1)) AS pos, unnest(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' '))) AS gram FROM d WHERE len(w) > 2),
+m AS (SELECT doc_id, unnest(range(pos, pos + 3)) AS pos FROM (SELECT doc_id, pos, count(*) OVER (PARTITION BY doc_id, gram) AS n FROM g) WHERE n > 1),
+p AS (SELECT doc_id, count(DISTINCT pos) AS n_repeat_words FROM m GROUP BY doc_id),
+b AS (SELECT d.doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars, length(t) - length(translate(t, '#*$%&|<>', '')) AS n_symbols,
+             len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words FROM d LEFT JOIN p USING (doc_id)),
+n AS (SELECT DISTINCT host, t, list_transform(lines, lambda x: trim(regexp_replace(lower(x), '[\x20\x09-\x0D]+', ' ', 'g'))) AS lines FROM d),
+o AS (SELECT host, t, lines[1] AS first, lines[len(lines) // 2 + 1] AS middle, unnest(lines) AS line FROM n),
+f AS (SELECT host, line FROM o GROUP BY host, line HAVING count(DISTINCT t) > 20 AND 2 * count(DISTINCT {'first': first, 'middle': middle}) >= count(DISTINCT t)),
+q AS (SELECT host, t FROM o LEFT JOIN (SELECT host, line, true AS often FROM f) USING (host, line) GROUP BY host, t
+      HAVING 100 * sum(CASE WHEN often THEN 0 ELSE length(line) END) < 30 * sum(length(line)))
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
+       CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words,
+       n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND (host, t) NOT IN (SELECT (host, t) FROM q) AS kept
+FROM d JOIN b USING (doc_id)
+"""
+
+ORACLES = {
+    "op2_ngram_decontamination": OP2, "op3_minhash": OP3, "op4_poisson_mix": OP4, "op9_content_parts": OP9, "op10_line_frequency": OP10,
+}
