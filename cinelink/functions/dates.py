@@ -25,6 +25,47 @@ LAYOUTS = [
     (r"[0-9]{1,2}/[0-9]{4}", ["M/yyyy"]),
 ]
 
+# Names in dates. Case is ignored, a dot may follow.
+MONTH = (
+    r"(jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?|sept?(?:ember)?|oct(?:ober)?"
+    r"|nov(?:ember)?|dec(?:ember)?)\.?"
+)
+WEEKDAY = r"(?:(?:mon|tue|tues|wed|wednes|thu|thur|thurs|fri|sat|satur|sun)(?:day)?[.,]* )?"
+DAY, YEAR = r"([0-9]{1,2})(?:st|nd|rd|th)?", r"([0-9]{4}|[0-9]{2})"
+CLOCK = r"(?:(?:,? |T)[0-9]{1,2}:[0-9]{2}.*)?"
+# Other spellings, on text with single blanks, each with its rewriting as year, month, day.
+# Slashes in the rewriting stand for month first, day first when that is no date.
+SPELLINGS = [
+    (f"{WEEKDAY}{MONTH}[ -]{DAY},?[ -]([0-9]{{4}}){CLOCK}", "$3 $1 $2"),
+    (f"{WEEKDAY}{DAY}(?: of |[ -]){MONTH},?[ -]{YEAR}{CLOCK}", "$3 $2 $1"),
+    (f"([0-9]{{4}})[ -]{MONTH}[ -]([0-9]{{1,2}}){CLOCK}", "$1 $2 $3"),
+    (rf"([0-9]{{1,2}})([/.-])([0-9]{{1,2}})\2{YEAR}{CLOCK}", "$4/$1/$3"),
+    (rf"([0-9]{{4}})([/.])([0-9]{{1,2}})\2([0-9]{{1,2}}){CLOCK}", "$1 $3 $4"),
+    (r"([0-9]{4})([0-9]{2})([0-9]{2})[T ][0-9]{4,6}.*", "$1 $2 $3"),
+]
+# Two-digit years from 69 on are of the 20th century, those below of the 21st.
+CENTURIES = [("^(69|[7-9][0-9])([ /])", "19$1$2"), ("^([0-9]{2})([ /])", "20$1$2")]
+
+
+def _once(value, body):
+    """body(value), with the value computed once per row."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _spelled(text):
+    """Date from one of `SPELLINGS`."""
+    ordered = None
+    for spelling, order in SPELLINGS:
+        pattern = f"(?i)^{spelling}$"
+        turned = F.regexp_replace(text, pattern, order)
+        ordered = F.when(text.rlike(pattern), turned) if ordered is None else ordered.when(text.rlike(pattern), turned)
+    # Three letters of a month's name are enough to parse it.
+    ordered = F.initcap(F.regexp_replace(ordered, "([A-Za-z]{3})[A-Za-z]+", "$1"))
+    for pattern, full in CENTURIES:
+        ordered = F.regexp_replace(ordered, pattern, full)
+    return _once(ordered, lambda d: F.coalesce(*[
+        F.try_to_date(d, f) for f in ("yyyy MMM d", "yyyy M d", "yyyy/M/d", "yyyy/d/M")]))
+
 
 def _has_shape(col, shape):
     return col.rlike(f"^{BLANK}*(?:{shape.replace('~', BLANK + '+')}){BLANK}*$")
@@ -39,7 +80,7 @@ def parse_date(col):
     """Date from text; a missing month or day becomes 01, anything unknown null.
 
     Null tokens have no accepted shape. The text is cleaned only in the branch whose
-    shape it has.
+    shape it has. Two-digit years from 69 on are of the 20th century.
     """
     raw = col.cast("string")
     text = F.trim(F.regexp_replace(raw, BLANK + "+", " "))
@@ -59,7 +100,7 @@ def parse_date(col):
         parsed = parsed.when(
             _has_shape(raw, shape), F.coalesce(*[F.try_to_date(value, f) for f in layouts])
         )
-    return parsed
+    return F.coalesce(parsed, _once(text, _spelled))
 
 
 def year_start(col):

@@ -28,6 +28,11 @@ def test_dates(spark):
         "2020-05": d(2020, 5, 1), "2020-01-02 10:11:12": d(2020, 1, 2), "N/A": None, "NA": None,
         "null": None, "2020-13-45": None, "02/30/2020": None, "soon": None, "  2019 ": d(2019, 1, 1),
         "12": d(12, 1, 1), "2018-4-6": d(2018, 4, 6),
+        "11/9/72": d(1972, 11, 9), "25/12/08": d(2008, 12, 25), "9-Nov-1972": d(1972, 11, 9), "1972-Nov-09": d(1972, 11, 9),
+        "Nov. 9, 1972": d(1972, 11, 9), "Sept 5, 2010": d(2010, 9, 5), "Thu, 9 Nov 1972": d(1972, 11, 9),
+        "November 9th, 1972": d(1972, 11, 9), "9th of NOVEMBER 1972": d(1972, 11, 9), "1972.11.09": d(1972, 11, 9),
+        "19721109T101010": d(1972, 11, 9), "November 9 1972 10:00 PM": d(1972, 11, 9), "11/09/1972 10:00": d(1972, 11, 9),
+        "1972/11/9 08:15": d(1972, 11, 9), "Octopus 9, 1972": None, "31-Feb-1972": None, "3rd 1972": None,
     }
     assert apply(spark, dates.parse_date, list(cases)) == list(cases.values())
     assert apply(spark, dates.year_start, ["1980", "\\N", "x", None]) == [d(1980, 1, 1), None, None, None]
