@@ -258,11 +258,14 @@ def assemble(entities):
     return by_id.union(by_title).drop("registered_tmdb", "registered_imdb")
 
 
-def link_records(records, threshold=None, max_rounds=MAX_ROUNDS):
-    """Every record's master: (pos, master, level, score); masters have level 0."""
+def link_records(records, threshold=None, max_rounds=MAX_ROUNDS, hot_block=None):
+    """Every record's master: (pos, master, level, score); masters have level 0.
+
+    `hot_block`: titles under one block key that one task compares, see `Titles`.
+    """
     threshold = S.FUZZY_THRESHOLD if threshold is None else float(threshold)
     nodes = materialize(match_nodes(records), "nodes")
-    titles = Titles(title_groups(nodes), threshold)
+    titles = Titles(title_groups(nodes), threshold, hot_block)
     members = materialize(memberships(nodes), "members")
     hot = hot_keys(members, ["hub"], at_most=members.count())
     grid = titles.crowded()
@@ -271,7 +274,7 @@ def link_records(records, threshold=None, max_rounds=MAX_ROUNDS):
         masters = materialize(elect_masters(members, edges, hot, max_rounds), "elected")
     else:
         found, open_ = absorb_crowds(members, nodes, titles, grid, hot)
-        rest = Titles(title_groups(nodes.join(open_.select("pos").distinct(), "pos", "left_semi")), threshold)
+        rest = Titles(title_groups(nodes.join(open_.select("pos").distinct(), "pos", "left_semi")), threshold, hot_block)
         edges = materialize(edges_of(rest.pairs(grid=rest.crowded())), "edges")
         found.append(elect_masters(open_, edges, hot, max_rounds))
         masters = materialize(reduce(lambda a, b: a.union(b), found), "elected")

@@ -10,11 +10,19 @@ Blocking: cut the shorter title into k + 1 pieces. Charge every edit to one piec
 most k edits on k + 1 pieces there is a piece i that has none, with exactly i edits
 before it and at most k - i after it: take the last i for which the edits before
 piece i number at least i. That piece occurs unchanged in the longer title, shifted
-by at most i from its place, and by at most k - i from its place counted from the
-end; since every edit before it moves it by one, the shift has the parity of i. So equal (lengths, piece number, piece text) is an equi-join key that misses
-no pair, for every T.
+by at most i from its place, and by at most k - i from its place counted from the end.
+
+Lengths of the longer title fall into classes that grow by a fixed ratio, of which a
+shorter title can meet about five. It is cut once per class, by the most edits that any
+length of the class allows, which keeps the argument. Places in the longer title fall
+into buckets about as wide as the shift. So (class, piece text, bucket) is an equi-join
+key that misses no pair, for every T; the shorter title names each bucket its piece may
+have moved to, the longer one each of its substrings of a length pieces can have. Both
+number a small multiple of the title's length. Where k + 1 pieces would leave some
+empty, the class alone is the key.
 """
 
+import math
 import sys
 
 import pandas as pd
@@ -34,6 +42,9 @@ HOT_BLOCK = 50_000
 # Titles expanded to block keys by one task.
 TITLES_PER_TASK = 50_000
 
+# No text is longer than this.
+MAX_LENGTH = 2**31 - 1
+
 # Year keys: a known year meets its neighbours, an unknown year meets everything.
 UNKNOWN = -1
 ANY = -2
@@ -45,35 +56,58 @@ def _max_edits(a, b, threshold):
     return f"({k} - pmod({k} - ({a} + {b}), 2))"
 
 
-def _partners(sequence, low, high, threshold):
-    """SQL array of structs (m, k): partner lengths and the edits allowed with them."""
-    with_k = f"transform({sequence}, m -> struct(m, {_max_edits('m', 'n', threshold)} as k))"
-    return f"filter({with_k}, x -> x.k >= {high} - {low})"
+def _longest(n, threshold):
+    """SQL: the length of the longest title that one of length n can be similar to."""
+    return f"cast(floor({n} * {200 / threshold - 1!r}D + 1e-9D) as int)"
+
 
+def _classes(threshold):
+    """SQL array of all length classes: structs (lo, hi, w), w the width of their buckets."""
+    ratio = max((200 / threshold - 1) ** 0.25, 1.05)
+    classes, lo = [], 1
+    while lo < MAX_LENGTH:
+        hi = max(lo, math.ceil(lo * ratio) - 1)
+        classes.append(f"struct({lo} as lo, {min(hi, MAX_LENGTH)} as hi, {max(1, int((100 - threshold) / 100 * lo))} as w)")
+        lo = hi + 1
+    return f"array({', '.join(classes)})"
 
-def _pieces(n, k):
-    """SQL array of structs (i, at, size): k + 1 pieces of a text of length n."""
-    at = lambda i: f"cast(({i}) * {n} div ({k} + 1) as int)"
-    return f"transform(sequence(0, {k}), i -> struct(i, {at('i')} as at, {at('i + 1')} - {at('i')} as size))"
+
+def _cuts(n, hi, threshold):
+    """SQL: the most edits between length n and any length of a class up to `hi`."""
+    # Of two neighbouring lengths one has the parity that allows the full number.
+    last = f"least({hi}, {_longest(n, threshold)})"
+    return f"greatest({_max_edits(n, last, threshold)}, {_max_edits(n, f'({last} - 1)', threshold)})"
 
 
 def _index_blocks(threshold):
     """SQL array of block keys of a title `s` of length `n` as the shorter side."""
-    longest = f"cast(floor(n * {200 / threshold - 1!r}D + 1e-9D) as int)"
-    partners = _partners(f"sequence(n, {longest})", "n", "x.m", threshold)
-    return f"""flatten(transform({partners}, x -> transform({_pieces('n', 'x.k')},
-        p -> xxhash64(x.m, n, p.i, substring(s, p.at + 1, p.size)))))"""
+    longest = _longest("n", threshold)
+    classes = f"""transform(
+        filter({_classes(threshold)}, c -> c.hi >= n and c.lo <= {longest}),
+        c -> struct(c.lo as id, c.w as w, greatest(c.lo, n) as lo, least(c.hi, {longest}) as hi,
+                    {_cuts('n', 'c.hi', threshold)} as k))"""
+    at = lambda i: f"cast(({i}) * n div (c.k + 1) as int)"
+    pieces = f"transform(sequence(0, c.k), i -> struct(i, {at('i')} as at, {at('i + 1')} - {at('i')} as size))"
+    places = f"""transform({pieces}, p -> struct(p.at as at, p.size as size,
+        greatest(0, p.at + greatest(-p.i, c.lo - n - (c.k - p.i))) as first,
+        least(c.hi - p.size, p.at + least(p.i, c.hi - n + (c.k - p.i))) as last))"""
+    blocks = f"""flatten(transform(filter({places}, p -> p.first <= p.last), p -> transform(
+        sequence(cast(p.first div c.w as int), cast(p.last div c.w as int)),
+        g -> xxhash64(c.id, g, substring(s, p.at + 1, p.size)))))"""
+    return f"array_distinct(flatten(transform({classes}, c -> if(c.k >= n, array(xxhash64(c.id, -1, '')), {blocks}))))"
 
 
 def _probe_blocks(threshold):
     """SQL array of block keys of a title `s` of length `n` as the longer side."""
     shortest = f"greatest(1, cast(ceil(n * {threshold / (200 - threshold)!r}D - 1e-9D) as int))"
-    partners = _partners(f"sequence({shortest}, n)", "x.m", "n", threshold)
-    shifts = "sequence(greatest(-p.i, n - x.m - (x.k - p.i)), least(p.i, n - x.m + (x.k - p.i)), 2)"
-    return f"""array_distinct(flatten(transform({partners}, x -> flatten(transform({_pieces('x.m', 'x.k')},
-        p -> transform(
-            filter({shifts}, d -> p.at + d >= 0 and p.at + d + p.size <= n),
-            d -> xxhash64(n, x.m, p.i, substring(s, p.at + d + 1, p.size))))))))"""
+    sizes = f"""array_distinct(flatten(transform(
+        transform(sequence({shortest}, n), b -> struct(b, {_cuts('b', 'c.hi', threshold)} as k)),
+        x -> if(x.k >= x.b, array(0), array(
+            cast(x.b div (x.k + 1) as int), cast((x.b + x.k) div (x.k + 1) as int))))))"""
+    return f"""flatten(transform(
+        filter({_classes(threshold)}, c -> c.lo <= n and n <= c.hi),
+        c -> array_distinct(flatten(transform({sizes}, z -> if(z = 0, array(xxhash64(c.lo, -1, '')), transform(
+            sequence(0, n - z), p -> xxhash64(c.lo, cast(p div c.w as int), substring(s, p + 1, z)))))))))"""
 
 
 # One bit per (character, how many of it): an edit changes at most one bit.
@@ -114,40 +148,50 @@ def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
 
 
 class Titles:
-    """Distinct (token_key, year) groups prepared for blocking; stored once.
+    """Distinct (token_key, year) groups prepared for blocking; titles and their keys are stored once.
 
-    Columns of `table`: s and y (the group), n (length), o (y or -1), bits (signature).
+    Columns of `table`: id, s and y (the group), n (length), o (y or -1), bits (signature).
+    Columns of `keys`: block, role (b index, a probe), id, n, o, bits; no text.
+    `hot_block` is the number of titles under one key, per side, that one task compares.
     """
 
-    def __init__(self, groups, threshold):
+    def __init__(self, groups, threshold, hot_block=None):
         if not 0 < threshold <= 100:
             raise ValueError("threshold must be in (0, 100]")
-        self.threshold = threshold
+        self.threshold, self.hot_block = threshold, hot_block or HOT_BLOCK
         self.table = materialize(
             groups.where("token_key <> ''").selectExpr(
                 "token_key as s", "year as y", "length(token_key) as n", "coalesce(year, -1) as o")
-            .withColumn("bits", F.expr(_SIGNATURE)),
+            .withColumn("bits", F.expr(_SIGNATURE))
+            .withColumn("id", F.monotonically_increasing_id()),
             "titles",
         )
-        undated = not self.table.where("y is null").isEmpty()
-        near = "sequence(y - 1, y + 1)"
-        self.index_bands = f"if(y is null, array({UNKNOWN}), concat({near}, array({ANY})))" if undated else near
-        self.probe_bands = f"if(y is null, array({ANY}, {UNKNOWN}), array(y, {UNKNOWN}))" if undated else "array(y)"
+        self.count, undated = self.table.agg(F.count(F.lit(1)), F.count_if(F.col("y").isNull())).first()
+        near = "sequence(o - 1, o + 1)"
+        self.index_bands = f"if(o = -1, array({UNKNOWN}), concat({near}, array({ANY})))" if undated else near
+        self.probe_bands = f"if(o = -1, array({ANY}, {UNKNOWN}), array(o, {UNKNOWN}))" if undated else "array(o)"
         self.index_blocks, self.probe_blocks = _index_blocks(threshold), _probe_blocks(threshold)
+        key = F.expr(f"""explode(concat(
+            transform({self.index_blocks}, x -> struct(x as block, 'b' as role)),
+            transform({self.probe_blocks}, x -> struct(x as block, 'a' as role))))""")
+        self.keys = materialize(
+            self.spread(self.table).select(key.alias("key"), "id", "n", "o", "bits")
+            .select("key.block", "key.role", "id", "n", "o", "bits"),
+            "title-keys",
+        )
 
     def spread(self, table):
         """Every title becomes a hundred block keys or more, so partitions start small."""
-        tasks = max(table.sparkSession.sparkContext.defaultParallelism, table.count() // TITLES_PER_TASK + 1)
-        return table.repartition(tasks, "s", "y")
+        tasks = max(table.sparkSession.sparkContext.defaultParallelism, self.count // TITLES_PER_TASK + 1)
+        return table.repartition(tasks, "id")
 
-    def keyed(self, table, role):
-        """One row per title and block key, columns suffixed by the role (b index, a probe)."""
-        blocks, bands = (
-            (self.index_blocks, self.index_bands) if role == "b" else (self.probe_blocks, self.probe_bands)
-        )
-        out = self.spread(table).withColumn("block", F.expr(f"explode({blocks})"))
-        out = out.withColumn("band", F.expr(f"explode({bands})"))
-        return out.select("block", "band", *[F.col(c).alias(f"{c}_{role}") for c in ("s", "y", "n", "o", "bits")])
+    def keyed(self, role, among=None):
+        """One row per title, block key and year band, columns suffixed by the role."""
+        keys = self.keys.where(F.col("role") == role)
+        if among is not None:
+            keys = keys.join(among.select("id"), "id", "left_semi")
+        band = F.explode(F.expr(self.index_bands if role == "b" else self.probe_bands))
+        return keys.select("block", band.alias("band"), *[F.col(c).alias(f"{c}_{role}") for c in ("id", "n", "o", "bits")])
 
     def subset(self, groups):
         """The titles among `groups` (token_key, year)."""
@@ -156,33 +200,46 @@ class Titles:
 
     def crowded(self):
         """Blocks with more titles than one task should compare, None when there are none."""
-        # A title has a block key once, so a block is never larger than the table.
-        if self.table.count() <= HOT_BLOCK:
-            return None
-        return hot_grid(self.keyed(self.table, "b"), self.keyed(self.table, "a"), ["block", "band"], HOT_BLOCK)
+        return hot_grid(self.keyed("b"), self.keyed("a"), ["block", "band"], self.hot_block)
+
+    def candidates(self, index=None, probe=None, grid=None):
+        """Ids (id_a, id_b) of an index and a probe title that pass every bound that needs no text.
 
-    def candidates(self, index, probe, grid=None):
-        """Pairs of an index and a probe title that pass every cheap bound."""
+        Each pair may come up under several keys. Titles of equal length meet in both
+        roles, of which one is taken.
+        """
         k = _max_edits("n_a", "n_b", self.threshold)
-        worth_scoring = F.expr(f"""
-            (n_a > n_b or s_a > s_b or (s_a = s_b and o_a > o_b))
-            and bit_count(bits_a ^ bits_b) <= {k}
-            and levenshtein(s_a, s_b, {k}) >= 0""")
+        either = index is None and probe is None
+        order = "id_a > id_b" if either else "id_a <> id_b"
+        worth_reading = F.expr(f"""
+            (n_a > n_b or n_a = n_b and {order}) and n_a - n_b <= {k} and bit_count(bits_a ^ bits_b) <= {k}""")
         return grid_join(
-            self.keyed(index, "b"), self.keyed(probe, "a"), ["block", "band"], worth_scoring, grid,
-            ["s_b", "o_b"], ["s_a", "o_a"],
-        ).select("s_a", "y_a", "s_b", "y_b")
+            self.keyed("b", index), self.keyed("a", probe), ["block", "band"], worth_reading, grid, ["id_b"], ["id_a"],
+        ).select("id_a", "id_b")
 
     def pairs(self, grid=None, among=None):
         """All pairs scoring at least the threshold: (s_a, y_a, s_b, y_b, score).
 
-        With `among`, a subset of the titles, only pairs with a member in it.
+        With `among`, a subset of the titles, only pairs with a member in it. The texts
+        are read for the distinct pairs that pass the bounds on lengths and signatures.
         """
         if among is None:
-            found = self.candidates(self.table, self.table, grid)
+            found = self.candidates(grid=grid)
         else:
-            found = self.candidates(self.table, among, grid).union(self.candidates(among, self.table, grid))
-        scored = found.distinct().withColumn("score", similarity("s_a", "s_b"))
+            found = self.candidates(probe=among, grid=grid).union(self.candidates(index=among, grid=grid))
+            # Equal lengths may have met in either role.
+            found = found.select(F.greatest("id_a", "id_b").alias("id_a"), F.least("id_a", "id_b").alias("id_b"))
+        title = F.struct("n", "s", "o", "y")
+        texts = self.table.select("id", title.alias("t"))
+        both = (
+            found.distinct()
+            .join(texts.select(F.col("id").alias("id_a"), F.col("t").alias("t_a")), "id_a")
+            .join(texts.select(F.col("id").alias("id_b"), F.col("t").alias("t_b")), "id_b")
+            .select(F.greatest("t_a", "t_b").alias("a"), F.least("t_a", "t_b").alias("b"))
+            .selectExpr("a.s as s_a", "a.y as y_a", "b.s as s_b", "b.y as y_b", "a.n as n_a", "b.n as n_b")
+        )
+        close = both.where(f"levenshtein(s_a, s_b, {_max_edits('n_a', 'n_b', self.threshold)}) >= 0")
+        scored = close.select("s_a", "y_a", "s_b", "y_b", similarity("s_a", "s_b").alias("score"))
         return scored.where(F.col("score") >= self.threshold)
 
     def first_in_blocks(self, leads):
@@ -205,11 +262,11 @@ class Titles:
         return won.select(F.col("g.s").alias("token_key"), F.col("g.y").alias("year"))
 
 
-def similar_titles(groups, threshold=S.FUZZY_THRESHOLD):
+def similar_titles(groups, threshold=S.FUZZY_THRESHOLD, hot_block=None):
     """All pairs of distinct (token_key, year) groups scoring at least `threshold`.
 
     Years may differ by one; an unknown year matches any. Each pair appears once, as
     (s_a, y_a, s_b, y_b, score). `groups` must hold every group once.
     """
-    titles = Titles(groups, threshold)
+    titles = Titles(groups, threshold, hot_block)
     return titles.pairs(grid=titles.crowded())

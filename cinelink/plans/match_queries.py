@@ -90,9 +90,13 @@ def _similar_sql(threshold):
     WHERE (a.n, a.s, a.o) > (b.n, b.s, b.o) AND (a.y IS NULL OR b.y IS NULL OR abs(a.y - b.y) <= 1)"""
 
 
-def _similar(t, threshold):
+# Titles per block and task in the queries that show blocks being split.
+CROWD = 4
+
+
+def _similar(t, threshold, hot_block=None):
     nodes = resolve.match_nodes(kept_films(t)).where("token_key <> ''")
-    pairs = similar_titles(nodes.select("token_key", "year").distinct(), threshold)
+    pairs = similar_titles(nodes.select("token_key", "year").distinct(), threshold, hot_block)
     return pairs.select(
         "s_a", F.col("y_a").cast("bigint").alias("y_a"), "s_b", F.col("y_b").cast("bigint").alias("y_b"),
         F.round("score", 6).alias("score"))
@@ -108,19 +112,36 @@ def similar_titles_loose(t):
     return _similar(t, 70.0)
 
 
-@query("entity_links", f"""
+@query("crowded_titles", _similar_sql(T))
+def crowded_titles(t):
+    return _similar(t, T, CROWD)
+
+
+_LINKS_SQL = f"""
     WITH RECURSIVE {Q.settled(T)}
     SELECT a.k, m.k AS master_k, CAST(level AS BIGINT) AS level, round(score, 6) AS score
-    FROM links JOIN kept a USING (pos) JOIN kept m ON m.pos = links.master""")
-def entity_links(t):
+    FROM links JOIN kept a USING (pos) JOIN kept m ON m.pos = links.master"""
+
+
+def _entity_links(t, hot_block=None):
     kept = materialize(kept_films(t), "kept")
     number = numbered(kept)
-    links = resolve.link_records(kept, T)
+    links = resolve.link_records(kept, T, hot_block=hot_block)
     masters = number.select(F.col("pos").alias("master"), F.col("k").alias("master_k"))
     return links.join(number, "pos").join(masters, "master").select(
         "k", "master_k", F.col("level").cast("bigint").alias("level"), F.round("score", 6).alias("score"))
 
 
+@query("entity_links", _LINKS_SQL)
+def entity_links(t):
+    return _entity_links(t)
+
+
+@query("crowded_links", _LINKS_SQL)
+def crowded_links(t):
+    return _entity_links(t, CROWD)
+
+
 @query("elected_masters", f"""
     WITH RECURSIVE {Q.settled(T)} SELECT k, source FROM kept JOIN final USING (pos) WHERE status = 'master'""")
 def elected_masters(t):

@@ -45,5 +45,32 @@ def test_blocking_equals_brute_force(spark, threshold):
 
 def test_neither_side_of_the_block_join_is_broadcast(spark):
     titles = Titles(spark.createDataFrame([("abc", 2000), ("abd", 2000)], "token_key string, year int"), 85.0)
-    plan = titles.candidates(titles.table, titles.table)._jdf.queryExecution().executedPlan().toString()
+    plan = titles.candidates()._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "Broadcast" not in plan and "Cartesian" not in plan
+
+
+@pytest.mark.parametrize("threshold", [85.0, 70.0, 95.0])
+def test_keys_grow_with_the_length_of_a_title(spark, threshold):
+    rnd = random.Random(7)
+    groups = [("".join(rnd.choice("abcdefghij ") for _ in range(n - 1)) + "x", 2000) for n in (25, 100, 500, 2000)]
+    titles = Titles(spark.createDataFrame(groups, "token_key string, year int"), threshold)
+    for r in titles.keys.groupBy("n", "role").count().collect():
+        assert r["count"] <= 8 * r.n, r
+    assert "s" not in titles.keys.columns
+
+
+@pytest.mark.parametrize("hot_block", [2, None])
+def test_split_blocks_give_the_same_pairs(spark, hot_block):
+    rnd = random.Random(11)
+    base = ["the long night of the harvest moon", "return to the long night", "moon over the harvest"]
+    groups = {(edited(rnd, rnd.choice(base)), rnd.choice([None, 1990, 1991, 1995])) for _ in range(60)}
+    df = spark.createDataFrame(sorted(groups, key=str), "token_key string, year int")
+    got = {tuple(r)[:4] for r in similar_titles(df, 85.0, hot_block).collect()}
+    expected = set()
+    for a, ya in groups:
+        for b, yb in groups:
+            rank = lambda w, y: (len(w), w.encode(), -1 if y is None else y)
+            if rank(a, ya) > rank(b, yb) and (ya is None or yb is None or abs(ya - yb) <= 1):
+                if 2 * lcs(a, b) >= 0.85 * (len(a) + len(b)):
+                    expected.add((a, ya, b, yb))
+    assert got == expected
