@@ -209,9 +209,9 @@ def orders_by_votes(t):
 def listing_pages(t):
     """Listing pages of thirty cards, one card per part; some cards miss an element."""
     k = F.col("p_partkey")
-    title = F.concat(F.lit('<span class="t" data-qa="discovery-media-list-item-title">\n '), "p_name", F.lit(" &amp; co </span>"))
+    title = F.concat(F.lit('<span class="t" data-qa="discovery-media-list-item-title">\n <span>'), "p_name", F.lit("</span> &amp; <span><span/>co</span> </span><span>no</span>"))
     year = F.concat(F.lit("<span data-qa='discovery-media-list-item-start-year'>("), (F.col("p_size") + 1950).cast("string"), F.lit(")</span>"))
-    score = F.concat(F.lit('<rt-text data-qa="tomatometer"><b>'), (k % 101).cast("string"), F.lit("%</b></rt-text>"))
+    score = F.concat(F.lit('<rt-text data-qa="tomatometer"><rt-text></rt-text><b>'), (k % 101).cast("string"), F.lit("%</b></rt-text>"))
     link = F.concat(F.lit('<a data-qa="discovery-media-list-item-caption" href="/m/'), k.cast("string"), F.lit('?a=1&amp;b=2">more</a>'))
     card = F.concat(
         F.lit('<div class="c" data-qa="discovery-media-list-item">'),
@@ -250,14 +250,14 @@ def detail_pages(t):
         F.concat(
             F.lit("<html><body>"),
             F.when(k % 4 == 0, "").otherwise(F.concat(F.lit("<span data-qa='audience-score'>"), F.col("n").cast("string"), F.lit("%</span>"))),
-            F.when(k % 5 == 0, "").otherwise(F.concat(F.lit('<p data-qa="critics-consensus">Seen <em>'), F.col("n").cast("string"), F.lit("</em>\n times</p>"))),
+            F.when(k % 5 == 0, "").otherwise(F.concat(F.lit('<p data-qa="critics-consensus">Seen <p>at</p> <em>'), F.col("n").cast("string"), F.lit("</em>\n times</p>"))),
             F.lit("</body></html>")).alias("html"))
 
 
 DETAILS = """
     SELECT concat('/m/', l_partkey, '?a=1&b=2') AS url,
         CASE WHEN l_partkey % 4 <> 0 THEN CAST(count(*) AS DOUBLE) END AS audience_score,
-        CASE WHEN l_partkey % 5 <> 0 THEN concat('Seen ', count(*), ' times') END AS critics_consensus
+        CASE WHEN l_partkey % 5 <> 0 THEN concat('Seen at ', count(*), ' times') END AS critics_consensus
     FROM lineitem GROUP BY l_partkey"""
 
 

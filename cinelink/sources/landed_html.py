@@ -20,10 +20,31 @@ def _open_tag(element, marker):
     return rf"<{element}\b[^>]*\bdata-qa\s*=\s*[\"']{marker}[\"'][^>]*>"
 
 
+def _inside(rest, name):
+    """What stands before the tag that closes element `name`; null when nothing closes it.
+
+    Elements of the same name may be nested inside.
+    """
+    # Every piece but the first starts with an opening or closing tag of that name.
+    pieces = F.split(rest, F.concat(F.lit("(?i)(?=</?"), name, F.lit(r"(?![\w-]))")))
+
+    def step(seen, piece):
+        opens = F.when(piece.startswith("</"), -1).when(piece.rlike(r"^<[^>]*/>"), 0).otherwise(1)
+        depth = (seen["depth"] + opens).cast("int")
+        still = F.struct(depth.alias("depth"), F.when(depth > 0, F.concat(seen["text"], piece)).otherwise(
+            seen["text"]).alias("text"))
+        return F.when(seen["depth"] == 0, seen).otherwise(still)
+
+    # The text starts with a blank, so the first piece is never a tag.
+    start = F.struct(F.lit(1).alias("depth"), F.element_at(pieces, 1).alias("text"))
+    return F.aggregate(
+        F.slice(pieces, F.lit(2), F.size(pieces)), start, step, lambda seen: F.when(seen["depth"] == 0, seen["text"]))
+
+
 def element_text(html, marker, element=r"[A-Za-z][\w-]*"):
-    """Text of the first element carrying the marker; null when there is none."""
-    pattern = rf"(?s)<({element})\b[^>]*\bdata-qa\s*=\s*[\"']{marker}[\"'][^>]*>(.*?)</\1\s*>"
-    inner = F.regexp_extract(html, pattern, 2)
+    """Text of the first element carrying the marker, nested elements included; null when there is none."""
+    pattern = rf"(?s)<({element})\b[^>]*\bdata-qa\s*=\s*[\"']{marker}[\"'][^>]*>(.*)$"
+    inner = _inside(F.concat(F.lit(" "), F.regexp_extract(html, pattern, 2)), F.regexp_extract(html, pattern, 1))
     plain = F.trim(F.regexp_replace(text.strip_markup(inner), text.BLANK + "+", " "))
     return F.when(html.rlike(pattern), plain)
 

@@ -3,6 +3,7 @@
 import gzip
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from cinelink import schema as S
@@ -112,3 +113,16 @@ def test_quantiles_and_histogram(spark):
     assert quantiles(df.where("v > 100"), "v", (0.5,)) == {0.5: None}
     assert [r.n for r in histogram(df, "v", 8).orderBy("bin").collect()] == [1, 2, 0, 1, 1, 0, 1, 1]
     assert sum(r.n for r in histogram(df.where("v = 2"), "v", 8).collect()) == 2
+
+
+@pytest.mark.parametrize("html, expected", [
+    ('<b data-qa="m"><b>The</b> <i>Thing</i></b> tail', "The Thing"),
+    ('<b data-qa="m"></b><b>tail</b>', ""),
+    ('<b class=x data-qa="m"><br><big>One</big><b/> two<B> three</B></b></b>', "One two three"),
+    ('<b data-qa="m">never closed', None),
+    ("<b>no marker</b>", None),
+    (None, None),
+])
+def test_an_element_ends_at_its_own_closing_tag(spark, html, expected):
+    df = spark.createDataFrame([(html,)], "html string")
+    assert df.select(landed_html.element_text(F.col("html"), "m").alias("t")).first().t == expected
