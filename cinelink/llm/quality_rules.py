@@ -2,11 +2,10 @@
 
 Lines are normalised (lower case, one blank for white space, trimmed) and hashed. Of every
 host the distinct texts that hold a line are counted; a line in more than `max_documents`
-of them is boilerplate, unless it belongs to a family of near copies: those keep their first
-and middle lines, so at least half as many distinct pairs of these as texts are asked for. A
-document of whose characters less than `min_left` percent remain without its boilerplate
-lines is depleted. Exact copies count as one text, so copying does not make a line
-boilerplate.
+of them is boilerplate, whatever else these texts have in common. A document of whose
+characters less than `min_left` percent remain without its boilerplate lines is depleted.
+Exact copies count as one text, so copying does not make a line boilerplate; near copies
+count one by one.
 
 Defined results: null or empty text has no words and fails the base rules; a null host is a
 host of its own; repeated rows get the same verdict each; an empty table gives no rows;
@@ -89,13 +88,10 @@ def facts(docs, text="text", host="source", keep=()):
 def boilerplate(found, max_documents=MAX_DOCUMENTS):
     """(host_, line) of the lines above the limit. Every step combines before it shuffles."""
     texts = found.dropDuplicates(["host_", "digest_"])
-    around = F.xxhash64(F.get("lines_.line", F.lit(0)), F.get("lines_.line", F.floor(F.size("lines_") / 2).cast("int")))
-    lines = texts.select("host_", "digest_", around.alias("around"), F.explode("lines_.line").alias("line"))
     return (
-        lines.groupBy("host_", "digest_", "line").agg(F.min("around").alias("around"))
-        .groupBy("host_", "line", "around").agg(F.count("*").alias("n"))
-        .groupBy("host_", "line").agg(F.sum("n").alias("texts"), F.count("*").alias("places"))
-        .where((F.col("texts") > max_documents) & (2 * F.col("places") >= F.col("texts")))
+        texts.select("host_", F.explode(F.array_distinct("lines_.line")).alias("line"))
+        .groupBy("host_", "line").agg(F.count("*").alias("texts"))
+        .where(F.col("texts") > max_documents)
         .select("host_", "line")
     )
 

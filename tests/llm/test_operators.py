@@ -177,6 +177,30 @@ def test_decontamination_and_quality_edges(spark, docs, empty):
     assert left[3] == "start3" and line not in left[99]
 
 
+def test_template_pages_of_one_host_are_depleted(spark):
+    """Pages that share their first and middle line and differ in one short line only, next to one of another host."""
+    rng = np.random.default_rng(3)
+    banner, template = (" ".join(f"{name}{i}" for i in rng.integers(0, 1000, 60)) for name in "bt")
+    pages = [(i, f"{banner}\n{template}\nown line {i}", "h" if i else "other") for i in range(22)]
+    own = " ".join(f"u{i}" for i in range(200))
+    pages += [(99, f"{banner}\n{own}", "h"), (100, f"{banner}\n{banner}\n{own}", "h")]
+    docs = spark.createDataFrame(pages, "doc_id long, text string, source string")
+
+    def brute(limit):
+        holders = defaultdict(set)
+        for _, t, h in pages:
+            for x in t.split("\n"):
+                holders[h, x].add(t)
+        left = {i: sum(len(x) for x in t.split("\n") if len(holders[h, x]) <= limit) for i, t, h in pages}
+        return {i for i, t, _ in pages if 100 * left[i] < 30 * len(t.replace("\n", ""))}
+
+    for limit in (20, 21, 22, 23):
+        judged = quality_rules.judge(docs, max_documents=limit).collect()
+        assert {r["doc_id"] for r in judged if r["depleted"]} == brute(limit), limit
+    assert brute(20) == set(range(1, 22)) and brute(21) == brute(23) == set()
+    assert {r["doc_id"] for r in quality_rules.keep_good(docs).collect()} == {0, 99, 100}
+
+
 def test_ring(docs, empty):
     rows = shard_ring.assign(docs, F.col("doc_id"), [F.col("text")], 4).collect()
     sizes = Counter(r["shard"] for r in rows)
