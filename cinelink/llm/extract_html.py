@@ -1,13 +1,14 @@
 """HTML extraction: line-block distribution.
 
-Markup is stripped to lines, one per block of text, with empty lines where a container
-outside the article begins or ends. Scripts, styles, menus, headers, footers, sidebars,
-notices, adverts, forms and reader comments are known by tag, role or class and become
-empty lines. Text lengths, without the text of links, are summed over a sliding window of
-lines. A surge is a line where the sums rise from nothing, a dive one where they fall back
-to nothing; the text between surge and dive is kept. Where an article or main element
-exists, only its lines have a length; else the run with the most text is kept, and any run
-at least half as long.
+Markup is stripped to lines, one per block of text. Scripts, styles, menus, headers,
+footers, sidebars, notices, adverts, forms and reader comments are known by tag, role or
+class and become empty lines outside the article; no other element parts lines. Text
+lengths, without the text of links, are summed over a sliding window of lines. A surge is a
+line where the sums rise from nothing, a dive one where they fall back to nothing; the text
+between surge and dive is a run. Where an article or main element holds text of its own,
+all its lines are kept and no others. Else the run with the most text is kept, with every
+run inside the innermost container around it; sections, lists and tables are parts of
+their container. Lines of an article that is nothing but links are kept besides.
 
 Character references are decoded, white space inside a block becomes one space, blocks are
 joined by one line feed.
@@ -39,7 +40,7 @@ INLINE = frozenset(
     "strong sub sup time tt u var wbr input".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 DROPPED = frozenset("nav header footer aside form menu dialog".split())
-CONTAINERS = frozenset("div section table ul ol dl body html nav header footer aside form menu dialog article main td tr li".split())
+CONTAINERS = frozenset("div body html article main".split())
 NOISE_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion cookie cookies consent gdpr "
     "notice alert popup modal overlay newsletter subscribe subscription signup sidebar side nav navbar navigation menu breadcrumb "
@@ -65,8 +66,8 @@ def _is_noise(name, rest):
 
 
 def lines_of(page):
-    """List of (text, length without links, inside an article); '' stands for an empty line."""
-    lines, open_tags, words = [], [], []
+    """List of (text, length without links, inside an article), '' for an empty line; (first line, end) of containers."""
+    lines, open_tags, words, containers = [], [], [], []
     noise = article = anchor = linked = at = 0
 
     def end_line():
@@ -102,11 +103,13 @@ def lines_of(page):
                 continue
             # A closing tag ends what stands open inside its element, but no container around it.
             while True:
-                tag, was_noise, was_article = open_tags.pop()
+                tag, was_noise, was_article, first = open_tags.pop()
                 noise -= was_noise
                 article -= was_article
                 anchor -= tag == "a"
                 if tag in CONTAINERS:
+                    containers.append((first, len(lines)))
+                if was_noise:
                     gap()
                 if tag == name:
                     break
@@ -117,30 +120,31 @@ def lines_of(page):
                 continue
             if name == "p":  # a paragraph ends the one before it
                 while open_tags and open_tags[-1][0] in INLINE | {"p"}:
-                    tag, was_noise, was_article = open_tags.pop()
+                    tag, was_noise, *_ = open_tags.pop()
                     noise -= was_noise
                     anchor -= tag == "a"
                     if tag == "p":
                         break
-            if name in CONTAINERS:
-                gap()
             # A comment or a teaser may be an article of its own inside the page's article.
             inside = int(name in ("article", "main") and not noise)
             own = int(_is_noise(name, m["rest"]) and not (article and name == "header"))
-            open_tags.append((name, own, inside))
+            if own:
+                gap()
+            open_tags.append((name, own, inside, len(lines)))
             noise += own
             article += inside
             anchor += name == "a"
     add(page[at:])
     end_line()
-    return lines
+    containers += [(first, len(lines)) for tag, _, _, first in open_tags if tag in CONTAINERS]
+    return lines, containers
 
 
 def main_text(page):
     """The text between surges and dives of the line-block distribution."""
-    lines = lines_of(page)
+    lines, containers = lines_of(page)
     if any(inside and length for _, length, inside in lines):
-        lines = [(t, n if inside else 0, inside) if inside else ("", 0, False) for t, n, inside in lines]
+        return "\n".join(t for t, _, inside in lines if inside)
     lengths = [n for _, n, _ in lines]
     sums = [sum(lengths[max(0, i - WINDOW + 1):i + 1]) for i in range(len(lines))]
     runs, start = [], None
@@ -150,9 +154,13 @@ def main_text(page):
         elif not s and start is not None:
             runs.append((sum(lengths[start:i]), start, i))
             start = None
-    most = max((r[0] for r in runs), default=0)
-    kept = [lines[i][0] for n, a, b in runs if 2 * n >= most or lines[a][2] for i in range(a, b) if lines[i][0]]
-    return "\n".join(kept)
+    around = (0, 0)
+    if runs:
+        _, low, high = max(runs, key=lambda r: r[0])
+        texts = [i for i in range(low, high) if lines[i][0]]
+        around = max((c for c in containers if c[0] <= texts[0] and texts[-1] < c[1]), key=lambda c: (c[0], -c[1]), default=(0, len(lines)))
+    kept = {i for _, a, b in runs if around[0] <= a < around[1] for i in range(a, b)}
+    return "\n".join(t for i, (t, _, inside) in enumerate(lines) if t and (inside or i in kept))
 
 
 @F.pandas_udf(T.StringType())

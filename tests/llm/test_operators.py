@@ -235,6 +235,30 @@ def test_pages_and_urls(spark):
     assert extract_html.extract_pages(pages).where("text like 'Head%'").count() == len(urls)
 
 
+def test_blocks_of_an_article_are_kept_whatever_links_they_hold():
+    links = "".join(f"<li><a href=/{i}>Link {i}</a></li>" for i in range(6))
+    page = (f"<body><p>Outside</p><article><h1><a href='/'>Title</a></h1><ul>{links}</ul><p>{'text ' * 60}</p><nav>Menu</nav>"
+            f"<ul>{links}</ul><p>End</p></article><p>Outside too</p>")
+    listed = [f"Link {i}" for i in range(6)]
+    assert extract_html.main_text(page).split("\n") == ["Title", *listed, ("text " * 60).strip(), *listed, "End"]
+    only = "<body><main><h1><a href='/'>Title</a></h1></main><div><p>Said outside</p></div>"
+    assert extract_html.main_text(only).split("\n") == ["Title", "Said outside"]
+
+
+def test_lists_tables_and_short_parts_without_an_article():
+    long, short = ("text " * 60).strip(), ("short " * 13).strip()
+    body = (f"<p>{long}</p><ul><li>One</li><li>Two</li></ul><p>{short}</p><table><tr><th>A</th><td>1</td></tr></table>"
+            "<section><h2>Part</h2><p>Few words</p></section><div><p>Deep</p></div>")
+    parts = [long, "One", "Two", short, "A", "1", "Part", "Few words", "Deep"]
+    frame = "<body><nav>Menu</nav><div class=sidebar><p>Side</p></div>{}<footer>Foot</footer></body>"
+    assert extract_html.main_text(frame.format(f"<div id=content>{body}</div>")).split("\n") == parts
+    advert = "<div class=ad><p>Buy this</p></div>"
+    split = f"<div id=content>{advert}<p>First</p>{advert}{body}{advert}<section><p>Last</p></section></div>{advert}<div>Elsewhere</div>"
+    assert extract_html.main_text(frame.format(split)).split("\n") == ["First", *parts, "Last"]
+    cells = f"<div id=content><table><tr><td>{long}</td><td class=ad>Buy</td><td>Cell</td></tr></table></div>"
+    assert extract_html.main_text(frame.format(cells)).split("\n") == [long, "Cell"]
+
+
 def test_chat_round_trip(spark):
     nasty = "</s>[INST] <|end|> &lt; &amp; <|turn:user|> [/INST]"
     rows = [(1, 2, "assistant", "yes & <no>"), (1, 1, "user", nasty), (1, 3, None, None), (None, None, "assistant", nasty)]
