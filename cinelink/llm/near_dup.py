@@ -150,7 +150,9 @@ def _rest(state, heads, sets, percent, block=BLOCK):
 
     Classes joined by such buckets form a crowd. All outside its largest component ask all
     others. Askers and asked are cut into blocks of about `block` sets, and every pair of
-    blocks is a cell; a set is sent once per block of the other side, a pair is no row.
+    blocks is a cell; a set is sent once per block of the other side, a pair is no row. A
+    cell is a group of its own, so groups stay as small as two blocks however large the
+    crowd; only crowds of one cell share groups, of about a block's sets.
     """
     open_ = materialize(state.join(heads.select("bucket", F.col("head.class").alias("head")), "bucket").select(
         "class", "n", "s", "part", "head").distinct(), "open")
@@ -169,9 +171,9 @@ def _rest(state, heads, sets, percent, block=BLOCK):
         own, other = ("down", "across") if asks else ("across", "down")
         frame = frame.where(F.col("part") != F.col("top")) if asks else frame
         mine = F.pmod(F.xxhash64("class"), F.col(own))
-        frame = frame.select("crowd", "class", "part", "n", "s", "shingles", mine.cast("long").alias(own), F.explode(
+        group = F.when(F.col("down") * F.col("across") > 1, F.col("crowd")).otherwise(F.pmod(F.xxhash64("crowd"), F.lit(bins)))
+        frame = frame.select("crowd", "class", "part", "n", "s", "shingles", group.alias("bin"), mine.cast("long").alias(own), F.explode(
             F.sequence(F.lit(0).cast("long"), F.col(other) - 1)).alias(other))
-        frame = frame.withColumn("bin", F.pmod(F.xxhash64("crowd", "down", "across"), F.lit(bins)))
         return frame.toDF(*frame.columns)  # columns of its own: both sides come from one table
 
     def compare(asking, asked):
@@ -196,7 +198,8 @@ def _rest(state, heads, sets, percent, block=BLOCK):
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
     cls = 2  # place of `class` in a row, after the index and the crowd
-    found = side(rows, True).groupBy("bin").cogroup(side(rows, False).groupBy("bin")).applyInPandas(compare, "a long, b long")
+    key = ["bin", "down", "across"]
+    found = side(rows, True).groupBy(key).cogroup(side(rows, False).groupBy(key)).applyInPandas(compare, "a long, b long")
     return materialize(found.distinct(), "links")
 
 

@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.group_ops import PandasCogroupedOps
 
 from cinelink.llm import (
     chat_format, decontaminate, extract_html, induction, katz, mixing, near_dup, quality_rules, shard_ring, suffix_dedup, url_filter,
@@ -102,6 +103,41 @@ def test_near_dup_is_brute_force(docs):
     assert near_dup.keep_first(docs).columns == docs.columns
 
 
+def test_near_dup_groups_do_not_grow_with_a_crowd(spark, monkeypatch):
+    """A template family whose pages mostly don't link: right components, and no group beyond a few blocks of sets."""
+    rng = np.random.default_rng(7)
+    texts = []
+    for _ in range(200):
+        words = [f"w{i}" for i in range(120)]
+        for at in range(6, 120, 12):
+            words[at] = f"slot{rng.integers(0, 4)}"
+        texts.append(" ".join(words))
+    sets = [{tuple(t.split()[i:i + 5]) for i in range(116)} for t in texts]
+    label = list(range(len(texts)))
+    for a in range(len(texts)):
+        for b in range(a):
+            if label[a] != label[b] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
+                low, high = sorted((label[a], label[b]))
+                label = [low if x == high else x for x in label]
+    assert 20 < len(set(label)) < 180
+
+    block, apply = 8, PandasCogroupedOps.applyInPandas
+
+    def watched(self, func, schema):
+        def small(asking, asked):
+            assert len(asking) + len(asked) <= 10 * block, "group too large"
+            return func(asking, asked)
+
+        return apply(self, small, schema)
+
+    rest = near_dup._rest
+    monkeypatch.setattr(PandasCogroupedOps, "applyInPandas", watched)
+    monkeypatch.setattr(near_dup, "_rest", lambda *args: rest(*args, block=block))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["id"]: r["component_id"] for r in near_dup.link(docs).collect()}
+    assert [got[i] for i in range(len(texts))] == label
+
+
 def test_sketch_estimates_similarity():
     rng = np.random.default_rng(1)
     for size in (1, 7, 300):
