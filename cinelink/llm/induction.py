@@ -9,7 +9,7 @@ character (or range of characters), which move to disk when they exceed their me
 LMS suffixes are ordered the same way: their substrings are named, and the text of names is
 sorted by recursion.
 
-On the text itself tuples carry the prefix in common with their predecessor, up to `CAP`:
+On the text itself tuples carry the prefix in common with their predecessor, up to `cap`:
 what an induced suffix shares with the one before it in its bucket is one more than the
 minimum over everything scanned between the suffixes that yielded them.
 """
@@ -126,7 +126,8 @@ class Prefixes:
 class _Scan:
     """What one scan has seen since each character was last induced."""
 
-    def __init__(self, characters):
+    def __init__(self, characters, cap=CAP):
+        self.cap = cap
         self.since = np.full(characters, FAR)
         self.begun = np.zeros(characters, bool)
 
@@ -145,7 +146,7 @@ class _Scan:
             pairs[0::2], pairs[1::2] = i[later - 1] + 1, i[later] + 1
             low[later] = np.minimum.reduceat(padded, pairs)[0::2]
         out = np.empty(len(i), np.int64)
-        out[order] = np.where(first & ~self.begun[ch], 0, np.minimum(low + 1, CAP))
+        out[order] = np.where(first & ~self.begun[ch], 0, np.minimum(low + 1, self.cap))
         after = np.minimum.accumulate(padded[::-1])[::-1]
         self.since = np.minimum(self.since, after[0])
         last = np.r_[ch[1:] != ch[:-1], True]
@@ -158,14 +159,14 @@ class _Scan:
             self.since = np.minimum(self.since, shared.min())
 
 
-def induce(text, is_s, runs, lms, lms_shared=None, memory=QUEUE_BYTES):
+def induce(text, is_s, runs, lms, lms_shared=None, memory=QUEUE_BYTES, cap=CAP):
     """(order, shared) of all suffixes from the LMS suffixes in order; small alphabets.
 
     `shared` is None unless the common prefixes of neighbouring LMS suffixes are given.
     """
     characters = int(text.max()) + 1
     carry = lms_shared is not None
-    queue, scan = DiskQueues(characters, 2, memory), _Scan(characters)
+    queue, scan = DiskQueues(characters, 2, memory), _Scan(characters, cap)
     if carry:
         lms_shared = lms_shared.copy()
 
@@ -212,10 +213,10 @@ def induce(text, is_s, runs, lms, lms_shared=None, memory=QUEUE_BYTES):
         if len(seeds):
             some = lms_shared[own] if carry else np.zeros(len(seeds), np.int64)
             if carry:
-                some[0] = min(runs[places[-1]], runs[seeds[0]], CAP) if len(places) else 0
+                some[0] = min(runs[places[-1]], runs[seeds[0]], cap) if len(places) else 0
             yield_left(seeds, some, is_l_left)
 
-    scan = _Scan(characters)
+    scan = _Scan(characters, cap)
     pieces = [None] * characters
     for c in range(characters - 1, -1, -1):
         if c == text[-1]:
@@ -223,7 +224,7 @@ def induce(text, is_s, runs, lms, lms_shared=None, memory=QUEUE_BYTES):
         else:
             places, shared = drain(c, is_s_left)
         low, low_shared = large[c]
-        seam = min(runs[low[-1]], runs[places[-1]], CAP) if len(low) and len(places) else 0
+        seam = min(runs[low[-1]], runs[places[-1]], cap) if len(low) and len(places) else 0
         if len(low):
             yield_left(low[::-1], np.r_[seam, low_shared[1:][::-1]], is_s_left)
         # Downwards each tuple carries what it shares with the larger one; upwards its neighbour has it.
@@ -345,12 +346,12 @@ def sort_suffixes(text, memory=QUEUE_BYTES):
     return induce_ranges(text, is_s, _order_lms(text, is_s, lambda seeds: induce_ranges(text, is_s, seeds, memory), memory), memory)
 
 
-def suffixes_with_prefixes(text, memory=QUEUE_BYTES):
-    """(order, shared) of a text of small numbers whose last is unique and the smallest."""
+def suffixes_with_prefixes(text, memory=QUEUE_BYTES, cap=CAP):
+    """(order, shared up to `cap`, 2^k - 1) of a text of small numbers whose last is unique and the smallest."""
     runs = runs_of(text)
     is_s = types_of(text, runs)
     lms = _order_lms(text, is_s, lambda seeds: induce(text, is_s, runs, seeds, memory=memory)[0], memory)
     shared = np.zeros(len(lms), np.int64)
     if len(lms) > 1:
-        shared[1:] = Prefixes(text).common(lms[:-1], lms[1:])
-    return induce(text, is_s, runs, lms, shared, memory)
+        shared[1:] = Prefixes(text).common(lms[:-1], lms[1:], cap)
+    return induce(text, is_s, runs, lms, shared, memory, cap)

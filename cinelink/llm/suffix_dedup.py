@@ -122,7 +122,7 @@ def repeats_in_shard(contexts, counts, places, length=LENGTH, memory=QUEUE_BYTES
         text[a:a + len(raw)] += 2
         text[a + len(raw)] = 1
         weight[a:a + n] = w
-    order, shared = suffixes_with_prefixes(text, memory)
+    order, shared = suffixes_with_prefixes(text, memory, (1 << length.bit_length()) - 1)
     classes = np.cumsum(shared < length)
     total = np.bincount(classes, weight[order])
     class_of = np.empty(len(text), np.int64)

@@ -77,6 +77,19 @@ def test_suffix_dedup_is_brute_force(docs, split):
         assert [(s["a"], s["b"]) for s in r["spans"]] == [m.span() for m in re.finditer(b"\1+", bytes(marks))]
 
 
+@pytest.mark.parametrize("length", [300, 511, 512, 600, 1100])
+def test_repeats_longer_than_the_default_cap(length):
+    rng = np.random.default_rng(length)
+    same, *others = (bytes(rng.integers(97, 123, n, dtype=np.uint8)) for n in (1300, 40, 50, 60, 70))
+    contexts = [others[0] + same + others[1], others[2] + same + others[3]]
+    counts = [len(c) - length + 1 for c in contexts]
+    hits, _ = suffix_dedup.repeats_in_shard(contexts, counts, [1, 1], length)
+    seen = Counter(c[i:i + length] for c, n in zip(contexts, counts) for i in range(n))
+    for c, n, h in zip(contexts, counts, hits):
+        assert h.tolist() == [seen[c[i:i + length]] > 1 for i in range(n)]
+    assert sum(h.sum() for h in hits) >= 2 * (1300 - length + 1)
+
+
 def test_near_dup_is_brute_force(docs):
     got = near_dup.link(docs).collect()
     by_id = defaultdict(set)
