@@ -2,7 +2,10 @@
 
 from pyspark.sql import functions as F
 
-from cinelink.llm import chat_format, decontaminate, extract_html, katz, mixing, near_dup, quality_rules, shard_ring, suffix_dedup, url_filter
+from cinelink.llm import (
+    chat_format, decontaminate, extract_html, hard_negatives, katz, line_dedup, mixing, near_dup, prefix_trie, quality_rules, shard_ring,
+    suffix_dedup, url_filter,
+)
 from cinelink.llm.statements import ORACLES  # noqa: F401
 
 RULES = [
@@ -84,7 +87,30 @@ def op10_line_frequency(spark, folder):
     return quality_rules.judge(_table(spark, folder, "documents")).drop("depleted")
 
 
+def op11_prefix_trie(spark, folder):
+    number = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 9
+    convs = prefix_trie.sequences(_table(spark, folder, "conversations"))
+    found = prefix_trie.nodes(prefix_trie.spliced(convs, F.col("conv_id") - F.col("conv_id") % 5, number))
+    return found.select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+
+
+def op12_line_bloom(spark, folder):
+    left = line_dedup.drop_lines(_table(spark, folder, "documents"))
+    return left.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+def op13_cover_tree(spark, folder):
+    rows = _table(spark, folder, "embeddings")
+    bad = F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    rows = rows.where(~bad).select(
+        "vec_id", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label"),
+        F.transform("embedding", lambda x: F.floor(256 * x.cast("double")).cast("long")).alias("vector"))
+    return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_katz_backoff, op2_ngram_decontamination, op3_minhash, op4_poisson_mix, op5_line_blocks, op6_url_trees,
     op7_bounded_ring, op8_suffix_array, op9_content_parts, op10_line_frequency,
+    op11_prefix_trie, op12_line_bloom, op13_cover_tree,
 )}

@@ -62,8 +62,8 @@ p AS (SELECT doc_id, count(DISTINCT pos) AS n_repeat_words FROM m GROUP BY doc_i
 b AS (SELECT d.doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars, length(t) - length(translate(t, '#*$%&|<>', '')) AS n_symbols,
              len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words FROM d LEFT JOIN p USING (doc_id)),
 n AS (SELECT DISTINCT host, t, list_transform(lines, lambda x: trim(regexp_replace(lower(x), '[\x20\x09-\x0D]+', ' ', 'g'))) AS lines FROM d),
-o AS (SELECT host, t, lines[1] AS first, lines[len(lines) // 2 + 1] AS middle, unnest(lines) AS line FROM n),
-f AS (SELECT host, line FROM o GROUP BY host, line HAVING count(DISTINCT t) > 20 AND 2 * count(DISTINCT {'first': first, 'middle': middle}) >= count(DISTINCT t)),
+o AS (SELECT host, t, unnest(lines) AS line FROM n),
+f AS (SELECT host, line FROM o GROUP BY host, line HAVING count(DISTINCT t) > 20),
 q AS (SELECT host, t FROM o LEFT JOIN (SELECT host, line, true AS often FROM f) USING (host, line) GROUP BY host, t
       HAVING 100 * sum(CASE WHEN often THEN 0 ELSE length(line) END) < 30 * sum(length(line)))
 SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
@@ -73,6 +73,54 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
 FROM d JOIN b USING (doc_id)
 """
 
+OP11 = r"""
+WITH t AS (SELECT conv_id, md5(CAST(strlen(r) AS VARCHAR) || ':' || r || x) AS k, strlen(x) AS b, row_number() OVER (
+             PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(CAST(strlen(r) AS VARCHAR) || ':' || r || x)) AS n
+           FROM (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations WHERE conv_id IS NOT NULL)),
+c AS (SELECT conv_id, conv_id - conv_id % 5 AS base, xor(list_reduce(
+        list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: ascii(x)::BIGINT)),
+        lambda a, x: list_reduce(list_prepend(xor(a, x), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda r, i: xor(r >> 1, 3988292384 * (r & 1)))
+      ), 4294967295) % 9 AS h FROM (SELECT DISTINCT conv_id FROM t)),
+r AS (SELECT c.conv_id, 0 AS part, n, k, b FROM c JOIN t ON t.conv_id = base AND n <= h
+      UNION ALL SELECT c.conv_id, 1, n, k, b FROM c JOIN t ON t.conv_id = c.conv_id AND n > h),
+p AS (SELECT conv_id, 0 AS depth, '' AS p, 0 AS b FROM c
+      UNION ALL SELECT conv_id, row_number() OVER w, string_agg(k, '') OVER w, b FROM r WINDOW w AS (PARTITION BY conv_id ORDER BY part, n)),
+m AS (SELECT p, depth, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * max(b) AS saved FROM p GROUP BY p, depth),
+q AS (SELECT left(p, 32 * (depth - 1)) AS p, count(*) AS n_children FROM m WHERE depth > 0 GROUP BY 1),
+u AS (SELECT left(p, CAST(32 * d AS INTEGER)) AS p, sum(CASE WHEN n_children IS NULL THEN 1 ELSE 0 END) AS n_leaves, sum(saved) AS saved_tokens
+      FROM (SELECT p, n_children, saved, unnest(range(0, depth + 1)) AS d FROM m LEFT JOIN q USING (p)) GROUP BY 1),
+e AS (SELECT p, sha256(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)) AS ends_sha256
+      FROM (SELECT conv_id, arg_max(p, depth) AS p FROM p GROUP BY conv_id) GROUP BY p)
+SELECT m.conv_id, CAST(m.depth AS BIGINT) AS depth, o.conv_id AS parent_conv_id, m.n_convs, coalesce(n_children, 0) AS n_children,
+       CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, coalesce(ends_sha256, sha256('')) AS ends_sha256
+FROM m LEFT JOIN q USING (p) JOIN u USING (p) LEFT JOIN e USING (p)
+LEFT JOIN m AS o ON m.depth > 0 AND o.depth = m.depth - 1 AND o.p = left(m.p, CAST(32 * (m.depth - 1) AS INTEGER))
+"""
+
+OP12 = r"""
+WITH d AS (SELECT row_number() OVER () AS row_, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT row_, doc_id, unnest(range(1, len(lines) + 1)) AS n, unnest(lines) AS line FROM d),
+k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+f AS (SELECT key, max(doc_id) AS keeper FROM k WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT row_) >= 5),
+x AS (SELECT k.*, f.key IS NOT NULL AND doc_id IS DISTINCT FROM keeper AS lost FROM k LEFT JOIN f USING (key))
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, CAST(count_if(lost) AS BIGINT) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (WHERE NOT lost), '')) AS kept_sha256
+FROM x GROUP BY row_
+"""
+
+OP13 = r"""
+WITH v AS (SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q FROM embeddings
+           WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.id AS anchor_id, a.label = v.label AS same, v.id, CAST(list_dot_product(a.q, v.q) AS BIGINT) AS score FROM v AS a JOIN v ON a.id % 100 = 0 AND a.id <> v.id),
+p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+n AS (SELECT p.anchor_id, p.id AS positive_id, s.id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+             CAST(row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY s.score DESC, s.id) AS INTEGER) AS rank
+      FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT s.same AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
+"""
+
 ORACLES = {
     "op2_ngram_decontamination": OP2, "op3_minhash": OP3, "op4_poisson_mix": OP4, "op9_content_parts": OP9, "op10_line_frequency": OP10,
+    "op11_prefix_trie": OP11, "op12_line_bloom": OP12, "op13_cover_tree": OP13,
 }

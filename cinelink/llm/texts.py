@@ -1,4 +1,6 @@
-"""Small Column helpers that the text operators share."""
+"""Small helpers that the text operators share."""
+
+from contextlib import contextmanager
 
 from pyspark.sql import functions as F
 
@@ -33,3 +35,15 @@ def group_key(column):
 def digest(column):
     """128 bits that stand for a text; null counts as empty."""
     return F.unhex(F.md5(text_or_empty(column)))
+
+
+@contextmanager
+def arrow_rows(spark, rows):
+    """Let Python workers take at most `rows` rows at a time from what is run inside: whole texts are large."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
