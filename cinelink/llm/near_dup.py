@@ -25,10 +25,12 @@ than all; an empty table gives no rows; other columns are not looked at.
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import functions as F
 
 from cinelink.llm.components import merge_components
+from cinelink.llm.texts import arrow_rows, digest
 from cinelink.runtime import materialize
 
 WORDS = 5
@@ -36,6 +38,8 @@ PERCENT = 75
 BANDS, ROWS = 48, 4
 ROUNDS = 2
 BLOCK = 256
+TEXTS = 250  # whole texts, or pairs of sets, that a Python worker takes at a time
+WORDS_KEPT = 50_000  # hashes of words that it remembers
 MULTIPLIER, WORD_FACTOR = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -92,21 +96,27 @@ def bands_of(values, bands, rows):
 
 
 def profile(docs, doc_id, text, words=WORDS, bands=BANDS, rows=ROWS):
-    """(id, set_hash, n_shingles, bands) of every row."""
+    """(id, digest, set_hash, n_shingles, bands) of every row; `digest` stands for the text."""
     def run(batches):
+        seen = {}
         for batch in batches:
-            out, seen = [], {}
-            for t in batch["text"]:
-                if len(seen) > 500_000:
-                    seen = {}
-                s = shingle_set(t, words, seen)
-                out.append((xxhash.xxh3_128_digest(s.tobytes()), len(s), bands_of(sketch(s, bands * rows), bands, rows) if len(s) else []))
-            yield pd.DataFrame({
-                "id": batch["id"], "set_hash": [o[0] for o in out], "n_shingles": [o[1] for o in out], "bands": [o[2] for o in out]})
+            names, sizes, found = [], [], []
+            for t in batch.column(2):
+                if len(seen) > WORDS_KEPT:
+                    seen.clear()
+                s = shingle_set(t.as_py(), words, seen)
+                names.append(xxhash.xxh3_128_digest(s.tobytes()))
+                sizes.append(len(s))
+                found.append(bands_of(sketch(s, bands * rows), bands, rows) if len(s) else np.empty(0, np.int64))
+            ends = np.cumsum([0, *map(len, found)], dtype=np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found) if found else np.empty(0, np.int64)))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(names, pa.binary()), pa.array(sizes, pa.int64()), lists],
+                ["id", "digest", "set_hash", "n_shingles", "bands"])
 
     ids = docs.schema[doc_id].dataType.simpleString()
-    return docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text")).mapInPandas(
-        run, f"id {ids}, set_hash binary, n_shingles long, bands array<long>")
+    return docs.select(F.col(doc_id).alias("id"), digest(F.col(text)).alias("digest"), F.col(text).cast("string").alias("text")).mapInArrow(
+        run, f"id {ids}, digest binary, set_hash binary, n_shingles long, bands array<long>")
 
 
 def _verify(pairs, sets, percent):
@@ -203,7 +213,7 @@ def _rest(state, heads, sets, percent, block=BLOCK):
     return materialize(found.distinct(), "links")
 
 
-def link(docs, doc_id="doc_id", text="text", words=WORDS, percent=PERCENT, bands=BANDS, rows=ROWS, rounds=ROUNDS):
+def _link(docs, doc_id="doc_id", text="text", words=WORDS, percent=PERCENT, bands=BANDS, rows=ROWS, rounds=ROUNDS):
     """(id, n_shingles, component_id, kept) of every document."""
     found = materialize(profile(docs, doc_id, text, words, bands, rows), "profile")
     # Classes of equal sets, under the smallest id; numbers of classes are hashes of their sets.
@@ -220,13 +230,13 @@ def link(docs, doc_id="doc_id", text="text", words=WORDS, percent=PERCENT, bands
 
     def to_sets(batches):
         for batch in batches:
-            made = [shingle_set(t, words) for t in batch["text"]]
+            made = [shingle_set(t.as_py(), words).tobytes() for t in batch.column(1)]
             # An id may stand on several rows: only the text of the class counts.
-            yield pd.DataFrame({
-                "class": batch["class"], "set_hash": [xxhash.xxh3_128_digest(s.tobytes()) for s in made],
-                "shingles": [s.tobytes() for s in made]})
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([xxhash.xxh3_128_digest(s) for s in made], pa.binary()), pa.array(made, pa.binary())],
+                ["class", "set_hash", "shingles"])
 
-    sets = texts.mapInPandas(to_sets, "class long, set_hash binary, shingles binary")
+    sets = texts.mapInArrow(to_sets, "class long, set_hash binary, shingles binary")
     sets = materialize(sets.where(F.col("class") == F.xxhash64("set_hash")).dropDuplicates(["class"]).select("class", "shingles"), "sets")
     # A link needs percent of the larger set in common, so a set that shares less with all others has none.
     shared = _shared_sizes(sets).withColumnRenamed("shared", "s")
@@ -270,6 +280,12 @@ def link(docs, doc_id="doc_id", text="text", words=WORDS, percent=PERCENT, bands
     return full.union(empty).withColumn("kept", F.col("id").eqNullSafe(F.col("component_id")))
 
 
+def link(docs, doc_id="doc_id", text="text", **options):
+    """(id, n_shingles, component_id, kept) of every document."""
+    with arrow_rows(docs.sparkSession, TEXTS):
+        return _link(docs, doc_id, text, **options)
+
+
 def keep_first(docs, doc_id="doc_id", text="text", **options):
     """The rows of `docs` whose id is the smallest of its component, with their own columns."""
     linked = link(docs, doc_id, text, **options)
