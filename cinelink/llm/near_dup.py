@@ -20,7 +20,10 @@ capped and no list of pairs is made. Similarities are verified on full sets.
 Defined results: text is lower-cased A-Z; fewer words than a shingle form one shingle; null,
 empty or wordless texts have an empty set and link with nothing, not even one another; every
 row of a repeated id is judged by its own text; a null id is an id like any other, smaller
-than all; an empty table gives no rows; other columns are not looked at.
+than all; an empty table gives no rows; other columns are not looked at. `keep_first` keeps
+one row of a component, the one with the smallest id and of those the smallest digest of its
+text; of rows equal in id and text it keeps one, the first by their JSON; all rows without
+words stay.
 """
 
 import numpy as np
@@ -213,8 +216,8 @@ def _rest(state, heads, sets, percent, block=BLOCK):
     return materialize(found.distinct(), "links")
 
 
-def _link(docs, doc_id="doc_id", text="text", words=WORDS, percent=PERCENT, bands=BANDS, rows=ROWS, rounds=ROUNDS):
-    """(id, n_shingles, component_id, kept) of every document."""
+def _components(docs, doc_id="doc_id", text="text", words=WORDS, percent=PERCENT, bands=BANDS, rows=ROWS, rounds=ROUNDS):
+    """(id, digest, n_shingles, part) of every row; rows of one component have one `part`, rows without words none."""
     found = materialize(profile(docs, doc_id, text, words, bands, rows), "profile")
     # Classes of equal sets, under the smallest id; numbers of classes are hashes of their sets.
     filled = found.where("n_shingles > 0").withColumn("class", F.xxhash64("set_hash"))
@@ -270,25 +273,36 @@ def _link(docs, doc_id="doc_id", text="text", words=WORDS, percent=PERCENT, band
         add(materialize(_verify(pairs, sets, percent), "links"))
     add(_rest(state(), heads(0), sets, percent))
 
+    own = found.select("id", "digest", "n_shingles", F.when(F.col("n_shingles") > 0, F.xxhash64("set_hash")).alias("class"))
     if parts is None:
-        labelled = filled.select("id", "n_shingles", "class").withColumn("part", F.col("class"))
-    else:
-        labelled = filled.select("id", "n_shingles", "class").join(parts, "class", "left").withColumn("part", F.coalesce("part", F.col("class")))
-    least = labelled.groupBy("part").agg(F.min(F.struct("id")).alias("least"))
-    full = labelled.join(least, "part").select("id", "n_shingles", F.col("least.id").alias("component_id"))
-    empty = found.where("n_shingles = 0").select("id", "n_shingles", F.col("id").alias("component_id"))
-    return full.union(empty).withColumn("kept", F.col("id").eqNullSafe(F.col("component_id")))
+        return own.withColumnRenamed("class", "part")
+    return own.join(parts, "class", "left").withColumn("part", F.coalesce("part", "class")).drop("class")
 
 
 def link(docs, doc_id="doc_id", text="text", **options):
     """(id, n_shingles, component_id, kept) of every document."""
     with arrow_rows(docs.sparkSession, TEXTS):
-        return _link(docs, doc_id, text, **options)
+        labelled = _components(docs, doc_id, text, **options)
+    filled = labelled.where("part is not null")
+    least = filled.groupBy("part").agg(F.min(F.struct("id")).alias("least"))
+    full = filled.join(least, "part").select("id", "n_shingles", F.col("least.id").alias("component_id"))
+    empty = labelled.where("part is null").select("id", "n_shingles", F.col("id").alias("component_id"))
+    return full.union(empty).withColumn("kept", F.col("id").eqNullSafe(F.col("component_id")))
 
 
 def keep_first(docs, doc_id="doc_id", text="text", **options):
-    """The rows of `docs` whose id is the smallest of its component, with their own columns."""
-    linked = link(docs, doc_id, text, **options)
-    gone = materialize(linked.where("not kept").select(F.struct("id").alias("key")).distinct(), "copies")
-    own = docs.select(F.struct("*").alias("row")).withColumn("own", F.struct(F.col(f"row.{doc_id}").alias("id")))
-    return own.join(gone, F.col("own").eqNullSafe(F.col("key")), "left_anti").select("row.*")
+    """One row of every component of `docs`, and all rows without words, with their own columns."""
+    with arrow_rows(docs.sparkSession, TEXTS):
+        labelled = _components(docs, doc_id, text, **options).where("part is not null")
+    name = F.struct("id", "digest")
+    rows = labelled.groupBy("part", "id", "digest").agg(F.count("*").alias("n"))
+    least = labelled.groupBy("part").agg(F.min(name).alias("least"))
+    # Rows that go, and rows of which one stays; all others are not mentioned.
+    told = rows.join(least, "part").select(name.alias("key"), (name != F.col("least")).alias("gone"), "n").where("gone or n > 1")
+    told = materialize(told.select("key", "gone"), "copies")
+    own = docs.select(F.struct("*").alias("row")).withColumn(
+        "own", F.struct(F.col(f"row.{doc_id}").alias("id"), digest(F.col(f"row.{text}")).alias("digest")))
+    mentioned = own.join(told, F.col("own").eqNullSafe(F.col("key")), "left")
+    alone = mentioned.where("gone is null").select("row")
+    first = mentioned.where("not gone").groupBy("own").agg(F.min_by("row", F.to_json("row")).alias("row")).select("row")
+    return alone.union(first).select("row.*")

@@ -116,6 +116,18 @@ def test_near_dup_is_brute_force(docs):
     assert near_dup.keep_first(docs).columns == docs.columns
 
 
+def test_keep_first_goes_by_row(spark):
+    """Ids that stand on several rows: a text that is a copy of nothing stays, of equal rows one does."""
+    x, y, u = (" ".join(f"{c}{i}" for i in range(40)) for c in "xyu")
+    rows = [(1, x, "a"), (5, x, "b"), (5, y, "c"), (7, u, "d"), (7, u, "d"), (8, None, "e"), (8, None, "e"), (None, y + " more", "f"), (2, u.upper(), "g")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, key string")
+    got = Counter(tuple(r) for r in near_dup.keep_first(docs).collect())
+    assert got == Counter([rows[0], rows[5], rows[6], rows[7], rows[8]])
+    docs = spark.createDataFrame(rows[:5], "doc_id long, text string, key string")
+    assert Counter(tuple(r) for r in near_dup.keep_first(docs).collect()) == Counter([rows[0], rows[2], rows[3]])
+    assert near_dup.keep_first(docs.limit(0)).count() == 0
+
+
 def test_near_dup_groups_do_not_grow_with_a_crowd(spark, monkeypatch):
     """A template family whose pages mostly don't link: right components, and no group beyond a few blocks of sets."""
     rng = np.random.default_rng(7)
