@@ -2,7 +2,8 @@
 
 Tables are immutable snapshots: every operator takes the existing snapshot and
 returns the next one. Write it to a new folder (`write_snapshot`), never over the
-one being read.
+one being read; or keep the tables in `snapshots.Snapshots`, where a load rewrites only
+the buckets that it touches.
 """
 
 from pyspark.sql import functions as F
@@ -84,11 +85,15 @@ def _first_of(rows, key, n):
 
 
 def existing_ids(rows, movies):
-    """The stored movie each row denotes: by tmdb_id, else by imdb_id. (nr, by, movie_id)"""
+    """The stored movie each row denotes: by tmdb_id, else by imdb_id. (nr, by, movie_id)
+
+    `movies` is the stored table, or the holders of each identifier as {name: (identifier, id)}.
+    """
     found, n = None, rows.count()
     for by in ("tmdb_id", "imdb_id"):
         keyed = rows.where(F.col(by).isNotNull()).select("nr", by)
-        stored = movies.where(F.col(by).isNotNull()).groupBy(by).agg(F.min("id").alias("movie_id"))
+        held = movies[by] if isinstance(movies, dict) else movies
+        stored = held.where(F.col(by).isNotNull()).groupBy(by).agg(F.min("id").alias("movie_id"))
         hit = skew_join(keyed, stored, [by], "inner", hot_keys(keyed, [by], at_most=n), spread_by=["nr"])
         hit = hit.select("nr", F.lit(by).alias("by"), "movie_id")
         found = hit if found is None else found.union(hit.join(found.select("nr"), "nr", "left_anti"))

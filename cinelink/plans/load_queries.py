@@ -6,6 +6,7 @@ and updates by either identifier all occur.
 """
 
 import datetime
+from functools import reduce
 
 from pyspark.sql import functions as F
 
@@ -17,8 +18,9 @@ from cinelink.operators.normalize import normalize_records
 from cinelink.operators.resolve import link_records
 from cinelink.plans import statements as Q
 from cinelink.plans.catalogue import FILM_COLUMNS, raw_films
-from cinelink.plans.registry import query, select_list
-from cinelink.runtime import materialize
+from cinelink.operators.snapshots import Snapshots
+from cinelink.plans.registry import ORACLES, query, select_list
+from cinelink.runtime import materialize, new_path
 
 AT = datetime.datetime(2024, 1, 1)
 
@@ -99,6 +101,12 @@ ENTITIES = f"""
         WHERE why = '')"""
 
 
+MOVIE_COLUMNS = [
+    "id", "tmdb_id", "imdb_id", "title", "original_title", "overview", "budget", "popularity", "runtime_minutes",
+    "sources", "CAST(release_date AS STRING) AS release_date",
+]
+
+
 def _last(column):
     return f"arg_max({column}, tier * 1000000000::BIGINT + k) FILTER ({column} IS NOT NULL)"
 
@@ -124,9 +132,7 @@ def movie_ids(t):
         n.runtime_minutes, n.sources, CASE WHEN n.year IS NOT NULL THEN concat(n.year, '-01-01') END AS release_date
     FROM stored o FULL JOIN incoming n ON n.movie_id = o.id""")
 def upserted_movies(t):
-    return loaded_tables(t)["movies"].select(
-        "id", "tmdb_id", "imdb_id", "title", "original_title", "overview", "budget", "popularity", "runtime_minutes",
-        "sources", F.col("release_date").cast("string").alias("release_date"))
+    return loaded_tables(t)["movies"].selectExpr(*MOVIE_COLUMNS)
 
 
 _GENRES = Q.genre_list("genre_text")
@@ -193,33 +199,66 @@ def load_counts(t):
     return load.load_counts(loaded_tables(t)["ingestion_logs"])
 
 
-@query("six_table_load", f"""
-    WITH {ENTITIES}, ids AS (SELECT DISTINCT movie_id FROM good)
-    SELECT 'movies' AS table_name, (SELECT count(*) FROM stored) + (SELECT count(*) FROM ids WHERE NOT starts_with(movie_id, 'c')
-        OR length(movie_id) = 64) AS n
-    UNION ALL SELECT 'ingestion_logs', count(*) FROM judged
-    UNION ALL SELECT 'movie_genres', count(*) FROM (SELECT DISTINCT movie_id, unnest({_GENRES}) FROM good)""")
+COUNTS = f"""
+    counts AS (
+        SELECT 'movies' AS table_name, (SELECT count(*) FROM stored) + (SELECT count(DISTINCT movie_id) FROM good
+            WHERE NOT starts_with(movie_id, 'c') OR length(movie_id) = 64) AS n
+        UNION ALL SELECT 'genres', count(DISTINCT name) FROM (
+            SELECT unnest({_GENRES}) AS name FROM good UNION ALL SELECT p_brand FROM part
+            UNION ALL SELECT concat(left(p_type, 1), lower(substr(p_type, 2))) FROM part)
+        UNION ALL SELECT 'movie_genres', count(*) FROM (SELECT DISTINCT movie_id, unnest({_GENRES}) FROM good)
+        UNION ALL SELECT 'ratings', count(*) FROM (
+            SELECT movie_id, source FROM ({STORED_RATINGS}) UNION SELECT movie_id, source FROM good)
+        UNION ALL SELECT 'rt_details', count(*) FROM (
+            SELECT movie_id FROM ({STORED_DETAILS}) UNION SELECT movie_id FROM good
+            WHERE coalesce(tomatometer_score, 0) <> 0 OR coalesce(audience_score, 0) <> 0 OR coalesce(critics_consensus, '') <> '')
+        UNION ALL SELECT 'ingestion_logs', count(*) FROM judged)"""
+
+
+def count_rows(tables):
+    """Rows per table: (table_name, n)."""
+    counted = [
+        df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("table_name"), "n") for name, df in tables.items()
+    ]
+    return reduce(lambda a, b: a.union(b), counted)
+
+
+def snapshots_with_stored(t, buckets=16):
+    """The stored tables as the first snapshot of a new folder."""
+    store = Snapshots(t.spark, new_path(t.spark, "snapshots"), buckets)
+    store.adopt(stored(t))
+    return store
+
+
+@query("six_table_load", f"WITH {ENTITIES}, {COUNTS} SELECT * FROM counts")
 def six_table_load(t):
-    tables = loaded_tables(t)
-    counted = None
-    for name in ("movies", "ingestion_logs", "movie_genres"):
-        one = tables[name].agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("table_name"), "n")
-        counted = one if counted is None else counted.union(one)
-    return counted
+    """Rows of all six tables after a load onto the stored snapshot."""
+    store = snapshots_with_stored(t)
+    store.load(entities(t), F.lit(AT))
+    return count_rows(store.tables())
+
+
+@query("incremental_load", ORACLES["upserted_movies"])
+def incremental_load(t):
+    """Movies after two loads, of which the second, of one entity in a hundred, rewrites only their buckets."""
+    store, rows = snapshots_with_stored(t, 64), entities(t)
+    store.load(rows.where("k % 100 <> 0"), F.lit(AT))
+    store.load(rows.where("k % 100 = 0"), F.lit(AT))
+    return store.read("movies").selectExpr(*MOVIE_COLUMNS)
 
 
-@query("repeated_load", """
-    SELECT unnest(['movies', 'genres', 'movie_genres', 'ratings', 'rt_details']) AS table_name, 0 AS changed""")
+@query("repeated_load", f"WITH {ENTITIES}, {COUNTS} SELECT table_name, n, 0 AS changed FROM counts WHERE table_name <> 'ingestion_logs'")
 def repeated_load(t):
-    """Rows that differ between loading the same entities once and twice: none."""
-    once = {n: materialize(df, n) for n, df in loaded_tables(t).items()}
-    twice = load.load(entities(t), once, F.lit(AT))
-    changed = None
-    for name in ("movies", "genres", "movie_genres", "ratings", "rt_details"):
-        differ = twice[name].exceptAll(once[name]).union(once[name].exceptAll(twice[name]))
-        one = differ.agg(F.count(F.lit(1)).alias("changed")).select(F.lit(name).alias("table_name"), "changed")
-        changed = one if changed is None else changed.union(one)
-    return changed
+    """Rows of each table after loading the same entities twice, and those that differ from the first load: none."""
+    store = snapshots_with_stored(t)
+    store.load(entities(t), F.lit(AT))
+    once = store.tables()
+    store.load(entities(t), F.lit(AT))
+    twice = store.tables()
+    names = [n for n in S.TARGET_TABLES if n != "ingestion_logs"]
+    differ = {n: twice[n].exceptAll(once[n]).union(once[n].exceptAll(twice[n])) for n in names}
+    return count_rows({n: twice[n] for n in names}).join(
+        count_rows(differ).withColumnRenamed("n", "changed"), "table_name")
 
 
 @query("ratings_per_source", f"""
@@ -362,9 +401,11 @@ def constraint_audit(t):
     return quality.audit({name: table(name) for name in S.TARGET_TABLES})
 
 
-@query("audit_of_load", _audit_sql()[1])
+@query("audit_of_load", f"WITH {ENTITIES}, {COUNTS} SELECT found.*, n FROM ({_audit_sql()[1]}) found JOIN counts USING (table_name)")
 def audit_of_load(t):
-    return quality.audit({n: materialize(df, n) for n, df in loaded_tables(t).items()})
+    """Violations in the loaded tables, none, next to the rows that were checked."""
+    tables = {n: materialize(df, n) for n, df in loaded_tables(t).items()}
+    return quality.audit(tables).join(count_rows(tables), "table_name")
 
 
 @query("run_audit", f"""
