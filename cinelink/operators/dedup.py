@@ -1,5 +1,6 @@
 """De-duplication inside one source."""
 
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from cinelink import schema as S
@@ -90,10 +91,17 @@ def deduplicate(df):
     return best.join(kept, "pos", "left_semi").drop("tier")
 
 
+def per_source(rows, name):
+    """(source, `name`): rows per source. `rows` may be such numbers already, as a dict; sources without rows are left out."""
+    if isinstance(rows, dict):
+        known = [(source, n) for source, n in rows.items() if n]
+        return SparkSession.active().createDataFrame(known, f"source string, {name} long")
+    return rows.groupBy("source").agg(F.count(F.lit(1)).alias(name))
+
+
 def removed_counts(before, after):
-    """Rows per source before and after, and how many were removed."""
-    n = lambda df, name: df.groupBy("source").agg(F.count(F.lit(1)).alias(name))
-    both = n(before, "before").join(n(after, "after"), "source", "left")
+    """Rows per source before and after, and how many were removed. Takes rows, or their numbers per source."""
+    both = per_source(before, "before").join(per_source(after, "after"), "source", "left")
     return both.select(
         "source", "before", F.coalesce("after", F.lit(0)).alias("after"),
         (F.col("before") - F.coalesce("after", F.lit(0))).alias("removed"),

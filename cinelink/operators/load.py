@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from cinelink import schema as S
 from cinelink.functions import numbers
-from cinelink.runtime import hot_keys, materialize, skew_join
+from cinelink.runtime import hot_keys, lookup_join, materialize, skew_join
 
 MOVIE_FIELDS = [
     "tmdb_id", "imdb_id", "title", "original_title", "overview", "release_date", "runtime_minutes",
@@ -26,6 +26,10 @@ def last_filled(name, order):
     return F.max_by(name, F.when(F.col(name).isNotNull(), F.col(order))).alias(name)
 
 
+def title_or_unknown(title):
+    return F.coalesce(F.nullif(title, F.lit("")), F.lit("Unknown"))
+
+
 def movie_rows(gold):
     """Gold entities as rows of the movies table, in load order `nr`.
 
@@ -40,7 +44,7 @@ def movie_rows(gold):
     return gold.withColumns({
         "id": F.sha2(natural, 256),
         "nr": F.struct("tier", "pos"),
-        "title": F.coalesce(F.nullif("title", F.lit("")), F.lit("Unknown")),
+        "title": title_or_unknown(F.col("title")),
         "contributors": F.col("sources"),
         "sources": F.array_join("sources", ","),
     })
@@ -67,20 +71,25 @@ def rejections(rows):
     return F.array_compact(F.array(*checks))
 
 
+def cut_message(message):
+    """An error message as the log takes it."""
+    return F.left(message, F.lit(MESSAGE_LENGTH))
+
+
 def split_rejected(rows):
     """Rows that can be loaded, and rejected rows with their `error_message`."""
     judged = rows.withColumn("reasons", rejections(rows))
     good = judged.where("size(reasons) = 0").drop("reasons")
     bad = judged.where("size(reasons) > 0").withColumn(
-        "error_message", F.left(F.array_join("reasons", "; "), F.lit(MESSAGE_LENGTH)))
+        "error_message", cut_message(F.array_join("reasons", "; ")))
     return good, bad.drop("reasons")
 
 
-def _first_of(rows, key, n):
+def _first_of(rows, key, n, hot_rows=None):
     """Each row with a key value to the first row holding it: (nr, first)."""
     keyed = rows.where(F.col(key).isNotNull()).select("nr", key)
     first = keyed.groupBy(key).agg(F.min("nr").alias("first"))
-    linked = skew_join(keyed, first, [key], "inner", hot_keys(keyed, [key], at_most=n), spread_by=["nr"])
+    linked = skew_join(keyed, first, [key], "inner", hot_keys(keyed, [key], hot_rows, at_most=n), spread_by=["nr"])
     return linked.where("first < nr").select("nr", "first")
 
 
@@ -100,22 +109,23 @@ def existing_ids(rows, movies):
     return found
 
 
-def target_ids(rows, movies, max_rounds=60):
+def target_ids(rows, movies, max_rounds=60, hot_rows=None):
     """The movie id each row writes to: (nr, movie_id).
 
     In order of precedence: the stored movie with its tmdb_id, the movie of an
     earlier row with the same tmdb_id, then the same two for imdb_id, else a new
     movie. Rows that lean on one another are resolved by doubling the step, so a
-    chain of n rows takes log n rounds.
+    chain of n rows takes log n rounds. A row that more than `hot_rows` others lean on is
+    split, in every round.
     """
     rows = materialize(rows.select("nr", "id", "tmdb_id", "imdb_id"), "keys")
     stored = materialize(existing_ids(rows, movies), "stored")
     by_tmdb = stored.where("by = 'tmdb_id'").select("nr", "movie_id")
     by_imdb = stored.where("by = 'imdb_id'").select("nr", "movie_id")
     n = rows.count()
-    leans = _first_of(rows, "tmdb_id", n).join(by_tmdb, "nr", "left_anti")
+    leans = _first_of(rows, "tmdb_id", n, hot_rows).join(by_tmdb, "nr", "left_anti")
     settled = stored.select("nr").union(leans.select("nr"))
-    leans = leans.union(_first_of(rows, "imdb_id", n).join(settled, "nr", "left_anti"))
+    leans = leans.union(_first_of(rows, "imdb_id", n, hot_rows).join(settled, "nr", "left_anti"))
     leans = materialize(leans, "leans")
     # A row leaning on an earlier one by tmdb_id does so before its stored imdb_id counts.
     own = by_tmdb.union(by_imdb.join(leans.select("nr"), "nr", "left_anti"))
@@ -125,13 +135,14 @@ def target_ids(rows, movies, max_rounds=60):
         return roots
     for _ in range(max_rounds):
         step = leans.select(F.col("nr").alias("first"), F.col("first").alias("next"))
-        jumped = leans.join(step, "first", "left")
+        hot = hot_keys(leans, ["first"], hot_rows, at_most=n)
+        jumped = materialize(skew_join(leans, step, ["first"], "left", hot, spread_by=["nr"]), "leans")
         if jumped.where("next is not null").isEmpty():
             break
-        leans = materialize(jumped.select("nr", F.coalesce("next", "first").alias("first")), "leans")
+        leans = jumped.select("nr", F.coalesce("next", "first").alias("first"))
     else:
         raise RuntimeError("rows leaning on one another did not settle")
-    rest = leans.join(roots.withColumnRenamed("nr", "first"), "first").select("nr", "movie_id")
+    rest = skew_join(leans, roots.withColumnRenamed("nr", "first"), ["first"], "inner", hot, spread_by=["nr"]).select("nr", "movie_id")
     return roots.union(rest)
 
 
@@ -207,21 +218,23 @@ def upsert_ratings(rows, ratings):
     return upsert(ratings, incoming, ["movie_id", "source"], ["score", "vote_count", "scale"])
 
 
-def source_ratings(records, links, movie_ids):
+def source_ratings(records, links, movie_ids, hot_rows=None):
     """One rating per movie and contributing source, from the records before merging.
 
     `links` is (pos, master) of every record, `movie_ids` is (pos, movie_id) of the
-    entities.
+    entities. A master of more than `hot_rows` records is split.
     """
     vote, tomato = F.col("vote_average"), F.col("tomatometer_score")
-    voted = records.join(links, "pos").join(
-        movie_ids.withColumnRenamed("pos", "master"), "master"
-    ).where(F.col("source").isin(S.SOURCES))
+    # Copies shrink to one row per master and source before they meet the master's movie.
+    voted = records.where(F.col("source").isin(S.SOURCES)).join(links, "pos")
     row = F.struct(
         numbers.rating_score(vote, tomato).alias("score"), "vote_count",
         numbers.rating_scale(vote, tomato, F.col("source")).alias("scale"),
     )
-    first = voted.groupBy("movie_id", "source").agg(F.min_by(row, "pos").alias("r"))
+    first = voted.groupBy("master", "source").agg(F.min("pos").alias("pos"), F.min_by(row, "pos").alias("r"))
+    named = lookup_join(first, movie_ids.withColumnRenamed("pos", "master"), ["master"], "inner", hot_rows)
+    # Several masters may have become one movie.
+    first = named.groupBy("movie_id", "source").agg(F.min_by("r", "pos").alias("r"))
     return first.select("movie_id", "source", "r.score", "r.vote_count", "r.scale")
 
 

@@ -2,6 +2,7 @@
 
 from functools import reduce
 
+from pyspark.sql import Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cinelink.functions import numbers
@@ -20,12 +21,18 @@ def value_counts(df, column):
 
 
 def stage_metrics(stages):
-    """Rows before, after and removed per step of an ordered {stage: DataFrame}."""
-    counted = [
+    """Rows before, after and removed per step of an ordered {stage: rows}.
+
+    A stage is a DataFrame, which is counted, or the number of its rows where that is known
+    from the time it was stored (`counted`).
+    """
+    spark = SparkSession.active()
+    known = spark.createDataFrame(
+        [(i, name, n) for i, (name, n) in enumerate(stages.items()) if isinstance(n, int)], "step int, stage string, after long")
+    rows = reduce(lambda a, b: a.union(b), [known, *[
         df.agg(F.count(F.lit(1)).alias("after")).select(F.lit(i).alias("step"), F.lit(name).alias("stage"), "after")
-        for i, (name, df) in enumerate(stages.items())
-    ]
-    rows = reduce(lambda a, b: a.union(b), counted)
+        for i, (name, df) in enumerate(stages.items()) if not isinstance(df, int)
+    ]])
     before = rows.select((F.col("step") + 1).alias("step"), F.col("after").alias("before"))
     return rows.join(before, "step", "left").select(
         "step", "stage", F.coalesce("before", "after").alias("before"), "after",
@@ -33,6 +40,23 @@ def stage_metrics(stages):
     )
 
 
+def counted(df, label, sources=()):
+    """Store `df` and return (stored, rows, rows per source): rows are counted while they are written.
+
+    `sources` are the labels to expect; rows with another one are counted in a second pass,
+    which takes place only if there are any.
+    """
+    seen = Observation()
+    n = F.count(F.lit(1)).alias("rows")
+    stored = materialize(df.observe(seen, n, *[
+        F.count_if(F.col("source") == name).alias(f"source {i}") for i, name in enumerate(sources)]), label)
+    found = seen.get
+    rows, each = found.get("rows", 0), {name: found.get(f"source {i}", 0) for i, name in enumerate(sources)}
+    if sources and sum(each.values()) < rows:
+        each = {r["source"]: r["count"] for r in stored.groupBy("source").count().collect()}
+    return stored, rows, each
+
+
 def histogram(df, column, bins=8):
     """Rows per bin of equal width between minimum and maximum, empty bins included."""
     value = df.where(F.col(column).isNotNull() & ~F.isnan(F.col(column).cast("double")))
@@ -57,36 +81,57 @@ def films_per_decade(df, date="release_date"):
     return df.where(F.col(date).isNotNull()).groupBy(decade).agg(F.count(F.lit(1)).alias("n")).orderBy("decade")
 
 
-def quantiles(df, column, points):
-    """Exact quantiles, linear between neighbours, as {point: value}.
+def value_ranks(df, columns):
+    """Stored (column_name, v, n, part): how often each value of numeric columns occurs, sorted within `part`.
 
-    The column is sorted across the cluster and stored with its running number; the
-    driver sees one count per partition and the few rows asked for.
+    Counting combines map-side, so a value that most rows hold is one row per task and one
+    row here. Parts are ranges of (column, value), in order.
     """
-    ranked = materialize(
-        df.where(F.col(column).isNotNull()).select(F.col(column).cast("double").alias("v"))
-        .orderBy("v").withColumn("nr", F.monotonically_increasing_id()),
-        "ranked",
-    )
-    part = F.shiftright("nr", 33)
-    sizes = sorted(ranked.groupBy(part.alias("p")).count().collect())
-    total = sum(n for _, n in sizes)
-    if not total:
-        return {p: None for p in points}
-
-    def number(rank):
-        for p, n in sizes:
-            if rank < n:
-                return (p << 33) + rank
-            rank -= n
-
-    wanted = {}
-    for p in points:
-        at = p * (total - 1)
-        wanted[p] = (number(int(at)), number(min(int(at) + 1, total - 1)), at - int(at))
-    keys = sorted({k for low, high, _ in wanted.values() for k in (low, high)})
-    value = {r.nr: r.v for r in ranked.where(F.col("nr").isin(keys)).collect()}
-    return {p: value[low] + (value[high] - value[low]) * share for p, (low, high, share) in wanted.items()}
+    pairs = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v")) for c in columns
+    ])).alias("p")).select("p.*").where("v is not null")
+    counted = pairs.groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("n"))
+    ranges = counted.repartitionByRange("column_name", "v").sortWithinPartitions("column_name", "v")
+    return materialize(ranges.withColumn("part", F.spark_partition_id()), "ranked")
+
+
+def quantiles(df, columns, points):
+    """Exact quantiles, linear between neighbours, as {column: {point: value}}; one pass for all columns.
+
+    Ranks are running sums over the distinct values: sums of parts are added up on the
+    driver, one row per part and column, and the values inside a part where they are asked for.
+    """
+    ranked = value_ranks(df, columns)
+    sizes = {c: [] for c in columns}
+    for r in ranked.groupBy("column_name", "part").agg(F.sum("n").alias("n")).orderBy("part").collect():
+        sizes[r["column_name"]].append((r["part"], r["n"]))
+    wanted, places = {}, {}
+    for c in columns:
+        total = sum(n for _, n in sizes[c])
+        for p in points if total else ():
+            at = p * (total - 1)
+            wanted[c, p] = (int(at), min(int(at) + 1, total - 1), at - int(at))
+            for rank in wanted[c, p][:2]:
+                before = 0
+                for part, n in sizes[c]:
+                    if rank < before + n:
+                        places[c, rank] = (part, rank - before)
+                        break
+                    before += n
+    value = {}
+    if places:
+        asked = df.sparkSession.createDataFrame(
+            [(c, part, inside, rank) for (c, rank), (part, inside) in places.items()],
+            "column_name string, part int, inside long, rank long")
+        running = Window.partitionBy("column_name", "part").orderBy("v")
+        ends = ranked.join(asked.select("column_name", "part").distinct(), ["column_name", "part"], "left_semi").withColumn(
+            "end", F.sum("n").over(running))
+        found = ends.join(asked, ["column_name", "part"]).where("inside < end and inside >= end - n")
+        value = {(r["column_name"], r["rank"]): r["v"] for r in found.select("column_name", "rank", "v").collect()}
+    out = {c: dict.fromkeys(points) for c in columns}
+    for (c, p), (low, high, share) in wanted.items():
+        out[c][p] = value[c, low] + (value[c, high] - value[c, low]) * share if share else value[c, low]
+    return out
 
 
 def describe_numbers(df, columns):
@@ -95,13 +140,14 @@ def describe_numbers(df, columns):
     one = df.agg(*[
         F.struct(*[f(F.col(c).cast("double")).alias(n) for n, f in stats.items()]).alias(c) for c in columns
     ])
-    rows = []
-    for c in columns:
-        q = quantiles(df, c, (0.25, 0.5, 0.75))
-        rows.append(F.struct(
+    points = quantiles(df, columns, (0.25, 0.5, 0.75))
+    rows = [
+        F.struct(
             F.lit(c).alias("column_name"), *[F.col(f"{c}.{n}").alias(n) for n in stats],
-            *[F.lit(v).cast("double").alias(n) for n, v in zip(("q25", "q50", "q75"), q.values())],
-        ))
+            *[F.lit(v).cast("double").alias(n) for n, v in zip(("q25", "q50", "q75"), points[c].values())],
+        )
+        for c in columns
+    ]
     return one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 

@@ -5,6 +5,8 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from cinelink import schema as S
+from cinelink.operators.dedup import per_source
+from cinelink.runtime import hot_keys, lookup_join, skew_join
 
 
 def duplicate_keys(df, keys):
@@ -45,23 +47,31 @@ def too_long(df, column, limit):
     return df.where(F.length(column) > limit)
 
 
-def orphans(child, key, parent, parent_key):
-    """Child rows whose key names no parent; null keys name none and are fine."""
-    return child.where(F.col(key).isNotNull()).join(
-        parent.select(F.col(parent_key).alias(key)).distinct(), key, "left_anti")
+def orphans(child, key, parent, parent_key, hot_rows=None):
+    """Child rows whose key names no parent; null keys name none and are fine.
 
+    Parents may have very many children: keys of more than `hot_rows` rows are split.
+    """
+    known = parent.select(F.col(parent_key).alias(key)).distinct()
+    return lookup_join(child.where(F.col(key).isNotNull()), known, [key], "left_anti", hot_rows).select(child.columns)
 
-def cascade(child, key, parent, parent_key):
+
+def cascade(child, key, parent, parent_key, hot_rows=None):
     """Child rows left after their parents were deleted."""
-    return child.join(parent.select(F.col(parent_key).alias(key)).distinct(), key, "left_semi")
+    known = parent.select(F.col(parent_key).alias(key)).distinct()
+    return lookup_join(child.where(F.col(key).isNotNull()), known, [key], "left_semi", hot_rows).select(child.columns)
 
 
-def detach(child, key, parent, parent_key):
+def detach(child, key, parent, parent_key, hot_rows=None):
     """All child rows; those whose parent was deleted lose the key."""
-    known = parent.select(F.col(parent_key).alias(key)).distinct()
-    kept = child.where(F.col(key).isNotNull()).join(known, key, "left_semi").select(child.columns)
-    lost = orphans(child, key, parent, parent_key).withColumn(key, F.lit(None)).select(child.columns)
-    return kept.union(lost).union(child.where(F.col(key).isNull()))
+    known = parent.where(F.col(parent_key).isNotNull()).select(F.col(parent_key).alias("known_key")).distinct()
+    # Rows without a key meet nothing, wherever they are sent: all of them under one key would be one task.
+    spread = F.xxhash64(*[c for c in child.columns if c != key]) if len(child.columns) > 1 else F.lit(0)
+    keyed = child.withColumn("known_key", F.col(key)).withColumn("lone_", F.when(F.col(key).isNull(), spread).otherwise(F.lit(0)))
+    hot = hot_keys(child.where(F.col(key).isNotNull()).select(F.col(key).alias("known_key")), ["known_key"], hot_rows)
+    marked = skew_join(keyed, known.withColumns({"lone_": F.lit(0).cast("long"), "held_": F.lit(True)}), ["known_key", "lone_"], "left",
+                       None if hot is None else hot.withColumn("lone_", F.lit(0).cast("long")), spread_by=child.columns)
+    return marked.select(*[F.when(F.col("held_"), F.col(c)).alias(c) if c == key else F.col(c) for c in child.columns])
 
 
 def delete_movies(tables, doomed):
@@ -139,9 +149,11 @@ def audit(tables):
 
 
 def run_audit(extracted, loaded, run_id, started, finished):
-    """One row per source of a run: extracted, loaded, status, duration, start."""
-    count = lambda df, name: df.groupBy("source").agg(F.count(F.lit(1)).alias(name))
-    both = count(extracted, "extracted").join(count(loaded, "loaded"), "source", "left")
+    """One row per source of a run: extracted, loaded, status, duration, start.
+
+    `extracted` and `loaded` are rows, or their numbers per source as `profile.counted` returns them.
+    """
+    both = per_source(extracted, "extracted").join(per_source(loaded, "loaded"), "source", "left")
     n = F.coalesce("loaded", F.lit(0))
     return both.select(
         F.lit(run_id).alias("run_id"), "source", "extracted", n.alias("loaded"),

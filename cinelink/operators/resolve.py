@@ -72,11 +72,11 @@ def edges_of(pairs):
     return pairs.select(both.alias("e"), "score").select("e.hub_a", "e.hub_b", "score")
 
 
-def same_id_links(records, id_column):
-    """Each record to the earliest record with the same identifier."""
+def same_id_links(records, id_column, hot_rows=None):
+    """Each record to the earliest record with the same identifier; identifiers of more than `hot_rows` records are split."""
     first = records.where(F.col(id_column).isNotNull()).groupBy(id_column).agg(F.min("pos").alias("earlier"))
     later = records.where(F.col(id_column).isNotNull()).select(F.col("pos").alias("later"), id_column)
-    hot = hot_keys(later, [id_column])
+    hot = hot_keys(later, [id_column], hot_rows)
     links = skew_join(later, first, [id_column], "inner", hot, spread_by=["later"])
     return links.where("earlier < later")
 

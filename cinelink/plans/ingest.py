@@ -10,7 +10,6 @@ from cinelink.operators import filters, load, profile, quality
 from cinelink.operators.dedup import deduplicate
 from cinelink.operators.normalize import normalize_records
 from cinelink.operators.resolve import resolve
-from cinelink.runtime import materialize
 from cinelink.sources import files, landed_html
 
 
@@ -47,19 +46,20 @@ def ingest(
     """
     started = datetime.datetime.now()
     raw, status = files.extract_all(spark, readers, skip)
-    raw = materialize(raw, "raw")
-    kept = deduplicate(normalize_records(raw))
-    merged = materialize(resolve(kept, threshold), "gold")
-    gold = filters.thematic_filter(merged)
+    # Every stage is counted by the write that stores it.
+    raw, n_raw, raw_by_source = profile.counted(raw, "raw", S.SOURCES)
+    kept, n_kept, kept_by_source = profile.counted(deduplicate(normalize_records(raw)), "kept", S.SOURCES)
+    merged, n_merged, _ = profile.counted(resolve(kept, threshold), "merged")
+    gold, n_gold, _ = profile.counted(filters.thematic_filter(merged), "gold")
     if gold_path is not None:
         load.export_gold(gold, gold_path)
     tables = load.load(gold, existing)
     if snapshot_path is not None:
         load.write_snapshot(tables, snapshot_path)
         tables = load.read_snapshot(spark, snapshot_path)
-    stages = profile.stage_metrics({"extracted": raw, "deduplicated": kept, "merged": merged, "themed": gold})
+    stages = profile.stage_metrics({"extracted": n_raw, "deduplicated": n_kept, "merged": n_merged, "themed": n_gold})
     runs = quality.run_audit(
-        raw, kept, str(uuid.uuid4()), F.lit(started), F.lit(datetime.datetime.now()))
+        raw_by_source, kept_by_source, str(uuid.uuid4()), F.lit(started), F.lit(datetime.datetime.now()))
     return {"gold": gold, "tables": tables, "sources": status, "stages": stages, "runs": runs}
 
 

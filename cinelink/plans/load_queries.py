@@ -15,6 +15,7 @@ from cinelink.functions import text
 from cinelink.operators import load, quality
 from cinelink.operators.dedup import deduplicate
 from cinelink.operators.normalize import normalize_records
+from cinelink.operators.profile import counted
 from cinelink.operators.resolve import link_records
 from cinelink.plans import statements as Q
 from cinelink.plans.catalogue import FILM_COLUMNS, raw_films
@@ -118,6 +119,26 @@ def movie_ids(t):
     return rows.join(load.target_ids(rows, stored_movies(t)), "nr").select("k", "movie_id")
 
 
+# Two entities in three lean on an earlier one: one on the first of their title by tmdb_id, one on that of their size by imdb_id.
+LEANING = ["CASE WHEN p_partkey % 3 = 0 THEN 1 END AS tmdb_id", "CASE WHEN p_partkey % 3 = 1 OR p_partkey < 50 THEN concat('tt', p_size % 2) END AS imdb_id"]
+
+
+@query("split_movie_ids", f"""
+    WITH RECURSIVE e AS (SELECT p_partkey AS k, {', '.join(LEANING)} FROM part),
+    leans AS (SELECT k, CASE WHEN min(k) FILTER (tmdb_id IS NOT NULL) OVER (PARTITION BY tmdb_id) < k
+            THEN min(k) FILTER (tmdb_id IS NOT NULL) OVER (PARTITION BY tmdb_id)
+        WHEN min(k) FILTER (imdb_id IS NOT NULL) OVER (PARTITION BY imdb_id) < k
+            THEN min(k) FILTER (imdb_id IS NOT NULL) OVER (PARTITION BY imdb_id) END AS first FROM e),
+    up AS (SELECT k, k AS top FROM leans WHERE first IS NULL
+           UNION ALL SELECT leans.k, up.top FROM leans JOIN up ON up.k = leans.first)
+    SELECT k, top FROM up""")
+def split_movie_ids(t):
+    """Entities that write one movie, named by the first of them, where an identifier is on a third of all rows."""
+    rows = t.part.selectExpr("p_partkey AS k", "CAST(p_partkey AS STRING) AS id", *LEANING).withColumn("nr", F.struct("k"))
+    ids = load.target_ids(rows.withColumn("tmdb_id", F.col("tmdb_id").cast("bigint")), S.empty(t.spark, S.MOVIES), hot_rows=20)
+    return ids.select(F.col("nr.k").alias("k"), F.col("movie_id").cast("bigint").alias("top"))
+
+
 @query("upserted_movies", f"""
     WITH {ENTITIES}, incoming AS (
         SELECT movie_id, {_last('tmdb_id')} AS tmdb_id, {_last('imdb_id')} AS imdb_id,
@@ -261,19 +282,32 @@ def repeated_load(t):
         count_rows(differ).withColumnRenamed("n", "changed"), "table_name")
 
 
-@query("ratings_per_source", f"""
+_RATINGS_SQL = f"""
     WITH RECURSIVE {Q.settled(S.FUZZY_THRESHOLD)}
     SELECT m.k AS master_k, r.source, arg_min({{'v': coalesce(CASE WHEN r.vote_average <> 0 THEN r.vote_average END,
             r.tomatometer_score)}}, r.pos).v AS score,
         arg_min({{'v': r.vote_count}}, r.pos).v AS vote_count,
         arg_min(CASE WHEN r.vote_average <> 0 THEN '0-10' WHEN r.tomatometer_score IS NOT NULL
             OR r.source = 'rotten_tomatoes' THEN '0-100' ELSE '0-10' END, r.pos) AS scale
-    FROM links JOIN kept r USING (pos) JOIN kept m ON m.pos = links.master GROUP BY m.k, r.source""")
-def ratings_per_source(t):
+    FROM links JOIN kept r USING (pos) JOIN kept m ON m.pos = links.master GROUP BY m.k, r.source"""
+
+
+def _ratings_per_source(t, hot_rows=None):
     kept = materialize(deduplicate(normalize_records(raw_films(t))), "kept")
     links = link_records(kept).select("pos", "master")
     ids = kept.select("pos", F.col("seq.a").alias("movie_id"))
-    return load.source_ratings(kept, links, ids).withColumnRenamed("movie_id", "master_k")
+    return load.source_ratings(kept, links, ids, hot_rows).withColumnRenamed("movie_id", "master_k")
+
+
+@query("ratings_per_source", _RATINGS_SQL)
+def ratings_per_source(t):
+    return _ratings_per_source(t)
+
+
+@query("split_ratings", _RATINGS_SQL)
+def split_ratings(t):
+    """The same ratings, with masters of more than one source split over tasks."""
+    return _ratings_per_source(t, hot_rows=1)
 
 
 # --- checks -------------------------------------------------------------------
@@ -329,6 +363,25 @@ def detached_rows(t):
     return quality.detach(t.orders, "o_custkey", rich, "c_custkey").select("o_orderkey", "o_custkey")
 
 
+@query("split_orphans", ORACLES["orphan_rows"])
+def split_orphans(t):
+    """The same orphans, with customers of more than five orders split over tasks."""
+    rich = t.customer.where("c_acctbal > 0")
+    return quality.orphans(t.orders, "o_custkey", rich, "c_custkey", hot_rows=5).select("o_orderkey", "o_custkey")
+
+
+@query("split_deletes", f"""
+    SELECT 'kept' AS kind, o_orderkey, o_custkey FROM ({ORACLES["cascaded_delete"]})
+    UNION ALL SELECT 'detached', o_orderkey, o_custkey FROM ({ORACLES["detached_rows"]})""")
+def split_deletes(t):
+    """Both ways to treat the children of deleted rows, with customers of more than five orders split over tasks."""
+    rich = t.customer.where("c_acctbal > 0")
+    kept = quality.cascade(t.orders, "o_custkey", rich, "c_custkey", hot_rows=5)
+    loose = quality.detach(t.orders, "o_custkey", rich, "c_custkey", hot_rows=5)
+    return kept.select(F.lit("kept").alias("kind"), "o_orderkey", "o_custkey").union(
+        loose.select(F.lit("detached"), "o_orderkey", "o_custkey"))
+
+
 # Tables that break every kind of constraint somewhere.
 FAULTY = {
     "movies": """SELECT CAST(p_partkey AS VARCHAR(20)) AS id, CAST(floor(p_partkey / 2) AS BIGINT) AS tmdb_id,
@@ -416,7 +469,8 @@ def audit_of_load(t):
     FROM (SELECT source, count(*) AS extracted FROM normal GROUP BY source)
     LEFT JOIN (SELECT source, count(*) AS loaded FROM kept GROUP BY source) USING (source)""")
 def run_audit(t):
-    normal = normalize_records(raw_films(t))
+    normal, _, extracted = counted(normalize_records(raw_films(t)), "normal", S.SOURCES)
+    _, _, kept = counted(deduplicate(normal), "kept", S.SOURCES)
     started = F.lit(AT)
     return quality.run_audit(
-        normal, deduplicate(normal), "run-1", started, started + F.expr("INTERVAL 60 SECONDS")).drop("started_at")
+        extracted, kept, "run-1", started, started + F.expr("INTERVAL 60 SECONDS")).drop("started_at")

@@ -10,7 +10,7 @@ from cinelink.operators.similarity import similar_titles
 from cinelink.plans import statements as Q
 from cinelink.plans.catalogue import raw_films
 from cinelink.plans.registry import query
-from cinelink.runtime import materialize
+from cinelink.runtime import lookup_join, materialize
 
 T = S.FUZZY_THRESHOLD
 
@@ -60,13 +60,14 @@ def _links_sql(column):
     SELECT k AS later, first_k AS earlier, {column} FROM firsts WHERE pos > first_pos"""
 
 
-def _links(t, column):
+def _links(t, column, hot_rows=None):
     kept = materialize(kept_films(t), "kept")
-    links = resolve.same_id_links(kept, column)
+    links = resolve.same_id_links(kept, column, hot_rows)
     number = numbered(kept)
     later = number.select(F.col("pos").alias("later"), F.col("k").alias("k_later"))
     earlier = number.select(F.col("pos").alias("earlier"), F.col("k").alias("k_earlier"))
-    return links.join(later, "later").join(earlier, "earlier").select(
+    # The earliest record of an identifier is named by all others that hold it.
+    return lookup_join(links.join(later, "later"), earlier, ["earlier"], "inner", hot_rows).select(
         F.col("k_later").alias("later"), F.col("k_earlier").alias("earlier"), column)
 
 
@@ -75,6 +76,12 @@ def same_tmdb_links(t):
     return _links(t, "tmdb_id")
 
 
+@query("split_links", _links_sql("tmdb_id"))
+def split_links(t):
+    """The same links, with identifiers of more than two records split over tasks."""
+    return _links(t, "tmdb_id", hot_rows=2)
+
+
 @query("same_imdb_links", _links_sql("imdb_id"))
 def same_imdb_links(t):
     return _links(t, "imdb_id")
@@ -128,7 +135,7 @@ def _entity_links(t, hot_block=None):
     number = numbered(kept)
     links = resolve.link_records(kept, T, hot_block=hot_block)
     masters = number.select(F.col("pos").alias("master"), F.col("k").alias("master_k"))
-    return links.join(number, "pos").join(masters, "master").select(
+    return lookup_join(links.join(number, "pos"), masters, ["master"], "inner").select(
         "k", "master_k", F.col("level").cast("bigint").alias("level"), F.round("score", 6).alias("score"))
 
 

@@ -2,12 +2,14 @@
 
 from pyspark.sql import functions as F
 
+from cinelink import schema as S
 from cinelink.operators import filters, profile
 from cinelink.operators.dedup import deduplicate, keep_first, removed_counts
 from cinelink.operators.normalize import normalize_records
 from cinelink.plans import statements as Q
 from cinelink.plans.catalogue import FILMS, films, raw_films
 from cinelink.plans.registry import query
+from cinelink.sources.files import extract_all
 
 
 @query("records_by_source", f"SELECT source, count(*) AS records FROM ({FILMS}) GROUP BY ROLLUP (source)")
@@ -25,9 +27,11 @@ def records_by_source(t):
         coalesce(before, after) - after AS removed
     FROM (SELECT *, lag(after) OVER (ORDER BY step) AS before FROM counts)""")
 def stage_metrics(t):
-    raw = raw_films(t)
-    kept = deduplicate(normalize_records(raw))
-    stages = {"extracted": raw, "deduplicated": kept, "themed": filters.thematic_filter(kept)}
+    # Counted by the writes that store them, not by a second scan.
+    raw, extracted, _ = profile.counted(raw_films(t), "raw")
+    kept, deduplicated, _ = profile.counted(deduplicate(normalize_records(raw)), "kept")
+    _, themed, _ = profile.counted(filters.thematic_filter(kept), "themed")
+    stages = {"extracted": extracted, "deduplicated": deduplicated, "themed": themed}
     return profile.stage_metrics(stages).withColumn("step", F.col("step").cast("bigint"))
 
 
@@ -37,8 +41,9 @@ def stage_metrics(t):
     FROM (SELECT source, count(*) AS before FROM normal GROUP BY source)
     JOIN (SELECT source, count(*) AS after FROM kept GROUP BY source) USING (source)""")
 def removed_per_source(t):
-    normal = normalize_records(raw_films(t))
-    return removed_counts(normal, deduplicate(normal))
+    normal, _, before = profile.counted(normalize_records(raw_films(t)), "normal", S.SOURCES)
+    _, _, after = profile.counted(deduplicate(normal), "kept", S.SOURCES)
+    return removed_counts(before, after)
 
 
 @query("value_counts", "SELECT event_type, count(*) AS n FROM events GROUP BY event_type")
@@ -75,12 +80,26 @@ def _describe_sql(table, column):
         round(quantile_cont({column}, 0.75), 6) AS q75 FROM {table}"""
 
 
+def _described(df, columns):
+    d = profile.describe_numbers(df, columns)
+    return d.select("column_name", "count", F.round("mean", 4).alias("mean"), F.round("std", 4).alias("std"),
+                    "min", "max", *[F.round(q, 6).alias(q) for q in ("q25", "q50", "q75")])
+
+
 @query("number_profile", " UNION ALL ".join(
     _describe_sql("lineitem", c) for c in ("l_quantity", "l_extendedprice", "l_partkey")))
 def number_profile(t):
-    d = profile.describe_numbers(t.lineitem, ["l_quantity", "l_extendedprice", "l_partkey"])
-    return d.select("column_name", "count", F.round("mean", 4).alias("mean"), F.round("std", 4).alias("std"),
-                    "min", "max", *[F.round(q, 6).alias(q) for q in ("q25", "q50", "q75")])
+    return _described(t.lineitem, ["l_quantity", "l_extendedprice", "l_partkey"])
+
+
+HOT_VALUES = ["CASE WHEN event_id % 10 = 0 THEN value ELSE 42.5 END AS hot", "CASE WHEN event_id % 4 = 0 THEN user_id END AS rare", "value"]
+
+
+@query("hot_value_profile", " UNION ALL ".join(
+    _describe_sql(f"(SELECT {', '.join(HOT_VALUES)} FROM events)", c) for c in ("hot", "rare", "value")))
+def hot_value_profile(t):
+    """Figures of columns of which one holds one value on nine rows in ten."""
+    return _described(t.events.selectExpr(*HOT_VALUES), ["hot", "rare", "value"])
 
 
 def _text_sql(table, column):
@@ -127,8 +146,13 @@ def sorted_preview(t):
     UNION ALL SELECT 'supplier', s_name, s_acctbal FROM supplier
     UNION ALL SELECT 'part', p_name, NULL FROM part""")
 def union_of_sources(t):
-    return (
-        t.customer.select(F.lit("customer").alias("source"), F.col("c_name").alias("title"), F.col("c_acctbal").alias("score"))
-        .unionByName(t.supplier.select(F.lit("supplier").alias("source"), F.col("s_name").alias("title"), F.col("s_acctbal").alias("score")))
-        .unionByName(t.part.select(F.lit("part").alias("source"), F.col("p_name").alias("title")), allowMissingColumns=True)
-    )
+    """The union that the registry makes of readers with different columns."""
+    def reader(table, *columns):
+        return lambda spark: getattr(t, table).selectExpr(f"'{table}' AS source", *columns)
+
+    union, _ = extract_all(t.spark, {
+        "customer": reader("customer", "c_name AS title", "c_acctbal AS vote_average"),
+        "supplier": reader("supplier", "s_name AS title", "s_acctbal AS vote_average"),
+        "part": reader("part", "p_name AS title"),
+    })
+    return union.select("source", "title", F.col("vote_average").alias("score"))

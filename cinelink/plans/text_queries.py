@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from cinelink import schema as S
 from cinelink.functions import dates, numbers, text
-from cinelink.operators import filters
+from cinelink.operators import filters, load
 from cinelink.operators.normalize import normalize_records
 from cinelink.operators.similarity import similarity
 from cinelink.plans import statements as Q
@@ -226,7 +226,7 @@ def title_search(t):
 def load_defaults(t):
     vote, tomato = F.col("vote_average"), F.col("tomatometer_score")
     return films(t).select(
-        "k", F.coalesce(F.nullif("title", F.lit("")), F.lit("Unknown")).alias("title"),
+        "k", load.title_or_unknown(F.col("title")).alias("title"),
         numbers.rating_score(vote, tomato).alias("score"),
         numbers.rating_scale(vote, tomato, F.col("source")).alias("scale"),
-        F.left(F.repeat("title", 60), F.lit(500)).alias("message"))
+        load.cut_message(F.repeat("title", 60)).alias("message"))

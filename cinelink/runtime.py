@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 
 _local_dir = {}
 
-# A key with more rows than this is split. Hot keys therefore number at most
-# rows / HOT_ROWS, whatever the data look like.
+# A key with more rows than this is split, the MOST_HOT most frequent ones at most: any
+# other key holds less than one in MOST_HOT of all rows.
 HOT_ROWS = 1_000_000
+MOST_HOT = 10_000
 
 
 def work_dir(spark):
@@ -77,6 +78,7 @@ def hot_keys(df, keys, hot_rows=None, at_most=None):
         return None
     hot = (
         df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limit)
+        .orderBy(F.desc("n")).limit(MOST_HOT)
         .select(*keys, F.ceil(F.col("n") / limit).cast("int").alias("splits"))
     )
     return None if hot.isEmpty() else materialize(hot, "hot")
@@ -92,7 +94,7 @@ def skew_join(left, right, keys, how, hot=None, spread_by=None):
     """
     if hot is None:
         return left.join(right, keys, how)
-    splits = F.coalesce(F.col("splits"), F.lit(1))
+    splits, hot = F.coalesce(F.col("splits"), F.lit(1)), F.broadcast(hot)  # MOST_HOT rows at most
     left = left.join(hot, keys, "left").withColumn(
         "split", F.pmod(F.xxhash64(*spread_by), splits).cast("int")
     ).drop("splits")
@@ -102,6 +104,12 @@ def skew_join(left, right, keys, how, hot=None, spread_by=None):
     return left.join(right, [*keys, "split"], how).drop("split")
 
 
+def lookup_join(left, right, keys, how, hot_rows=None):
+    """`skew_join` of rows with what is stored once per key; finds the hot keys of `left` itself."""
+    others = [c for c in left.columns if c not in keys] or keys
+    return skew_join(left, right, keys, how, hot_keys(left, keys, hot_rows), spread_by=others)
+
+
 def hot_grid(left, right, keys, cell_rows):
     """Keys with more than `cell_rows` rows on a side, and the cuts each side needs."""
     one, none = F.lit(1), F.lit(0)

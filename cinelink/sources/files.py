@@ -1,5 +1,6 @@
 """Readers of API pages, catalogue CSV, split CSV and title TSV files."""
 
+from contextvars import ContextVar
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -10,7 +11,7 @@ from cinelink import schema as S
 from cinelink.functions import dates, numbers, text
 from cinelink.operators.dedup import keep_first
 from cinelink.operators.filters import genre_filter
-from cinelink.runtime import materialize
+from cinelink.operators.profile import counted
 
 # Header synonyms of the catalogue CSV, in order of preference.
 CATALOGUE_HEADER = {
@@ -83,6 +84,16 @@ def file_order():
     )
 
 
+# Why a reader that is run by `extract_all` returns nothing.
+_reasons = ContextVar("reasons", default=None)
+
+
+def explain(reason):
+    """Tell `extract_all`, if it is what runs the reader, why a source is empty."""
+    if _reasons.get() is not None:
+        _reasons.get().append(reason)
+
+
 def or_empty(spark, read, schema):
     """The reader's DataFrame, or an empty one when the path does not exist."""
     try:
@@ -90,6 +101,7 @@ def or_empty(spark, read, schema):
     except AnalysisException as e:
         if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
+        explain("path not found" if e.getCondition() == "PATH_NOT_FOUND" else "no file with a header found")
         return S.empty(spark, schema)
 
 
@@ -159,16 +171,23 @@ def typed_record(df, source):
     return df.withColumns(typed).transform(S.conform, S.RAW)
 
 
-def read_catalogue_csv(spark, path, source="kaggle", term=S.GENRE_TERM, multiline=True):
+def has_quoted_breaks(spark, path):
+    """Whether a line of a CSV file holds an odd number of quotes, as lines of records with quoted line breaks do."""
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    return not spark.read.text(path).where(quotes % 2 == 1).isEmpty()
+
+
+def read_catalogue_csv(spark, path, source="kaggle", term=S.GENRE_TERM, multiline=None):
     """Catalogue CSV with any known header spelling.
 
-    `multiline` keeps quoted line breaks, at the price of one task per file; turn
-    it off for large files known not to hold any.
+    `multiline` keeps quoted line breaks, at the price of one task per file. By default a
+    scan, which splits files, looks whether there are any; with False they end a record.
     """
     def read():
+        split = has_quoted_breaks(spark, path) if multiline is None else multiline
         raw = (
             spark.read.option("header", True).option("escape", '"').option("mode", "PERMISSIVE")
-            .option("multiLine", multiline).csv(path)
+            .option("multiLine", split).csv(path)
         )
         cells = raw.select(
             *[dates.null_tokens(F.col(f"`{c}`"), S.CSV_NULL_TOKENS).alias(c) for c in raw.columns],
@@ -182,7 +201,9 @@ def read_catalogue_csv(spark, path, source="kaggle", term=S.GENRE_TERM, multilin
 def catalogue_records(cells, source="kaggle", term=S.GENRE_TERM):
     """Text table with a `seq` column to records; empty when a required column is missing."""
     named = {CATALOGUE_HEADER.get(c) for c in cells.columns}
-    if not set(CATALOGUE_REQUIRED) <= named:
+    missing = [c for c in CATALOGUE_REQUIRED if c not in named]
+    if missing:
+        explain(f"missing columns: {', '.join(missing)}")
         return S.empty(cells.sparkSession, S.RAW)
     records = typed_record(rename_synonyms(cells, CATALOGUE_HEADER), source)
     if "genres" in named:
@@ -268,23 +289,30 @@ def read_titles(spark, basics_path, ratings_path, min_votes=S.MIN_VOTES):
 # --- registry ----------------------------------------------------------------
 
 def extract_all(spark, readers, skip=()):
-    """Union of all sources not skipped, and one status row per source.
+    """Union of all sources not skipped, and a row (source, status, rows, message) for each.
 
     `readers` maps a source name to a function of the session. Every source is read
     and stored here, so one that fails while it is read counts as empty as well, and
-    the others go on; its message is kept.
+    the others go on. Status is skipped, success or error; the message of an error says
+    what failed, which columns are missing or that there is no file. Rows are counted by
+    the write.
     """
     frames, status = [], []
     for name, read in readers.items():
         if name in skip:
-            status.append((name, "skipped", None))
+            status.append((name, "skipped", 0, None))
             continue
+        reasons = []
+        token = _reasons.set(reasons)
         try:
-            frames.append(materialize(read(spark).transform(S.conform, S.RAW), f"source-{name}"))
-            status.append((name, "success", None))
+            stored, rows, _ = counted(read(spark).transform(S.conform, S.RAW), f"source-{name}")
+            frames.append(stored)
+            status.append((name, "error" if reasons else "success", rows, "; ".join(reasons) or None))
         except Exception as e:
-            status.append((name, "error", str(e)))
-    report = spark.createDataFrame(status, "source string, status string, message string")
+            status.append((name, "error", 0, (str(e).splitlines() or [type(e).__name__])[0]))
+        finally:
+            _reasons.reset(token)
+    report = spark.createDataFrame(status, "source string, status string, rows long, message string")
     if not frames:
         return S.empty(spark, S.RAW), report
     return reduce(lambda a, b: a.unionByName(b), frames), report

@@ -41,6 +41,10 @@ def test_catalogue_csv(spark, tmp_path):
 def test_catalogue_csv_without_required_column_or_file_is_empty(spark, tmp_path):
     (tmp_path / "a.csv").write_text("id,title\n1,x\n")
     assert files.read_catalogue_csv(spark, str(tmp_path / "a.csv")).count() == 0
+    (tmp_path / "plain.csv").write_text("title,year,genre\n\"a \"\"b\"\"\",1990,horror\n")
+    (tmp_path / "breaks.csv").write_text('title,year,genre\n"a\nb",1990,horror\n')
+    assert not files.has_quoted_breaks(spark, str(tmp_path / "plain.csv")) and files.has_quoted_breaks(spark, str(tmp_path / "breaks.csv"))
+    assert files.read_catalogue_csv(spark, str(tmp_path / "plain.csv")).first().title == 'a "b"'
     missing = files.read_catalogue_csv(spark, str(tmp_path / "no.csv"))
     assert missing.count() == 0 and missing.schema == S.RAW
 
@@ -109,8 +113,8 @@ def test_registry(spark):
 
 def test_quantiles_and_histogram(spark):
     df = spark.createDataFrame([(float(v),) for v in [5, 1, 2, 2, 9, 7, 4]] + [(None,)], "v double")
-    assert quantiles(df, "v", (0.0, 0.25, 0.5, 0.75, 1.0)) == {0.0: 1.0, 0.25: 2.0, 0.5: 4.0, 0.75: 6.0, 1.0: 9.0}
-    assert quantiles(df.where("v > 100"), "v", (0.5,)) == {0.5: None}
+    assert quantiles(df, ["v"], (0.0, 0.25, 0.5, 0.75, 1.0))["v"] == {0.0: 1.0, 0.25: 2.0, 0.5: 4.0, 0.75: 6.0, 1.0: 9.0}
+    assert quantiles(df.where("v > 100"), ["v"], (0.5,))["v"] == {0.5: None}
     assert [r.n for r in histogram(df, "v", 8).orderBy("bin").collect()] == [1, 2, 0, 1, 1, 0, 1, 1]
     assert sum(r.n for r in histogram(df.where("v = 2"), "v", 8).collect()) == 2
 
@@ -126,3 +130,49 @@ def test_quantiles_and_histogram(spark):
 def test_an_element_ends_at_its_own_closing_tag(spark, html, expected):
     df = spark.createDataFrame([(html,)], "html string")
     assert df.select(landed_html.element_text(F.col("html"), "m").alias("t")).first().t == expected
+
+
+def test_quantiles_count_a_hot_value_once(spark):
+    from cinelink.operators.profile import quantiles, value_ranks
+
+    df = spark.range(2000).selectExpr("CASE WHEN id % 10 = 0 THEN id ELSE 3 END AS hot", "CAST(id AS DOUBLE) / 7 AS v", "CAST(NULL AS INT) AS none")
+    ranked = value_ranks(df, ["hot", "v"])
+    assert ranked.where("column_name = 'hot' and v = 3").count() == 1 and ranked.where("column_name = 'hot'").count() == 201
+    points = (0.0, 0.1, 0.5, 0.93, 0.999, 1.0)
+    got = quantiles(df, ["hot", "v", "none"], points)
+    rows = df.toPandas()
+    for c in ("hot", "v"):
+        assert [round(got[c][p], 9) for p in points] == [round(float(rows[c].astype(float).quantile(p)), 9) for p in points]
+    assert set(got["none"].values()) == {None}
+
+
+def test_rows_are_counted_while_they_are_stored(spark):
+    from cinelink.operators.profile import counted, stage_metrics
+
+    df = spark.createDataFrame([("tmdb",), ("tmdb",), ("imdb",), (None,), ("elsewhere",)], "source string")
+    stored, rows, each = counted(df, "rows", S.SOURCES)
+    assert (stored.count(), rows, each) == (5, 5, {"tmdb": 2, "imdb": 1, None: 1, "elsewhere": 1})
+    assert counted(df.where("source = 'tmdb'"), "rows", S.SOURCES)[2] == {s: 2 * (s == "tmdb") for s in S.SOURCES}
+    assert counted(df.limit(0), "rows", S.SOURCES)[1:] == (0, dict.fromkeys(S.SOURCES, 0))
+    steps = [tuple(r) for r in stage_metrics({"a": 5, "b": df.where("source is not null"), "c": 1}).orderBy("step").collect()]
+    assert steps == [(0, "a", 5, 5, 0), (1, "b", 5, 4, 1), (2, "c", 4, 1, 3)]
+
+
+def test_outcome_of_sources(spark, tmp_path):
+    from cinelink.sources import files
+
+    (tmp_path / "no-title.csv").write_text("year,genre\n1999,horror\n")
+    (tmp_path / "good.csv").write_text("Title,Year,Genre\nA,1999,horror\nB,1998,horror\n")
+    (tmp_path / "broken.gz").write_bytes(b"no gzip at all")
+    readers = {
+        "kaggle": lambda s: files.read_catalogue_csv(s, str(tmp_path / "good.csv")),
+        "untitled": lambda s: files.read_catalogue_csv(s, str(tmp_path / "no-title.csv")),
+        "nowhere": lambda s: files.read_split_csv(s, str(tmp_path / "nothing")),
+        "imdb": lambda s: files.read_titles(s, str(tmp_path / "broken.gz"), str(tmp_path / "broken.gz")),
+        "left": lambda s: 1 / 0,
+    }
+    union, report = files.extract_all(spark, readers, skip={"left"})
+    told = {r["source"]: (r["status"], r["rows"], r["message"]) for r in report.collect()}
+    assert union.count() == 2 and told["kaggle"] == ("success", 2, None) and told["left"] == ("skipped", 0, None)
+    assert told["untitled"] == ("error", 0, "missing columns: title") and told["nowhere"] == ("error", 0, "path not found")
+    assert told["imdb"][:2] == ("error", 0) and told["imdb"][2]
