@@ -19,8 +19,9 @@ from pyspark.sql import functions as F
 from cinelink import schema as S
 from cinelink.functions import text
 from cinelink.operators.dedup import uncovered_titles
+from cinelink.operators.profile import counted
 from cinelink.operators.similarity import Titles
-from cinelink.runtime import hot_keys, materialize, skew_join
+from cinelink.runtime import hot_keys, lookup_join, materialize, new_path, skew_join
 
 MAX_ROUNDS = 1000
 
@@ -94,12 +95,12 @@ def winners_of(leads):
 
 
 def settle(members, hubs, hot):
-    """The members left when everyone in `hubs` has been decided."""
+    """The members left when everyone in `hubs` has been decided, and their number, counted by the write."""
     settled = skew_join(members, hubs.distinct(), ["hub"], "left_semi", hot, ["pos"])
-    return materialize(members.join(settled.select("pos").distinct(), "pos", "left_anti"), "open")
+    return counted(members.join(settled.select("pos").distinct(), "pos", "left_anti"), "open")[:2]
 
 
-def elect_masters(members, edges, hot=None, max_rounds=MAX_ROUNDS):
+def elect_masters(members, edges, hot=None, max_rounds=MAX_ROUNDS, hot_rows=None):
     """Positions of the masters among the records of `members`.
 
     Both inputs must be stored tables. Each round settles every record that is the
@@ -107,12 +108,16 @@ def elect_masters(members, edges, hot=None, max_rounds=MAX_ROUNDS):
     neighbourhood follows and leaves. The rounds needed grow with the longest chain
     of records that depend on one another; exceeding `max_rounds` raises.
     """
-    elected, open_, left = [], members, members.count()
-    at_last_cut, many = left, edges.count() > SHRINK_EDGES
-    hot_edges = hot_keys(edges, ["hub_b"], at_most=edges.count())
-    for _ in range(max_rounds):
-        if not left:
-            break
+    spark, table = members.sparkSession, new_path(members.sparkSession, "masters")
+    n_edges, open_, left = edges.count(), members, members.count()
+    if not left:
+        return members.select("pos").limit(0)
+    at_last_cut, many = left, n_edges > SHRINK_EDGES
+    hot_edges = hot_keys(edges, ["hub_b"], hot_rows, at_most=n_edges)
+    # Edges go both ways, so hubs are as hot on one side as on the other.
+    hot_back = None if hot_edges is None else hot_edges.withColumnRenamed("hub_b", "hub_a")
+    rounds = 0
+    while left and rounds < max_rounds:
         # The first undecided record of each hub, unless a similar hub has an earlier one.
         lead = hub_leads(open_)
         beside = (
@@ -120,19 +125,20 @@ def elect_masters(members, edges, hot=None, max_rounds=MAX_ROUNDS):
             .groupBy(F.col("hub_a").alias("hub")).agg(F.min("lead.pos").alias("beside"))
         )
         leads = lead.join(beside, "hub", "left").where("beside is null or lead.pos < beside")
-        winners = materialize(winners_of(leads), "masters")
-        elected.append(winners)
+        # One table takes the winners of all rounds, a folder for each.
+        winners_of(leads).write.parquet(f"{table}/round={rounds}")
+        winners = spark.read.schema(members.select("pos").schema).parquet(f"{table}/round={rounds}")
         # Hubs with a master now, similar hubs included, settle all their members.
-        won = open_.join(winners, "pos", "left_semi").select("hub")
-        near = edges.join(won.withColumnRenamed("hub", "hub_a"), "hub_a", "left_semi").select("hub_b")
-        open_ = settle(open_, won.union(near), hot)
-        left = open_.count()
+        won = open_.join(winners, "pos", "left_semi").select("hub").distinct()
+        near = skew_join(edges, won.withColumnRenamed("hub", "hub_a"), ["hub_a"], "left_semi", hot_back, ["hub_b"]).select("hub_b")
+        open_, left = settle(open_, won.union(near), hot)
+        rounds += 1
         if many and left and left * 2 <= at_last_cut:
             edges = materialize(among_hubs(edges, open_), "edges")
             at_last_cut, many = left, edges.count() > SHRINK_EDGES
     if left:
         raise RuntimeError(f"masters not settled after {max_rounds} rounds; raise max_rounds")
-    return reduce(lambda a, b: a.union(b), elected) if elected else members.select("pos").limit(0)
+    return spark.read.schema(members.select("pos").schema).parquet(*[f"{table}/round={i}" for i in range(rounds)])
 
 
 def among_hubs(edges, members):
@@ -167,14 +173,14 @@ def absorb_crowds(members, nodes, titles, grid, hot):
         near = edges_of(titles.pairs(grid, chosen)).join(
             won.withColumnRenamed("hub", "hub_a"), "hub_a", "left_semi").select("hub_b")
         found.append(winners)
-        open_ = settle(open_, won.union(near), hot)
-        before, left = left, open_.count()
+        before = left
+        open_, left = settle(open_, won.union(near), hot)
         if left * 10 > before * 9:
             break
     return found, open_
 
 
-def assign_masters(members, edges, masters, hot=None):
+def assign_masters(members, edges, masters, hot=None, hot_rows=None):
     """Each follower's master: same tmdb_id, else same imdb_id, else the most similar title.
 
     Only masters before the follower count; equal scores go to the earliest master.
@@ -188,7 +194,7 @@ def assign_masters(members, edges, masters, hot=None):
         F.when(kind == "g", -100.0).otherwise(F.lit(0.0)).alias("rank"),
         "master",
     )
-    hot_edges = hot_keys(edges, ["hub_b"], at_most=edges.count())
+    hot_edges = hot_keys(edges, ["hub_b"], hot_rows, at_most=edges.count())
     beside = skew_join(edges, held.withColumnRenamed("hub", "hub_b"), ["hub_b"], "inner", hot_edges, ["hub_a"]).select(
         F.col("hub_a").alias("hub"), F.lit(3).alias("level"), (-F.col("score")).alias("rank"), "master"
     )
@@ -216,9 +222,11 @@ def fill_fields(assigned):
     registered with as `registered_tmdb` and `registered_imdb`.
     """
     is_master = F.col("pos") == F.col("master")
+    # A master comes first, also before followers of a higher priority (`strict_ids`).
+    order = F.struct((~is_master).alias("follows"), "pos")
 
     def first(name, allowed):
-        return F.min_by(name, F.when(F.col(name).isNotNull() & allowed, F.col("pos"))).alias(name)
+        return F.min_by(name, F.when(F.col(name).isNotNull() & allowed, order)).alias(name)
 
     fields = [first(c, F.lit(True)) for c in S.FILL_FROM_ANY]
     fields += [first(c, is_master | (F.col("source") == s)) for c, s in S.FILL_FROM_SOURCE.items()]
@@ -258,30 +266,68 @@ def assemble(entities):
     return by_id.union(by_title).drop("registered_tmdb", "registered_imdb")
 
 
-def link_records(records, threshold=None, max_rounds=MAX_ROUNDS, hot_block=None):
+def by_strict_ids(nodes, hot_rows=None):
+    """(nodes, followers): of every tmdb_id the first record, which is a master, and its later records, which follow it.
+
+    `pos` of the nodes left puts those masters before all records without a tmdb_id.
+    """
+    named = nodes.where("tmdb_id is not null")
+    first = named.groupBy("tmdb_id").agg(F.min("pos").alias("master"))
+    named = lookup_join(named, first, ["tmdb_id"], "inner", hot_rows)
+    followers = named.where(F.col("pos") != F.col("master")).select(
+        "pos", "master", F.lit(1).alias("level"), F.lit(None).cast("double").alias("score"))
+    masters = named.where(F.col("pos") == F.col("master")).select(nodes.columns)
+    left = masters.union(nodes.where("tmdb_id is null"))
+    return left.withColumn("pos", F.struct(F.col("tmdb_id").isNull().alias("loose"), F.col("pos").alias("pos"))), followers
+
+
+def link_records(records, threshold=None, max_rounds=MAX_ROUNDS, hot_block=None, strict_ids=False, hot_rows=None):
     """Every record's master: (pos, master, level, score); masters have level 0.
 
     `hot_block`: titles under one block key that one task compares, see `Titles`.
+    `strict_ids`: no entity holds two tmdb_ids. Then the first record of every tmdb_id is a
+    master, whatever else it shares with others, the later ones follow it, and records
+    without a tmdb_id are matched and elected after them, in their order.
     """
-    threshold = S.FUZZY_THRESHOLD if threshold is None else float(threshold)
     nodes = materialize(match_nodes(records), "nodes")
+    if not strict_ids:
+        return _links(nodes, threshold, max_rounds, hot_block, hot_rows=hot_rows)
+    nodes, followers = by_strict_ids(nodes, hot_rows)
+    links = _links(materialize(nodes, "nodes"), threshold, max_rounds, hot_block, True, hot_rows)
+    return links.select(F.col("pos.pos").alias("pos"), F.col("master.pos").alias("master"), "level", "score").union(followers)
+
+
+def _links(nodes, threshold, max_rounds, hot_block, strict_ids=False, hot_rows=None):
+    """`link_records` for stored nodes; with `strict_ids` those with a tmdb_id are masters already."""
+    threshold = S.FUZZY_THRESHOLD if threshold is None else float(threshold)
     titles = Titles(title_groups(nodes), threshold, hot_block)
     members = materialize(memberships(nodes), "members")
-    hot = hot_keys(members, ["hub"], at_most=members.count())
+    hot = hot_keys(members, ["hub"], hot_rows, at_most=members.count())
     grid = titles.crowded()
+    given, open_ = [], members
+    if strict_ids:
+        # What matches a given master is settled before the election.
+        given = [nodes.where("not pos.loose").select("pos")]
+        won = members.join(given[0], "pos", "left_semi").select("hub").distinct()
+        named = title_groups(nodes.join(given[0], "pos", "left_semi"))
+        near = edges_of(titles.pairs(grid, titles.subset(named))).join(
+            won.withColumnRenamed("hub", "hub_a"), "hub_a", "left_semi").select("hub_b")
+        open_, _ = settle(members, won.union(near), hot)
     if grid is None:
         edges = materialize(edges_of(titles.pairs()), "edges")
-        masters = materialize(elect_masters(members, edges, hot, max_rounds), "elected")
+        elected = elect_masters(open_, edges, hot, max_rounds, hot_rows)
+        masters = materialize(reduce(lambda a, b: a.union(b), given, elected), "elected") if given else elected
     else:
-        found, open_ = absorb_crowds(members, nodes, titles, grid, hot)
+        found, open_ = absorb_crowds(open_, nodes, titles, grid, hot)
+        found += given
         rest = Titles(title_groups(nodes.join(open_.select("pos").distinct(), "pos", "left_semi")), threshold, hot_block)
         edges = materialize(edges_of(rest.pairs(grid=rest.crowded())), "edges")
-        found.append(elect_masters(open_, edges, hot, max_rounds))
+        found.append(elect_masters(open_, edges, hot, max_rounds, hot_rows))
         masters = materialize(reduce(lambda a, b: a.union(b), found), "elected")
         # Followers choose among the masters only.
         held = title_groups(nodes.join(masters, "pos", "left_semi"))
         edges = materialize(edges_of(titles.pairs(grid, titles.subset(held))), "edges")
-    followers = materialize(assign_masters(members, edges, masters, hot), "followers")
+    followers = materialize(assign_masters(members, edges, masters, hot, hot_rows), "followers")
     # Records without any hub match nothing and are masters too.
     own = nodes.select("pos").join(followers.select("pos"), "pos", "left_anti")
     return own.select(
@@ -289,12 +335,12 @@ def link_records(records, threshold=None, max_rounds=MAX_ROUNDS, hot_block=None)
     ).union(followers)
 
 
-def resolve(records, threshold=None, max_rounds=MAX_ROUNDS):
+def resolve(records, threshold=None, max_rounds=MAX_ROUNDS, strict_ids=False):
     """De-duplicated records of all sources to gold entities.
 
     `records` needs the canonical columns plus `title_norm`, `year` and a unique
     `pos`, as `deduplicate` returns them.
     """
-    links = link_records(records, threshold, max_rounds).select("pos", "master")
+    links = link_records(records, threshold, max_rounds, strict_ids=strict_ids).select("pos", "master")
     entities = fill_fields(records.join(links, "pos"))
     return assemble(materialize(entities, "entities"))

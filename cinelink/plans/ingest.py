@@ -35,13 +35,15 @@ def file_readers(spark_paths, options=None):
 
 
 def ingest(
-    spark, readers, skip=(), threshold=None, existing=None, gold_path=None, snapshot_path=None,
+    spark, readers, skip=(), threshold=None, existing=None, gold_path=None, snapshot_path=None, strict_ids=False, store=None,
 ):
     """Run all steps and return their results.
 
     `readers` maps source names to functions of the session (see `extract_all`);
     `existing` holds the snapshot to load on top of. The gold table and the six
-    tables are written only where a path is given. Returns a dict with `gold`,
+    tables are written only where a path is given. With `store`, a `snapshots.Snapshots`, the
+    tables are loaded on top of its current snapshot, of which only what the gold rows touch
+    is rewritten. `strict_ids` keeps different tmdb_ids apart. Returns a dict with `gold`,
     `tables`, `sources` (status per reader), `stages` and `runs` (audits).
     """
     started = datetime.datetime.now()
@@ -49,11 +51,15 @@ def ingest(
     # Every stage is counted by the write that stores it.
     raw, n_raw, raw_by_source = profile.counted(raw, "raw", S.SOURCES)
     kept, n_kept, kept_by_source = profile.counted(deduplicate(normalize_records(raw)), "kept", S.SOURCES)
-    merged, n_merged, _ = profile.counted(resolve(kept, threshold), "merged")
+    merged, n_merged, _ = profile.counted(resolve(kept, threshold, strict_ids=strict_ids), "merged")
     gold, n_gold, _ = profile.counted(filters.thematic_filter(merged), "gold")
     if gold_path is not None:
         load.export_gold(gold, gold_path)
-    tables = load.load(gold, existing)
+    if store is not None:
+        store.load(gold)
+        tables = store.tables()
+    else:
+        tables = load.load(gold, existing)
     if snapshot_path is not None:
         load.write_snapshot(tables, snapshot_path)
         tables = load.read_snapshot(spark, snapshot_path)

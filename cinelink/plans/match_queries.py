@@ -124,16 +124,20 @@ def crowded_titles(t):
     return _similar(t, T, CROWD)
 
 
-_LINKS_SQL = f"""
-    WITH RECURSIVE {Q.settled(T)}
+def _links_statement(strict_ids=False):
+    return f"""
+    WITH RECURSIVE {Q.settled(T, strict_ids)}
     SELECT a.k, m.k AS master_k, CAST(level AS BIGINT) AS level, round(score, 6) AS score
     FROM links JOIN kept a USING (pos) JOIN kept m ON m.pos = links.master"""
 
 
-def _entity_links(t, hot_block=None):
+_LINKS_SQL = _links_statement()
+
+
+def _entity_links(t, hot_block=None, **options):
     kept = materialize(kept_films(t), "kept")
     number = numbered(kept)
-    links = resolve.link_records(kept, T, hot_block=hot_block)
+    links = resolve.link_records(kept, T, hot_block=hot_block, **options)
     masters = number.select(F.col("pos").alias("master"), F.col("k").alias("master_k"))
     return lookup_join(links.join(number, "pos"), masters, ["master"], "inner").select(
         "k", "master_k", F.col("level").cast("bigint").alias("level"), F.round("score", 6).alias("score"))
@@ -149,6 +153,23 @@ def crowded_links(t):
     return _entity_links(t, CROWD)
 
 
+@query("split_masters", _LINKS_SQL)
+def split_masters(t):
+    """The same links, with identifiers, titles and similar titles of more than five records split over tasks."""
+    return _entity_links(t, hot_rows=5)
+
+
+@query("strict_links", _links_statement(strict_ids=True))
+def strict_links(t):
+    """Links of which no entity holds two tmdb_ids."""
+    return _entity_links(t, strict_ids=True)
+
+
+@query("strict_crowded_links", _links_statement(strict_ids=True))
+def strict_crowded_links(t):
+    return _entity_links(t, CROWD, strict_ids=True)
+
+
 @query("elected_masters", f"""
     WITH RECURSIVE {Q.settled(T)} SELECT k, source FROM kept JOIN final USING (pos) WHERE status = 'master'""")
 def elected_masters(t):

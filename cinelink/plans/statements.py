@@ -128,9 +128,15 @@ kept AS (
               AND c.title_norm IS NOT DISTINCT FROM b.title_norm AND c.year IS NOT DISTINCT FROM b.year)))"""
 
 
-def matches(threshold):
-    """All matching pairs of kept films: (later, earlier, level, score)."""
-    return f"""{KEPT},
+# The same films with those that have a tmdb_id first.
+KEPT_STRICT = f"""{KEPT.replace('kept AS (', 'kept_by_source AS (')},
+kept AS (SELECT * EXCLUDE (pos), row_number() OVER (ORDER BY tmdb_id IS NULL, pos) AS pos FROM kept_by_source)"""
+
+
+def matches(threshold, strict_ids=False):
+    """All matching pairs of kept films: (later, earlier, level, score). With `strict_ids`, none of different tmdb_ids."""
+    apart = "AND (l.tmdb_id IS NULL OR e.tmdb_id IS NULL)" if strict_ids else ""
+    return f"""{KEPT_STRICT if strict_ids else KEPT},
 words AS MATERIALIZED (SELECT DISTINCT token_key AS w FROM kept WHERE token_key <> ''),
 near AS MATERIALIZED (
     SELECT a.w AS wa, b.w AS wb FROM words a JOIN words b ON a.w <= b.w
@@ -143,18 +149,18 @@ pairs AS MATERIALIZED (
         SELECT l.pos AS later, e.pos AS earlier, 1 AS level, 0.0 AS score
         FROM kept l JOIN kept e ON l.tmdb_id = e.tmdb_id AND e.pos < l.pos
         UNION ALL
-        SELECT l.pos, e.pos, 2, 0.0 FROM kept l JOIN kept e ON l.imdb_id = e.imdb_id AND e.pos < l.pos
+        SELECT l.pos, e.pos, 2, 0.0 FROM kept l JOIN kept e ON l.imdb_id = e.imdb_id AND e.pos < l.pos {apart}
         UNION ALL
         SELECT l.pos, e.pos, 3, s.score
         FROM kept l JOIN both_ways s ON s.wa = l.token_key
         JOIN kept e ON e.token_key = s.wb AND e.pos < l.pos
-        WHERE l.year IS NULL OR e.year IS NULL OR abs(l.year - e.year) <= 1)
+        WHERE (l.year IS NULL OR e.year IS NULL OR abs(l.year - e.year) <= 1) {apart})
     GROUP BY later, earlier)"""
 
 
-def settled(threshold):
+def settled(threshold, strict_ids=False):
     """Status of every kept film, settled in rounds over the pairs; needs WITH RECURSIVE."""
-    return f"""{matches(threshold)},
+    return f"""{matches(threshold, strict_ids)},
 rounds AS (
     SELECT 0 AS round, pos, 'open' AS status FROM kept
     UNION ALL
