@@ -302,7 +302,8 @@ def keep_first(docs, doc_id="doc_id", text="text", **options):
     told = materialize(told.select("key", "gone"), "copies")
     own = docs.select(F.struct("*").alias("row")).withColumn(
         "own", F.struct(F.col(f"row.{doc_id}").alias("id"), digest(F.col(f"row.{text}")).alias("digest")))
-    mentioned = own.join(told, F.col("own").eqNullSafe(F.col("key")), "left")
+    # Whole rows move once at every size; a table of copies grows with the rows, so it is not broadcast.
+    mentioned = own.join(told.hint("merge"), F.col("own").eqNullSafe(F.col("key")), "left")
     alone = mentioned.where("gone is null").select("row")
     first = mentioned.where("not gone").groupBy("own").agg(F.min_by("row", F.to_json("row")).alias("row")).select("row")
     return alone.union(first).select("row.*")

@@ -128,7 +128,8 @@ def keep_good(docs, text="text", host="source", max_documents=MAX_DOCUMENTS, min
     keys = bad.select(F.struct("host_", "digest_").alias("key"))
     own = docs.select(F.struct("*").alias("row"))
     key = F.struct(group_key(F.col(f"row.{host}")).alias("host_"), digest(F.col(f"row.{text}")).alias("digest_"))
-    return own.withColumn("key", key).join(keys, "key", "left_anti").select("row.*")
+    # Whole rows move once at every size; rejected texts grow with the rows, so they are not broadcast.
+    return own.withColumn("key", key).join(keys.hint("merge"), "key", "left_anti").select("row.*")
 
 
 def strip_boilerplate(docs, text="text", host="source", max_documents=MAX_DOCUMENTS):
