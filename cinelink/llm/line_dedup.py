@@ -28,7 +28,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import functions as F
 
-from cinelink.llm.texts import arrow_rows, digest, text_or_empty
+from cinelink.llm.texts import arrow_rows, digest, hot_splits, text_or_empty
 from cinelink.runtime import materialize, skew_join
 
 MIN_LENGTH = 40
@@ -151,10 +151,8 @@ def repeated_lines(docs, doc_id="doc_id", text="text", min_length=MIN_LENGTH, mi
         found = materialize(suspects(docs, doc_id, text, table, bits, min_length), "suspects")
     counted = found.groupBy("key").agg(F.count("*").alias("n"), F.max("id").alias("keeper")).where(F.col("n") >= min_docs)
     counted = materialize(counted.select(F.unhex(F.md5("key")).alias("line"), "n", "keeper"), "repeated")
-    # A line of boilerplate may stand in a third of all documents: at most a thousand such keys are split.
-    limit = max(10_000, found.count() // 1000)
-    hot = counted.where(F.col("n") > limit).select("line", F.ceil(F.col("n") / limit).cast("int").alias("splits"))
-    hot = None if hot.isEmpty() else materialize(hot, "hot")
+    # A line of boilerplate may stand in a third of all documents.
+    hot = hot_splits(counted, ["line"], "n", found.count())
     lines = found.select("id", "digest", F.unhex(F.md5("key")).alias("line"), "spans")
     lost = skew_join(lines, counted.select("line", "keeper"), ["line"], "inner", hot, spread_by=["id", "digest"])
     lost = lost.where(~F.col("id").eqNullSafe(F.col("keeper")))

@@ -23,8 +23,8 @@ import xxhash
 from pyspark.sql import functions as F
 
 from cinelink.llm.induction import QUEUE_BYTES, suffixes_with_prefixes
-from cinelink.llm.texts import digest
-from cinelink.runtime import materialize
+from cinelink.llm.texts import digest, hot_splits
+from cinelink.runtime import materialize, skew_join
 
 LENGTH = 400
 GRAM = 64
@@ -147,9 +147,12 @@ def spans(docs, text="text", length=LENGTH, gram=GRAM, shard_bytes=SHARD_BYTES,
     """(digest, spans) of every different text with something to remove; spans are maximal, in bytes."""
     texts = docs.select(digest(F.col(text)).alias("digest"), F.col(text).cast("string").alias("text"))
     found = materialize(profile(texts, length, gram), "anchors")
-    several = found.groupBy("anchor").agg(
-        F.count("*").alias("n"), F.min("context").alias("low"), F.max("context").alias("high")).where("n > 1")
-    found = materialize(found.join(several.select("anchor", (F.col("low") < F.col("high")).alias("mixed")), "anchor"), "repeated")
+    several = materialize(found.groupBy("anchor").agg(
+        F.count("*").alias("n"), (F.min("context") < F.max("context")).alias("mixed")).where("n > 1"), "several")
+    # Periodic text, or a passage that a third of all texts holds, has one anchor in very many rows.
+    hot = hot_splits(several, ["anchor"], "n", found.count())
+    found = skew_join(found, several.select("anchor", "mixed"), ["anchor"], "inner", hot, spread_by=["digest", "start"])
+    found = materialize(found, "repeated")
     contexts = found.groupBy("anchor", "context", "mixed").agg(
         F.count("*").alias("places"), F.min(F.struct("digest", "start", "windows")).alias("owner"))
     contexts = materialize(contexts, "contexts")
@@ -159,8 +162,9 @@ def spans(docs, text="text", length=LENGTH, gram=GRAM, shard_bytes=SHARD_BYTES,
     mixed = contexts.where("mixed")
     size = mixed.agg(F.sum(F.col("owner.windows") + length)).first()[0] or 0
     shards = max(1, -(-size // shard_bytes))
-    parts = mixed.groupBy("anchor").agg(F.ceil(F.count("*") / split).cast("int").alias("parts"))
-    salted = mixed.join(parts, "anchor").withColumn("salt", F.pmod(F.xxhash64("context"), F.col("parts")))
+    parts = materialize(mixed.groupBy("anchor").agg(F.count("*").alias("n"), F.ceil(F.count("*") / split).cast("int").alias("parts")), "parts")
+    hot = hot_splits(parts, ["anchor"], "n", found.count())
+    salted = skew_join(mixed, parts.drop("n"), ["anchor"], "inner", hot, spread_by=["context"]).withColumn("salt", F.pmod(F.xxhash64("context"), F.col("parts")))
     wanted = salted.select(
         F.col("owner.digest").alias("digest"), F.struct(
             F.when(F.col("parts") > 1, F.xxhash64("anchor", "salt")).otherwise(
@@ -227,7 +231,8 @@ def spans(docs, text="text", length=LENGTH, gram=GRAM, shard_bytes=SHARD_BYTES,
         F.sort_array(F.collect_list(F.struct("a", "b"))).alias("runs"))
 
     places = found.select("digest", "anchor", "context", "start").distinct()
-    covered = places.join(whole.union(partial), ["anchor", "context"]).select(
+    hot = hot_splits(contexts, ["anchor", "context"], "places", found.count())
+    covered = skew_join(places, whole.union(partial), ["anchor", "context"], "inner", hot, spread_by=["digest", "start"]).select(
         "digest", F.transform("runs", lambda r: F.struct(
             (r["a"] + F.col("start")).alias("a"), (r["b"] + F.col("start")).alias("b"))).alias("runs"))
     all_runs = covered.groupBy("digest").agg(F.sort_array(F.flatten(F.collect_list("runs"))).alias("runs"))
@@ -250,7 +255,8 @@ def remove_repeats(docs, text="text", keep=("doc_id",), **options):
     """
     found = materialize(spans(docs, text, **options), "spans").withColumnRenamed("digest", "digest_")
     rows = docs.select(*keep, digest(F.col(text)).alias("digest_"), F.encode(F.coalesce(F.col(text).cast("string"), F.lit("")), "UTF-8").alias("raw_"))
-    rows = rows.join(found, "digest_", "left").withColumn("spans", F.coalesce("spans", F.expr("cast(array() as array<struct<a:int,b:int>>)")))
+    # Whole rows move once at every size; a table of spans grows with the rows, so it is not broadcast.
+    rows = rows.join(found.hint("merge"), "digest_", "left").withColumn("spans", F.coalesce("spans", F.expr("cast(array() as array<struct<a:int,b:int>>)")))
     none = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<binary>)").alias("parts"))
     walk = F.aggregate("spans", none, lambda s, r: F.struct(
         r["b"].alias("at"),

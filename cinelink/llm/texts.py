@@ -4,6 +4,8 @@ from contextlib import contextmanager
 
 from pyspark.sql import functions as F
 
+from cinelink.runtime import materialize
+
 SPACE = r"[\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -37,6 +39,16 @@ def digest(column):
     return F.unhex(F.md5(text_or_empty(column)))
 
 
+def hot_splits(counted, keys, n, rows):
+    """Keys of a table of counts that hold more than a thousandth of `rows` rows, and the splits each needs; None without any.
+
+    For `runtime.skew_join`: at most a thousand keys, however large the table.
+    """
+    limit = max(10_000, rows // 1000)
+    hot = counted.where(F.col(n) > limit).select(*keys, F.ceil(F.col(n) / limit).cast("int").alias("splits"))
+    return None if hot.isEmpty() else materialize(hot, "hot")
+
+
 @contextmanager
 def arrow_rows(spark, rows):
     """Let Python workers take at most `rows` rows at a time from what is run inside: whole texts are large."""
