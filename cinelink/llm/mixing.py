@@ -9,13 +9,14 @@ id and copy number: a global shuffle that any task can repeat.
 Defined results: a null source is a source of its own; sources without a weight share what
 the given weights leave, equally (by default all sources weigh the same); a source without
 characters has rate 1; a null id hashes like the empty text, and rows with the same id are
-drawn alike; an empty table gives no rows; other columns pass through.
+drawn alike; an empty table gives no rows; other columns pass through, and where one has the
+name of an added column, the added one is called n_copies_2 and so on.
 """
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from cinelink.llm.texts import group_key, text_or_empty
+from cinelink.llm.texts import free_name, group_key, text_or_empty
 from cinelink.runtime import materialize
 
 SEED = "mix-1"
@@ -70,4 +71,5 @@ def replicate(docs, weights=None, doc_id="doc_id", source="source", text="text",
         "row", "n_copies", F.explode(F.sequence(F.lit(0), F.col("n_copies") - 1)).alias("copy_no"))
     copies = copies.withColumn("shuffle_key", F.md5(F.concat_ws(":", F.lit(seed), F.lit("order"), ident, F.col("copy_no").cast("string"))))
     mixed = copies.repartition(F.col("shuffle_key")).sortWithinPartitions("shuffle_key")
-    return mixed.select("row.*", "n_copies", "copy_no", "shuffle_key")
+    added = [F.col(c).alias(free_name(docs.columns, c)) for c in ("n_copies", "copy_no", "shuffle_key")]
+    return mixed.select("row.*", *added)

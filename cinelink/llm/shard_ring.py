@@ -13,7 +13,7 @@ carries the rows.
 
 Defined results: null keys are a key of their own; rows with the same key are ordered by
 `ties`, equal rows are interchangeable; an empty table gives no rows; other columns pass
-through. Rows of one key stay together on the ring unless a shard is full.
+through, and where one is called shard or slot, the added one is shard_2 or slot_2. Rows of one key stay together on the ring unless a shard is full.
 """
 
 import numpy as np
@@ -21,6 +21,7 @@ import pandas as pd
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from cinelink.llm.texts import free_name
 
 VIRTUAL = 64
 
@@ -98,4 +99,6 @@ def assign(rows, key, ties=(), shards=40, virtual=VIRTUAL, slack=0.0):
     return ranked.join(
         F.broadcast(table.withColumnRenamed("arc", "s_arc")),  # at most three rows per virtual node
         (F.col("arc") == F.col("s_arc")) & (F.col("rank") >= F.col("lo")) & (F.col("rank") < F.col("hi")),
-    ).select("row.*", F.col("shard"), (F.col("first") + F.col("rank") - F.col("lo")).alias("slot"))
+    ).select(
+        "row.*", F.col("shard").alias(free_name(rows.columns, "shard")),
+        (F.col("first") + F.col("rank") - F.col("lo")).alias(free_name(rows.columns, "slot")))

@@ -34,6 +34,15 @@ def group_key(column):
     return F.coalesce(F.concat(F.lit("="), column.cast("string")), F.lit(""))
 
 
+def free_name(columns, name):
+    """`name`, or with the first number behind it that no column has; names are compared as Spark does."""
+    taken, n, out = {c.lower() for c in columns}, 1, name
+    while out.lower() in taken:
+        n += 1
+        out = f"{name}_{n}"
+    return out
+
+
 def digest(column):
     """128 bits that stand for a text; null counts as empty."""
     return F.unhex(F.md5(text_or_empty(column)))

@@ -116,6 +116,41 @@ def test_near_dup_is_brute_force(docs):
     assert near_dup.keep_first(docs).columns == docs.columns
 
 
+def test_columns_of_the_same_name_as_added_ones(spark):
+    rows = [(i, f"text {i}", "s", 7, 8, 9, 10, 11) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n_copies int, Copy_No int, shuffle_key int, shard int, slot int")
+    mixed = mixing.replicate(docs)
+    assert mixed.columns == [*docs.columns, "n_copies_2", "copy_no_2", "shuffle_key_2"]
+    assert mixed.select(*docs.columns).distinct().exceptAll(docs).count() == 0
+    placed = shard_ring.assign(docs, F.col("doc_id"), [], 4)
+    assert placed.columns == [*docs.columns, "shard_2", "slot_2"]
+    assert sorted(r["count"] for r in placed.groupBy("shard_2").count().collect()) == [7, 7, 8, 8]
+    assert placed.where("shard = 10 and slot = 11").count() == 30
+
+
+def test_one_more_shard_moves_few_rows():
+    """From 40 to 41 shards a bounded ring moves little more than the share of the new shard."""
+    rng = np.random.default_rng(2)
+    keys = np.sort(rng.integers(-(1 << 63), (1 << 63) - 1, 60_000))
+
+    def owners(shards, slack):
+        at = np.random.default_rng(3).integers(-(1 << 63), (1 << 63) - 1, (41, 64))[:shards]
+        order = np.argsort(at.ravel())
+        positions, owner = at.ravel()[order], np.repeat(np.arange(shards), 64)[order]
+        arc = np.searchsorted(positions, keys) % len(positions)
+        counts = np.bincount(arc, minlength=len(positions))
+        out, first = np.empty(len(keys), np.int64), np.r_[0, np.cumsum(counts)]
+        by_arc = np.argsort(arc, kind="stable")
+        for a, lo, hi, shard, _ in shard_ring.place(counts, owner, shard_ring.capacities(len(keys), shards, slack)):
+            out[by_arc[first[a] + lo:first[a] + hi]] = shard
+        return out
+
+    for slack, most in ((0.0, 0.10), (0.25, 0.05)):
+        before, after = owners(40, slack), owners(41, slack)
+        assert (before != after).mean() < most
+        assert np.bincount(before).max() <= -(-len(keys) * (1 + slack) // 40)
+
+
 def test_keep_first_goes_by_row(spark):
     """Ids that stand on several rows: a text that is a copy of nothing stays, of equal rows one does."""
     x, y, u = (" ".join(f"{c}{i}" for i in range(40)) for c in "xyu")
