@@ -34,7 +34,7 @@ def shard(spark, docs, sf_dir):
 
 
 STAGES = [("quality", quality), ("near_dedup", dedup), ("decontaminate", clean), ("mix", mix), ("shard", shard)]
-# Near-dedup, the hashes and the ring have no counterpart in SQL; tests hold every stage against a brute-force version.
+# Near-dedup, the hashes and the ring have no counterpart in SQL; tests run all stages against a brute-force version.
 ORACLE_SQL = None
 
 
