@@ -229,17 +229,35 @@ def split_records(cells, source="spark", term=S.GENRE_TERM):
 
 # --- title TSV ---------------------------------------------------------------
 
+def tsv_columns(spark, path, header):
+    """Where the columns of `header` stand: by the file's own header line, else in the order of `header`."""
+    cells = F.split(F.regexp_replace("value", rf"^{text.BLANK}+|{text.BLANK}+$", ""), "\t")
+    named = spark.read.text(path).select(cells.alias("f")).where(F.array_contains("f", header[0])).limit(1).collect()
+    found = named[0]["f"] if named else []
+    missing = [h for h in header if h not in found]
+    if missing and named:
+        explain(f"missing columns: {', '.join(missing)}")
+        return None
+    return [found.index(h) for h in header] if named else list(range(len(header)))
+
+
 def read_tsv(spark, path, header):
-    """Tab-separated text, plain or gzipped. Rows shorter than the header are dropped."""
+    """Tab-separated text, plain or gzipped, with its columns in any order.
+
+    Rows shorter than the header are dropped; a header without one of the columns makes the source empty.
+    """
     def read():
+        places = tsv_columns(spark, path, header)
+        if places is None:
+            return S.empty(spark, layout)
         line = F.regexp_replace("value", rf"^{text.BLANK}+|{text.BLANK}+$", "")
         rows = spark.read.text(path).select(F.split(line, "\t").alias("f"), file_order().alias("seq"))
         return rows.where(
-            (F.size("f") >= len(header)) & (F.col("f")[0] != header[0])
-        ).select(*[F.col("f")[i].alias(h) for i, h in enumerate(header)], "seq")
+            (F.size("f") > max(places)) & (F.size("f") >= len(header)) & (F.col("f")[places[0]] != header[0])
+        ).select(*[F.col("f")[i].alias(h) for i, h in zip(places, header)], "seq")
 
-    layout = T.StructType([T.StructField(h, T.StringType()) for h in header])
-    return or_empty(spark, read, layout.add("seq", S.SEQ))
+    layout = T.StructType([T.StructField(h, T.StringType()) for h in header]).add("seq", S.SEQ)
+    return or_empty(spark, read, layout)
 
 
 def title_basics(rows, genre="Horror"):

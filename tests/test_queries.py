@@ -11,12 +11,6 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 from check import compare, database  # noqa: E402
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-# Parts of gold_entities, or of another load query; `tools/check.py` covers them.
-COVERED = {
-    "elected_masters", "filled_entities", "themed_gold", "missing_overviews", "similar_titles_loose", "audit_of_load",
-    "upserted_genres", "movie_genre_links", "upserted_rt_details", "ingestion_log", "load_counts", "six_table_load",
-    "same_imdb_links", "repeated_load", "ratings_per_source", "constraint_audit",
-}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="tables are not there")
 
@@ -26,7 +20,7 @@ def con():
     return database(FOLDER)
 
 
-@pytest.mark.parametrize("name", [n for n in plans.QUERIES if n not in COVERED])
+@pytest.mark.parametrize("name", plans.QUERIES)
 def test_query_equals_sql(spark, con, name):
     message, _ = compare(spark, con, name, FOLDER)
     assert message is None, message

@@ -176,3 +176,13 @@ def test_outcome_of_sources(spark, tmp_path):
     assert union.count() == 2 and told["kaggle"] == ("success", 2, None) and told["left"] == ("skipped", 0, None)
     assert told["untitled"] == ("error", 0, "missing columns: title") and told["nowhere"] == ("error", 0, "path not found")
     assert told["imdb"][:2] == ("error", 0) and told["imdb"][2]
+
+
+def test_tsv_columns_follow_the_header(spark, tmp_path):
+    (tmp_path / "r.tsv").write_text("numVotes\ttconst\textra\taverageRating\n5000\ttt1\tx\t7.5\n10\ttt2\n")
+    read = files.read_tsv(spark, str(tmp_path / "r.tsv"), files.RATINGS_HEADER)
+    assert [(r.tconst, r.averageRating, r.numVotes) for r in read.collect()] == [("tt1", "7.5", "5000")]
+    (tmp_path / "bare.tsv").write_text("tt1\t7.5\t5000\n")
+    assert files.read_tsv(spark, str(tmp_path / "bare.tsv"), files.RATINGS_HEADER).first().numVotes == "5000"
+    (tmp_path / "lacks.tsv").write_text("tconst\tnumVotes\ntt1\t5000\n")
+    assert files.read_tsv(spark, str(tmp_path / "lacks.tsv"), files.RATINGS_HEADER).count() == 0
