@@ -254,7 +254,21 @@ def test_decontamination_and_quality_edges(spark, docs, empty):
     bench = spark.createDataFrame([(1, sample()[6][1]), (2, "one two"), (3, None), (4, "")], "item_id long, text string")
     found = decontaminate.scan(docs, bench).collect()
     assert {r["doc_id"] for r in found if r["contaminated"]} >= {3, 4, 5, 6, 7, 8}
-    assert decontaminate.scan(docs, bench, broadcast_windows=0).count() == len(found)
+    assert len(found) == len(sample())
+    shuffled = decontaminate.scan(docs, bench, broadcast_bytes=0)
+    columns = sorted(shuffled.columns)
+    assert Counter(str([r[c] for c in columns]) for r in shuffled.collect()) == Counter(str([r[c] for c in columns]) for r in found)
+    words = {i: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(t)) for i, t in enumerate([sample()[6][1], "one two"])}
+    grams = {tuple(w[i:i + min(13, len(w))]) for w in words.values() for i in range(len(w) - min(13, len(w)) + 1)}
+    expected = []
+    for r in sample():
+        w, hit = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(r[1])), set()
+        for n in {len(g) for g in grams}:
+            for i in range(len(w) - n + 1):
+                if tuple(w[i:i + n]) in grams:
+                    hit |= set(range(i, i + n))
+        expected.append((r[0], len(w), len(hit), len(hit) > 0 and 20 * len(hit) >= len(w)))
+    assert Counter((r["doc_id"], r["n_words"], r["n_hit"], r["contaminated"]) for r in found) == Counter(expected)
     clean = decontaminate.remove_documents(docs, bench)
     assert clean.columns == docs.columns and 14 in {r["doc_id"] for r in clean.collect()}
     cut = {r["doc_id"]: r["text"] for r in decontaminate.remove_spans(docs, bench).collect()}
