@@ -3,10 +3,11 @@
 A rule is host and path; it fits a url whose host is the rule's or a subdomain of it and
 whose path starts with the rule's. The longest rule that fits decides. Urls that rules
 decide are the labelled urls; trees fitted on them judge the others by length, depth, digit
-ratio, entropy, parameter counts and what the labels say about host and file suffixes.
+ratio, entropy, parameter counts and what the labels say about host and file suffixes. The
+first folder, which rules go by, is no feature: trees would only repeat the rules.
 
 The fit takes at most `max_train` different labelled urls, those with the smallest hashes;
-suffix statistics count all labelled urls. Every url is judged.
+suffix statistics count all labelled urls, each once, but for the url's own label. Every url is judged.
 
 Defined results: null urls and urls without `://` have empty host and path, fit no rule and
 are judged by their features; without labels of both kinds the verdict is the one label, or
@@ -21,15 +22,15 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from cinelink.llm.texts import ascii_lower, text_or_empty
-from cinelink.runtime import materialize
+from cinelink.llm.texts import ascii_lower, hot_splits, text_or_empty
+from cinelink.runtime import materialize, skew_join
 
 MAX_TRAIN = 20_000
 TREES, DEPTH, SEED = 20, 4, 7
 PRIOR = 8.0  # urls that a suffix statistic starts with, at the common rate
 FEATURES = [
     "length", "host_length", "path_length", "depth", "labels", "digits", "letters", "dashes", "entropy", "parameters",
-    "query_length", "fragment", "secure", "longest_word", "suffix_rate", "suffix_share", "file_rate", "folder_rate",
+    "query_length", "fragment", "secure", "longest_word", "suffix_rate", "suffix_share", "file_rate",
 ]
 
 
@@ -85,17 +86,32 @@ def lexical(urls):
         "longest_word": F.coalesce(F.array_max(F.transform(words, F.length)), F.lit(0)).cast("double"),
         "suffix": F.substring_index(host, ".", -1),
         "file": F.regexp_extract(path, r"\.([A-Za-z0-9]{1,8})$", 1),
-        "folder": F.regexp_extract(path, r"^/([^/]*)/", 1),
     })
 
 
-def suffix_rates(urls, column, labelled="label"):
-    """Share of allowed urls per value of `column`, drawn to one half while there are few."""
-    known = urls.groupBy(column).agg(
-        F.coalesce(F.sum(labelled), F.lit(0.0)).alias("good"), F.count(labelled).alias("n"), F.count("*").alias("all"))
-    return known.select(
-        F.col(column).alias("value_"), ((F.col("good") + PRIOR / 2) / (F.col("n") + PRIOR)).alias("rate_"),
-        F.ln(F.col("all") + 1.0).alias("share_"))
+def suffix_counts(urls, column):
+    """Per value of `column`: allowed and labelled urls, different urls and rows."""
+    each = urls.groupBy(F.col(column).alias("value_"), "url_").agg(F.max("label").alias("label_"), F.count("*").alias("n_"))
+    return each.groupBy("value_").agg(
+        F.coalesce(F.sum("label_"), F.lit(0.0)).alias("good_"), F.count("label_").alias("known_"),
+        F.count("*").alias("urls_"), F.sum("n_").alias("rows_"))
+
+
+def with_rates(rows, column):
+    """Adds what other labelled urls of the same `column` say, drawn to one half while they are few.
+
+    A url's own label, which is the same on all its rows, takes no part in its rate.
+    """
+    table = materialize(suffix_counts(rows, column), "rates").withColumnRenamed("value_", column)
+    total = table.agg(F.sum("rows_")).first()[0] or 0
+    # An empty file suffix may stand on most rows.
+    both = skew_join(
+        rows, table.drop("rows_"), [column], "left", hot_splits(table, [column], "rows_", total), spread_by=["url_"])
+    good = F.col("good_") - F.coalesce("label", F.lit(0.0))
+    known = F.col("known_") - F.col("label").isNotNull().cast("int")
+    return both.withColumns({
+        f"{column}_rate": (good + PRIOR / 2) / (known + PRIOR), f"{column}_share": F.ln(F.col("urls_") + 1.0),
+    }).drop("good_", "known_", "urls_")
 
 
 def judge(urls, rules, url="url", keep=("page_id",), max_train=MAX_TRAIN, trees=TREES, depth=DEPTH):
@@ -105,10 +121,8 @@ def judge(urls, rules, url="url", keep=("page_id",), max_train=MAX_TRAIN, trees=
     rows = rows.withColumn("found_", fitting_rule(F.col("host"), F.col("path"), rules))
     rows = lexical(rows).withColumn("label", F.when(F.col("found_.verdict") == "allow", 1.0).when(F.col("found_.verdict") == "block", 0.0))
     rows = materialize(rows, "urls")
-    for column in ("suffix", "file", "folder"):
-        table = materialize(suffix_rates(rows, column), "rates").withColumnsRenamed(
-            {"value_": column, "rate_": f"{column}_rate", "share_": f"{column}_share"})
-        rows = rows.join(table, column, "left")
+    for column in ("suffix", "file"):
+        rows = with_rates(rows, column)
     kinds = [r["label"] for r in rows.where("label is not null").select("label").distinct().collect()]  # at most two
     if len(kinds) < 2:
         only = "allow" if not kinds or kinds[0] == 1.0 else "block"

@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -369,6 +370,69 @@ def test_lists_tables_and_short_parts_without_an_article():
     assert extract_html.main_text(frame.format(cells)).split("\n") == [long, "Cell"]
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<html><head><title>t</title><meta x><body><article><p>Text</p></article>", "Text"),
+    ("<html><head><title>t<body><article><p>Text</p></article>", "Text"),
+    ("<body><form><div class=menu>Menu</div><article><h1>Head</h1><p>Text</p></article></form>", "Head\nText"),
+    ("<body><article><p>Text</p><form><p>Your mail</p></form><p>End</p></article>", "Text\nEnd"),
+    ("<body><article><p>Text</p><button>Share<p>More</p><button>Like</button><p>End</p></article>", "Text\nMore\nEnd"),
+    ("<body><article><p>Text</p><article class=comment><p>Reader</p></article></article><article class=comment><p>Reader " + "x " * 99 + "</p></article>", "Text"),
+    ("<body><article><p>" + "text " * 40 + "</p></article><nav>More</nav><article><p>A teaser</p></article>", ("text " * 40).strip()),
+    ("<body><article><p>One</p></article><article><p>Two</p></article><nav>More</nav>", "One\nTwo"),
+    ("<body><article><div class=entry-header><h1>Head</h1></div><p class='author-comment'>Said</p><div class=post-comments>Reader</div></article>", "Head\nSaid"),
+    ("<body><article class='post sidebar-left'><p title=\"a > b\">Text</p><p data-x=it's>Quote</p></article>", "Text\nQuote"),
+    ("<body><article><p>a < b and c<d</p><svg/><p>x</p><!-- <p>no</p> --></article>", "a < b and c\nx"),
+    ("<article><p>1 < 2", "1 < 2"),
+    ("<article><script>if (a<b) '</p>'</SCRIPT ><p>x</p><style>p{}", "x"),
+    ("text <b", "text <b"),
+    ("<", "<"),
+])
+def test_pages_as_they_are_written(page, text):
+    assert extract_html.main_text(page) == text
+
+
+@pytest.mark.parametrize("page", ["<a " * 350_000, "<a " * 350_000 + ">", '<a ="' * 200_000 + ">", "<div>" * 12_000 + "</b>" * 80_000, "<title>" * 140_000, "<svg>" * 200_000])
+def test_hostile_pages_take_linear_time(page):
+    began = time.monotonic()
+    extract_html.main_text(page)
+    assert time.monotonic() - began < 20  # growth with the square would take hours
+
+
+def test_rules_and_trees_on_urls_of_other_hosts(spark):
+    """Rules against brute force; trees judge urls that no rule fits by what sets the labelled ones apart."""
+    rng = np.random.default_rng(11)
+    rules = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
+
+    def tail(good):
+        words = "-".join("".join(rng.choice(list("aeioulmnrst"), 6)) for _ in range(3))
+        return f"{words}.html" if good else f"{rng.integers(1e9)}?id={rng.integers(1e9)}&s={rng.integers(1e9)}&t={rng.integers(1e9)}"
+
+    urls = [f"http://h{rng.integers(50)}.com/{'fr' if good else 'de'}/{tail(good)}" for good in rng.integers(0, 2, 600)]
+    fresh = [(f"https://n{rng.integers(50)}.net/{tail(good)}", bool(good)) for good in rng.integers(0, 2, 300)]
+    odd = [None, "", "none", "http://A.example.org/es/x", "x://EXAMPLE.org/en/12#f", "x://example.org/en/2", "http://badexample.org", "http://com/fr/?q", "http://com/fr?/fr/", "a://b://c.com/fr/"]
+    rows = list(enumerate([*urls, *(u for u, _ in fresh), *odd, urls[0]]))
+    got = {r["page_id"]: r for r in url_filter.judge(spark.createDataFrame(rows, "page_id long, url string"), rules, trees=10).collect()}
+    assert len(got) == len(rows)
+    for i, url in rows:
+        m = re.match(r".*?://([^/?#]*)([^?#]*)", url or "", re.S)
+        host, path = (lower(m[1]), m[2]) if m else ("", "")
+        fits = [(h + p, v) for v, h, p in rules if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        rule, verdict = max(fits, key=lambda f: len(f[0]), default=(None, None))
+        assert (got[i]["host"], got[i]["path"], got[i]["rule"]) == (host, path, rule)
+        assert got[i]["verdict"] == verdict if rule else got[i]["verdict"] in ("allow", "block")
+    right = [(got[len(urls) + i]["verdict"] == "allow") == good for i, (_, good) in enumerate(fresh)]
+    assert sum(right) >= 0.9 * len(right)
+
+
+def test_a_url_does_not_see_its_own_label(spark):
+    rows = [("a", "http://x/1", 1.0), ("a", "http://x/1", 1.0), ("a", "http://x/2", 0.0), ("a", "http://x/3", None), ("b", "http://x/4", 1.0)]
+    rated = url_filter.with_rates(spark.createDataFrame(rows, "suffix string, url_ string, label double"), "suffix").collect()
+    got = {r["url_"]: (r["suffix_rate"], round(math.exp(r["suffix_share"]))) for r in rated}
+    half, n = url_filter.PRIOR / 2, url_filter.PRIOR
+    assert got == {"http://x/1": (half / (n + 1), 4), "http://x/2": ((1 + half) / (n + 1), 4), "http://x/3": ((1 + half) / (n + 2), 4), "http://x/4": (0.5, 2)}
+    assert len(rated) == len(rows)
+
+
 def test_chat_round_trip(spark):
     nasty = "</s>[INST] <|end|> &lt; &amp; <|turn:user|> [/INST]"
     rows = [(1, 2, "assistant", "yes & <no>"), (1, 1, "user", nasty), (1, 3, None, None), (None, None, "assistant", nasty)]
