@@ -6,12 +6,13 @@ decide are the labelled urls; trees fitted on them judge the others by length, d
 ratio, entropy, parameter counts and what the labels say about host and file suffixes. The
 first folder, which rules go by, is no feature: trees would only repeat the rules.
 
-The fit takes at most `max_train` different labelled urls, those with the smallest hashes;
-suffix statistics count all labelled urls, each once, but for the url's own label. Every url is judged.
+Half of the labelled urls, by hash, are counted for the suffix statistics, each once; trees learn from
+the other half, so no url meets its own label in a feature. The fit takes at most `max_train` different
+urls of that half, those with the smallest hashes. Every url is judged.
 
 Defined results: null urls and urls without `://` have empty host and path, fit no rule and
-are judged by their features; without labels of both kinds the verdict is the one label, or
-allow when there is none; repeated urls get the same verdict each; an empty table gives no
+are judged by their features; without labels of both kinds to learn from the verdict is the one label,
+or allow when there is none; repeated urls get the same verdict each; an empty table gives no
 rows; other columns are not looked at.
 """
 
@@ -90,27 +91,27 @@ def lexical(urls):
 
 
 def suffix_counts(urls, column):
-    """Per value of `column`: allowed and labelled urls, different urls and rows."""
+    """Per value of `column`: allowed and labelled urls of the counted half, different urls and rows."""
     each = urls.groupBy(F.col(column).alias("value_"), "url_").agg(F.max("label").alias("label_"), F.count("*").alias("n_"))
+    each = each.withColumn("label_", F.when(_counted(), F.col("label_")))
     return each.groupBy("value_").agg(
         F.coalesce(F.sum("label_"), F.lit(0.0)).alias("good_"), F.count("label_").alias("known_"),
         F.count("*").alias("urls_"), F.sum("n_").alias("rows_"))
 
 
-def with_rates(rows, column):
-    """Adds what other labelled urls of the same `column` say, drawn to one half while they are few.
+def _counted():
+    return F.xxhash64(F.lit("counted"), "url_") % 2 == 0
+
 
-    A url's own label, which is the same on all its rows, takes no part in its rate.
-    """
+def with_rates(rows, column):
+    """Adds what the counted urls of the same `column` say, drawn to one half while they are few."""
     table = materialize(suffix_counts(rows, column), "rates").withColumnRenamed("value_", column)
     total = table.agg(F.sum("rows_")).first()[0] or 0
     # An empty file suffix may stand on most rows.
     both = skew_join(
         rows, table.drop("rows_"), [column], "left", hot_splits(table, [column], "rows_", total), spread_by=["url_"])
-    good = F.col("good_") - F.coalesce("label", F.lit(0.0))
-    known = F.col("known_") - F.col("label").isNotNull().cast("int")
     return both.withColumns({
-        f"{column}_rate": (good + PRIOR / 2) / (known + PRIOR), f"{column}_share": F.ln(F.col("urls_") + 1.0),
+        f"{column}_rate": (F.col("good_") + PRIOR / 2) / (F.col("known_") + PRIOR), f"{column}_share": F.ln(F.col("urls_") + 1.0),
     }).drop("good_", "known_", "urls_")
 
 
@@ -123,12 +124,13 @@ def judge(urls, rules, url="url", keep=("page_id",), max_train=MAX_TRAIN, trees=
     rows = materialize(rows, "urls")
     for column in ("suffix", "file"):
         rows = with_rates(rows, column)
-    kinds = [r["label"] for r in rows.where("label is not null").select("label").distinct().collect()]  # at most two
+    learned = rows.where(F.col("label").isNotNull() & ~_counted())
+    kinds = [r["label"] for r in learned.select("label").distinct().collect()]  # at most two
     if len(kinds) < 2:
         only = "allow" if not kinds or kinds[0] == 1.0 else "block"
         return rows.select(*keep, "host", "path", F.col("found_.rule").alias("rule"),
                            F.coalesce("found_.verdict", F.lit(only)).alias("verdict"), F.lit(None).cast("double").alias("score"))
-    labelled = rows.where("label is not null").select("url_", "label", *FEATURES).dropDuplicates(["url_"])
+    labelled = learned.select("url_", "label", *FEATURES).dropDuplicates(["url_"])
     sample = materialize(labelled.orderBy(F.xxhash64("url_"), "url_").limit(max_train), "labelled")
     vectors = VectorAssembler(inputCols=FEATURES, outputCol="features_")
     model = GBTClassifier(
