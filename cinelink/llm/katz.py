@@ -30,7 +30,7 @@ from pyspark.taskcontext import TaskContext
 
 from cinelink.runtime import materialize
 
-ORDER = 2
+ORDER = 3
 CHUNK = 1 << 20
 BUCKET = 1 << 21
 UP_TO = 5  # counts above are not discounted

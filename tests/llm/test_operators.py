@@ -209,46 +209,62 @@ def test_sketch_estimates_similarity():
     assert abs((x == y).mean() - 0.6) < 0.08
 
 
-def test_katz_adds_up_to_one(spark):
-    """Held-out texts that end in every word of the vocabulary after a context, by backoff and directly."""
-    train = [(i, t) for i, t in enumerate(["a b a c", "a b b", "c a b", "d", "a a a b", "c c d a"] * 2 + ["e f", "g", "h a"])]
-    words = sorted({w for _, t in train for w in t.split()})
-    tests = [(100 + i, t) for i, t in enumerate([""] + words + ["unseen"] + [f"a {w}" for w in [*words, "unseen"]] + ["a"])]
-    docs = spark.createDataFrame([*train, *tests], "doc_id long, text string")
-    got = {r["doc_id"]: r for r in katz.score(docs, F.col("doc_id") >= 100, chunk=10, bucket=16).collect()}
-    texts = dict(tests)
-    first = {texts[i]: got[i]["score"] for i in texts}
-    # P(w | start) P(end | w) over w, and the empty text: with P(end | w) divided out by the score of "a w" it must close.
-    tokens = Counter(x for _, t in train for x in [*t.split(), "\n"])
-    assert got[100]["train_tokens"] == sum(tokens.values())
-    pairs = Counter()
-    for _, t in train:
-        s = ["<s>", *t.split(), "\n"]
-        pairs.update(zip(s, s[1:]))
-    d1, d2 = katz.discounts([sum(c == r for c in tokens.values()) for r in range(1, 7)]), katz.discounts([sum(c == r for c in pairs.values()) for r in range(1, 7)])
-    n = sum(tokens.values())
-    kept = sum(d1[min(c, 6)] * c for c in tokens.values())
-    total = n if kept < n else n + 1
-    uni = {w: d1[min(c, 6)] * c / total for w, c in tokens.items()}
-    uni["<unk>"] = 1 - kept / total
+def brute_katz(train, order):
+    """(probability of a word after a tuple of words by recursion, training tokens by count)."""
+    grams = {k: Counter() for k in range(1, order + 1)}
+    followers = defaultdict(Counter)
+    for text in train:
+        s = ["<s>"] * (order - 1) + [*tokenized(text), "\n"]
+        for i in range(order - 1, len(s)):
+            for k in grams:
+                grams[k][tuple(s[i - k + 1:i + 1])] += 1
+                followers[tuple(s[i - k + 1:i])][s[i]] += 1
+    cut = {k: katz.discounts([sum(c == r for c in grams[k].values()) for r in range(1, 7)]) for k in grams}
+    tokens = followers[()]
 
     def p(w, h):
         w = w if w in tokens else "<unk>"
-        followers = {x: c for (a, x), c in pairs.items() if a == h}
-        size = sum(followers.values())
-        if not size:
-            return uni[w]
-        mass = sum(d2[min(c, 6)] * c for c in followers.values())
+        seen = followers.get(h, {})
+        size, mass = sum(seen.values()), sum(cut[len(h) + 1][min(c, 6)] * c for c in seen.values())
+        if not seen:
+            return p(w, h[1:])
         size = size if mass < size - 1e-9 * size else size + 1
-        if w in followers:
-            return d2[min(followers[w], 6)] * followers[w] / size
-        return (1 - mass / size) / (1 - sum(uni[x] for x in followers)) * uni[w]
-
-    for h in ["<s>", *words]:
+        if w in seen:
+            return cut[len(h) + 1][min(seen[w], 6)] * seen[w] / size
+        if not h:
+            return 1 - mass / size
+        return (1 - mass / size) / (1 - sum(p(x, h[1:]) for x in seen)) * p(w, h[1:])
+
+    return p, tokens
+
+
+def tokenized(text):
+    return WORDS.findall(lower(text))
+
+
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_katz_is_brute_force(spark, order):
+    """Scores and base columns of all texts, and probabilities of every context that add up to one."""
+    rng = np.random.default_rng(order)
+    train = ["a b a c", "a b b", "c a b", "d", "A a a b", "c c\td a"] * 2 + ["e f", "g", "h a", "", None]
+    train += [" ".join(rng.choice(list("abcdefgh"), rng.integers(1, 12), p=[.3, .2, .15, .1, .1, .05, .05, .05])) for _ in range(40)]
+    tests = ["", None, "unseen", "a unseen b a", "a b a c", "b\u00a0a a", *(" ".join(rng.choice(list("abcdefgxy"), 9)) for _ in range(20))]
+    rows = list(enumerate([*train, *tests]))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r for r in katz.score(docs, F.col("doc_id") >= len(train), order=order, chunk=30, bucket=16).collect()}
+    p, tokens = brute_katz(train, order)
+    n, v = sum(tokens.values()), len(tokens)
+    assert len(got) == len(rows)
+    for i, text in rows:
+        line = [*tokenized(text), "\n"]
+        s = ["<s>"] * (order - 1) + line
+        r = got[i]
+        assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (i >= len(train), len(line), sum(w in tokens for w in line), n)
+        assert abs(r["base_score"] - sum(math.log10((tokens[w] + 0.1) / (n + 0.1 * (v + 1))) for w in line)) < 1e-9
+        assert abs(r["score"] - sum(math.log10(p(s[j], tuple(s[j - order + 1:j]))) for j in range(order - 1, len(s)))) < 1e-9
+    for h in [("<s>", "a", "b"), ("a", "b", "a"), ("x", "y", "a"), ("b", "c", "x")]:
+        h = h[len(h) - order + 1:]
         assert abs(sum(p(w, h) for w in [*tokens, "<unk>"]) - 1) < 1e-9
-    for t, s in first.items():
-        line = ["<s>", *t.split(), "\n"]
-        assert abs(s - sum(math.log10(p(w, h)) for h, w in zip(line, line[1:]))) < 1e-9
 
 
 def test_decontamination_and_quality_edges(spark, docs, empty):
