@@ -4,13 +4,16 @@ A text is its words, lower-cased A-Z, and one end. Texts are cut into chunks of
 `CHUNK` tokens. A chunk asks for the counts of its distinct n-grams in packets of sorted
 hashes, one packet per bucket of the hash space; a bucket adds up what all chunks hold and
 answers every packet. So a token costs a few bytes on the wire instead of a row, counting
-and look-up are one exchange, and counts cover the whole corpus. Answers are stored in
-tables partitioned by order.
-
-Discounts follow from the counts of counts (Katz, up to 5). The backoff weight of a context
-needs, over every n-gram type once, its discounted count and its followers' probability of
-the next lower order; of each type, the first chunk that trains it contributes both. These
-sums meet in buckets of contexts and are answered like counts. Then
+and look-up are one exchange, and counts cover the whole corpus. Orders are counted one
+after another, each into a table of its own. An answer also holds the place of every n-gram in
+its bucket, the short name by which it is asked for as a context.
+
+Discounts follow from the counts of counts (Katz, up to 5). The backoff weight of a context h
+needs, over every n-gram type h w once, its discounted count and its probability P(w|h') of the
+next lower order. As h w was seen, so was h' w: P(w|h') is a discounted count over the divisor of
+h', which is the same for all w. So both are sums of discounted counts, and one exchange serves the
+contexts of all orders; of each type, the first chunk that trains it contributes. Few different
+pairs of sums occur, so packets hold them as numbers of a short table. Then
 P(w|h) = d(r) r / c(h) where the n-gram was seen, and weight(h) P(w|h') else, down to
 unigrams, whose left-over is the probability of the one unknown token. Probabilities of all
 known tokens and the unknown one add up to 1 in every context: a context whose discounts
@@ -35,7 +38,9 @@ CHUNK = 1 << 20
 BUCKET = 1 << 21
 UP_TO = 5  # counts above are not discounted
 START, END = np.uint64(xxhash.xxh64_intdigest(b"\t")), b"\n"  # no word holds white space
+COLUMNS = ["chunk", "kind", "bucket", "a", "b", "c", "d"]
 PACKET = "chunk long, kind int, bucket int, a binary, b binary, c binary, d binary"
+CONTEXT, AT_START = 100, 200  # added to the order: kinds of the packets about contexts, and about the start of a text
 
 
 def mix(x):
@@ -65,6 +70,17 @@ def unpack_sorted(raw):
     return np.cumsum(unpack(raw, np.uint64), dtype=np.uint64)
 
 
+def pack_pairs(x, y):
+    """Two columns of numbers from 0 on, as numbers of their different pairs and a table of those."""
+    pairs, code = np.unique(x + 1j * y, return_inverse=True)
+    return pack(code, np.int32), pack(pairs.real, np.float64), pack(pairs.imag, np.float64)
+
+
+def unpack_pairs(code, x, y):
+    code = unpack(code, np.int32)
+    return unpack(x, np.float64)[code], unpack(y, np.float64)[code]
+
+
 def tokenize(text):
     # bytes.lower and bytes.split know A-Z and the white space 20, 09-0D only.
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []
@@ -109,30 +125,36 @@ def _chunks(docs, doc_id, text, held_out, size):
 
 
 class Grams:
-    """The n-grams of a chunk: `keys[k]` sorted and distinct, `at[k]` the place of every token's k-gram in them."""
+    """The n-grams of a chunk: `keys[k]` sorted and distinct, `at[k]` the place of every token's k-gram in them.
+
+    `orders`: those that are needed, all up to `order` by default.
+    """
 
-    def __init__(self, vocabulary, tokens, lengths, order):
+    def __init__(self, vocabulary, tokens, lengths, order, orders=None):
         words = unpack_sorted(vocabulary)
         tokens = unpack(tokens, np.int32)
         self.lengths = unpack(lengths, np.int64)
         self.starts = np.cumsum(np.r_[0, self.lengths[:-1]])
         doc = np.repeat(np.arange(len(self.lengths)), self.lengths)
-        inside = np.arange(len(tokens)) - self.starts[doc]
+        self.inside = np.arange(len(tokens)) - self.starts[doc]
         word = words[tokens]
-        self.doc, self.keys, self.at, self.contexts = doc, {1: words}, {1: tokens.astype(np.int64)}, {}
-        context = np.full(len(tokens), START)  # hash of the k - 1 tokens before
+        self.doc, self.keys, self.at = doc, {1: words}, {1: tokens.astype(np.int64)}
         full = word
         with np.errstate(over="ignore"):
             for k in range(2, order + 1):
                 # The context of order k is the gram of order k - 1 that ends one token before.
-                context = np.where(inside > 0, np.r_[START, full[:-1]], START + np.uint64(k))
+                context = np.where(self.inside > 0, np.r_[START, full[:-1]], START + np.uint64(k))
                 full = mix(context * np.uint64(0x9E3779B97F4A7C15) + word)
-                self.keys[k], self.at[k] = np.unique(full, return_inverse=True)
-                self.contexts[k] = np.unique(context, return_inverse=True)
+                if orders is None or k in orders:
+                    self.keys[k], self.at[k] = np.unique(full, return_inverse=True)
 
     def counts(self, k, weights):
         return np.bincount(self.at[k], weights, minlength=len(self.keys[k])).astype(np.int64)
 
+    def contexts(self, k):
+        """The place of every token's context of order k in `keys[k - 1]`; the start of a text comes after those."""
+        return np.where(self.inside > 0, np.r_[0, self.at[k - 1][:-1]], len(self.keys[k - 1]))
+
 
 def _buckets_of(keys, buckets):
     """Where each of `buckets` equal parts of the hash space begins in sorted keys."""
@@ -140,55 +162,44 @@ def _buckets_of(keys, buckets):
     return np.r_[0, np.searchsorted(keys, np.array(edges, np.uint64)), len(keys)]
 
 
-def _ask(chunks, order, buckets):
-    """Packets (sorted hashes, training counts) of every chunk, order and bucket."""
+def _ask(chunks, k, buckets):
+    """Packets (sorted hashes, training counts) of the k-grams of every chunk and bucket."""
     def run(batches):
         for batch in batches:
             for row in batch.itertuples():
-                grams = Grams(row.vocabulary, row.tokens, row.lengths, order)
-                trained = ~np.asarray(row.held, bool)[grams.doc]
-                for k in range(1, order + 1):
-                    counts, cuts, out = grams.counts(k, trained), _buckets_of(grams.keys[k], buckets), []
-                    for b in range(buckets):
-                        part = slice(cuts[b], cuts[b + 1])
-                        if cuts[b] < cuts[b + 1]:
-                            out.append((row.chunk, k, b, pack_sorted(grams.keys[k][part]), pack(counts[part], np.int64), None, None))
-                    yield pd.DataFrame(out, columns=["chunk", "kind", "bucket", "a", "b", "c", "d"])
+                grams = Grams(row.vocabulary, row.tokens, row.lengths, k, [k])
+                counts = grams.counts(k, ~np.asarray(row.held, bool)[grams.doc])
+                cuts, out = _buckets_of(grams.keys[k], buckets), []
+                for b in range(buckets):
+                    part = slice(cuts[b], cuts[b + 1])
+                    if cuts[b] < cuts[b + 1]:
+                        out.append((row.chunk, k, b, pack_sorted(grams.keys[k][part]), pack(counts[part], np.int64), None, None))
+                yield pd.DataFrame(out, columns=COLUMNS)
 
     return chunks.select("chunk", "held", "lengths", "vocabulary", "tokens").mapInPandas(run, PACKET)
 
 
-def _joined(rows, kinds):
-    """Sorted order of all packets' keys, where each distinct key begins, and their columns."""
-    keys = [unpack_sorted(r) for r in rows["a"]]
-    sizes = [len(k) for k in keys]
-    keys = np.concatenate(keys)
-    order = np.argsort(keys, kind="stable")
-    inner = keys[order]
-    first = np.flatnonzero(np.r_[True, inner[1:] != inner[:-1]])
-    columns = [np.concatenate([unpack(r, kind) for r in rows[c]])[order] for c, kind in kinds]
-    return sizes, order, first, columns
-
-
 def _answer_counts(rows):
-    """Total count of every key asked for, and whether this packet is the first that trains it."""
+    """Of every key asked for: total count, whether this packet is the first that trains it, and its place from 1 on."""
     rows = rows.sort_values("chunk")
-    sizes, order, first, (counts,) = _joined(rows, [("b", np.int64)])
-    total = np.add.reduceat(counts, first)
-    group = np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(order)]))
+    kind, bucket = int(rows["kind"].iloc[0]), int(rows["bucket"].iloc[0])
+    keys = [unpack_sorted(r) for r in rows["a"]]
+    ends = np.cumsum([len(k) for k in keys])
+    distinct, group = np.unique(np.concatenate(keys), return_inverse=True)
+    counts = np.concatenate([unpack(r, np.int64) for r in rows["b"]])
+    total = np.bincount(group, counts, minlength=len(distinct)).astype(np.int64)
     trains = np.flatnonzero(counts)
-    owner = np.zeros(len(order), bool)
-    owner[trains[np.unique(group[trains], return_index=True)[1]]] = True
-    answer, owned = np.empty(len(order), np.int64), np.empty(len(order), np.uint8)
-    answer[order], owned[order] = total[group], owner
-    ends = np.cumsum(sizes)
-    out = [
-        (int(chunk), int(rows["kind"].iloc[0]), int(rows["bucket"].iloc[0]), pack(answer[e - n:e], np.int64), pack(owned[e - n:e], np.uint8), None, None)
-        for chunk, n, e in zip(rows["chunk"], sizes, ends)]
+    owned = np.zeros(len(group), np.uint8)
+    owned[trains[np.unique(group[trains], return_index=True)[1]]] = 1
+    out = []
+    for chunk, end, own in zip(rows["chunk"], ends, keys):
+        part = slice(end - len(own), end)
+        places = pack(np.diff(group[part] + 1, prepend=0), np.int32)
+        out.append((int(chunk), kind, bucket, pack(total[group[part]], np.int64), pack(owned[part], np.uint8), places, None))
     # Counts of counts 1 to UP_TO + 1, tokens and types of this bucket.
     some = np.r_[[(total == r).sum() for r in range(1, UP_TO + 2)], total.sum(), (total > 0).sum()].astype(np.int64)
-    out.append((-1, int(rows["kind"].iloc[0]), int(rows["bucket"].iloc[0]), some.tobytes(), None, None, None))
-    return pd.DataFrame(out, columns=["chunk", "kind", "bucket", "a", "b", "c", "d"])
+    out.append((-1, kind, bucket, some.tobytes(), None, None, None))
+    return pd.DataFrame(out, columns=COLUMNS)
 
 
 def discounts(counts_of_counts):
@@ -204,10 +215,23 @@ def discounts(counts_of_counts):
     return out
 
 
+def _sums(parts, numbers):
+    """Arrays of the same kind added up place by place: a few numbers per order reach the driver."""
+    number = F.pandas_udf(
+        lambda raw: raw.map(lambda x: np.frombuffer(x, numbers).tolist()), "array<long>" if numbers is np.int64 else "array<double>")
+    sums = parts.select("kind", F.posexplode(number("raw"))).groupBy("kind", "pos").agg(F.sum("col").alias("n")).orderBy("kind", "pos")
+    out = {}
+    for r in sums.collect():
+        out.setdefault(r["kind"], []).append(r["n"])
+    return {kind: np.array(n, numbers) for kind, n in out.items()}
+
+
 class Model:
     """Statistics of all orders: what a task needs besides the answers to its chunk."""
 
-    def __init__(self, statistics):
+    def __init__(self, order, statistics):
+        statistics = {k: statistics.get(k, np.zeros(UP_TO + 3)) for k in range(1, order + 1)}
+        self.at_start = {k: np.zeros(2) for k in range(2, order + 1)}
         self.d = {k: discounts(s[:UP_TO + 1]) for k, s in statistics.items()}
         self.tokens, self.types = int(statistics[1][UP_TO + 1]), int(statistics[1][UP_TO + 2])
         n = statistics[1]
@@ -231,62 +255,72 @@ def _gather(rows, kind, column, numbers):
     return np.concatenate([unpack(x, numbers) for x in part[column]]) if len(part) else np.empty(0, numbers)
 
 
-def _probabilities(grams, rows, model, upto):
-    """P of every token at order `upto`, recursively from the unigram."""
-    p = model.unigram(_gather(rows, 1, "a", np.int64))[grams.at[1]]
-    for k in range(2, upto + 1):
-        r = _gather(rows, k, "a", np.int64)[grams.at[k]]
-        contexts = grams.contexts[k][1]
-        weight, size = _gather(rows, 100 + k, "a", np.float64)[contexts], _gather(rows, 100 + k, "b", np.float64)[contexts]
-        seen = model.discounted(k, r) / np.maximum(size, 1.0)
-        p = np.where(size == 0, p, np.where(r > 0, seen, weight * p))
-    return p
-
-
-def _contexts(model, k, buckets):
-    """Packets of a chunk's contexts of order k: counts, discounted counts and lower-order mass of the types it owns."""
+def _contexts(model, order, buckets):
+    """Of a chunk's contexts of all orders: discounted counts of the types it owns, at their own order and the one below."""
     def run(rows):
         text = rows[rows["kind"] == 0].iloc[0]
-        grams = Grams(text["b"], text["c"], text["d"], k)
-        lower = _probabilities(grams, rows, model, k - 1)
-        count, owned = _gather(rows, k, "a", np.int64), _gather(rows, k, "b", np.uint8)
-        keys, places = grams.contexts[k]
-        anywhere = np.empty(len(grams.keys[k]), np.int64)  # a token at which each type stands
-        anywhere[grams.at[k]] = np.arange(len(grams.at[k]))
-        here = places[anywhere]
-
-        def add(values):
-            return np.bincount(here, np.where(owned > 0, values, 0), minlength=len(keys))
-
-        sums = add(count), add(model.discounted(k, count)), add(lower[anywhere])
-        cuts, out = _buckets_of(keys, buckets), []
-        for b in range(buckets):
-            part = slice(cuts[b], cuts[b + 1])
-            if cuts[b] < cuts[b + 1]:
-                out.append((text["chunk"], 100 + k, b, pack_sorted(keys[part]), *[pack(s[part], np.float64) for s in sums]))
-        return pd.DataFrame(out, columns=["chunk", "kind", "bucket", "a", "b", "c", "d"])
+        grams, out = Grams(text["b"], text["c"], text["d"], order), []
+        count = {k: _gather(rows, k, "a", np.int64) for k in range(1, order + 1)}
+        for k in range(2, order + 1):
+            anywhere = np.empty(len(grams.keys[k]), np.int64)  # a token at which each type stands
+            anywhere[grams.at[k]] = np.arange(len(grams.at[k]))
+            here, lower = grams.contexts(k)[anywhere], grams.at[k - 1][anywhere]
+            owned = _gather(rows, k, "b", np.uint8) > 0
+            kept, below = (
+                np.bincount(here, np.where(owned, x, 0), minlength=len(grams.keys[k - 1]) + 1)
+                for x in (model.discounted(k, count[k]), model.discounted(k - 1, count[k - 1])[lower]))
+            cuts = _buckets_of(grams.keys[k - 1], buckets)
+            places = rows[rows["kind"] == k - 1].set_index("bucket")["c"]
+            for b in range(buckets):
+                part = slice(cuts[b], cuts[b + 1])
+                if cuts[b] < cuts[b + 1]:
+                    out.append((text["chunk"], CONTEXT + k, b, places[b], *pack_pairs(kept[part], below[part])))
+            # All texts start in one context: its sums are added up in any bucket and then by Spark.
+            some = int(mix(np.array([text["chunk"]], np.int64).view(np.uint64))[0] % np.uint64(buckets))
+            out.append((text["chunk"], AT_START + k, some, np.array([kept[-1], below[-1]]).tobytes(), None, None, None))
+        return pd.DataFrame(out, columns=COLUMNS)
 
     return run
 
 
 def _answer_contexts(rows):
-    """Backoff weight and divisor of every context asked for; divisor 0: never seen."""
+    """Both sums of every context asked for, over all chunks."""
     rows = rows.sort_values("chunk")
-    sizes, order, first, (count, kept, lower) = _joined(rows, [(c, np.float64) for c in "bcd"])
-    count, kept, lower = (np.add.reduceat(x, first) for x in (count, kept, lower))
-    size = np.where(count - kept > 1e-9 * count, count, np.where(count > 0, count + 1, 0))
-    left = np.where(size > 0, 1 - kept / np.maximum(size, 1), 0.0)
-    weight = left / np.maximum(1 - lower, 1e-300)
-    group = np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(order)]))
-    answers = []
-    for x in (weight, size):
-        full = np.empty(len(order))
-        full[order] = x[group]
-        answers.append(full)
-    ends = np.cumsum(sizes)
+    kind, bucket = int(rows["kind"].iloc[0]), int(rows["bucket"].iloc[0])
+    if kind > AT_START:
+        sums = np.sum([np.frombuffer(r) for r in rows["a"]], axis=0)
+        return pd.DataFrame([(-1, kind, bucket, sums.tobytes(), None, None, None)], columns=COLUMNS)
+    places = [np.cumsum(unpack(r, np.int32)) for r in rows["a"]]
+    kept, below = np.zeros((2, max(p[-1] for p in places) + 1))
+    for at, *packed in zip(places, rows["b"], rows["c"], rows["d"]):
+        x, y = unpack_pairs(*packed)
+        kept[at] += x  # no place comes twice in a packet
+        below[at] += y
     return pd.DataFrame([
-        (int(chunk), int(rows["kind"].iloc[0]), int(rows["bucket"].iloc[0]), *[pack(x[e - n:e], np.float64) for x in answers], None, None)
-        for chunk, n, e in zip(rows["chunk"], sizes, ends)], columns=["chunk", "kind", "bucket", "a", "b", "c", "d"])
+        (int(chunk), kind, bucket, *pack_pairs(kept[at], below[at]), None) for chunk, at in zip(rows["chunk"], places)],
+        columns=COLUMNS)
+
+
+def _gather_pairs(rows, kind):
+    part = rows[rows["kind"] == kind].sort_values("bucket")
+    pairs = [unpack_pairs(*packed) for packed in zip(part["a"], part["b"], part["c"])]
+    return [np.concatenate(x) for x in zip(*pairs)]
+
+
+def _probabilities(grams, rows, model, count, order):
+    """P of every token, recursively from the unigram."""
+    p, divisor = model.unigram(count[1])[grams.at[1]], float(max(model.total, 1))
+    texts = count[1][np.searchsorted(grams.keys[1], np.uint64(xxhash.xxh64_intdigest(END)))]  # as many start as end
+    for k in range(2, order + 1):
+        contexts, r = grams.contexts(k), count[k][grams.at[k]]
+        # A context was followed as often as it was seen.
+        seen = np.append(count[k - 1], texts)[contexts]
+        kept, below = (np.append(x, at_start)[contexts] for x, at_start in zip(_gather_pairs(rows, CONTEXT + k), model.at_start[k]))
+        size = np.where(seen - kept > 1e-9 * seen, seen, np.where(seen > 0, seen + 1, 0))
+        weight = (1 - kept / np.maximum(size, 1)) / np.maximum(1 - below / divisor, 1e-300)
+        p = np.where(size == 0, p, np.where(r > 0, model.discounted(k, r) / np.maximum(size, 1), weight * p))
+        divisor = np.maximum(size, 1)
+    return p
 
 
 def score(docs, held_out, doc_id="doc_id", text="text", order=ORDER, chunk=CHUNK, bucket=BUCKET):
@@ -298,34 +332,35 @@ def score(docs, held_out, doc_id="doc_id", text="text", order=ORDER, chunk=CHUNK
     chunks = materialize(rows, "chunks")
     total = chunks.agg(F.sum("n")).first()[0] or 0
     buckets = max(1, -(-total // bucket))
-    by_bucket = _ask(chunks, order, buckets).groupBy("kind", "bucket")
-    counts = materialize(by_bucket.applyInPandas(_answer_counts, PACKET), "counts", partition_by=["kind"])
-    parts = counts.where("chunk < 0").select("kind", F.col("a").alias("raw"))
-    number = F.pandas_udf(lambda raw: raw.map(lambda x: np.frombuffer(x, np.int64).tolist()), "array<long>")
-    sums = parts.select("kind", F.posexplode(number("raw"))).groupBy("kind", "pos").agg(F.sum("col").alias("n")).collect()
-    statistics = {k: np.zeros(UP_TO + 3) for k in range(1, order + 1)}
-    for r in sums:  # order * (UP_TO + 3) rows
-        statistics[r["kind"]][r["pos"]] = r["n"]
-    model = Model(statistics)
-
-    answers = counts.where("chunk >= 0")
+    answers = None
+    for k in range(1, order + 1):
+        asked = _ask(chunks, k, buckets).groupBy("kind", "bucket")
+        counts = materialize(asked.applyInPandas(_answer_counts, PACKET), f"counts-{k}")
+        answers = counts if answers is None else answers.unionByName(counts)
+    parts = answers.where("chunk < 0").select("kind", F.col("a").alias("raw"))
+    model = Model(order, _sums(parts, np.int64))
+
+    answers = answers.where("chunk >= 0")
     spoken = chunks.select(
         "chunk", F.lit(0).alias("kind"), F.lit(0).alias("bucket"), F.lit(None).cast("binary").alias("a"),
         F.col("vocabulary").alias("b"), F.col("tokens").alias("c"), F.col("lengths").alias("d"), "ids", "held")
-    for k in range(2, order + 1):
-        asked = spoken.drop("ids", "held").unionByName(answers).groupBy("chunk").applyInPandas(_contexts(model, k, buckets), PACKET)
-        weights = materialize(asked.groupBy("kind", "bucket").applyInPandas(_answer_contexts, PACKET), "weights")
-        answers = answers.unionByName(weights)
+    asked = spoken.drop("ids", "held").unionByName(answers).groupBy("chunk").applyInPandas(_contexts(model, order, buckets), PACKET)
+    weights = materialize(asked.groupBy("kind", "bucket").applyInPandas(_answer_contexts, PACKET), "contexts")
+    for kind, sums in _sums(weights.where("chunk < 0").select("kind", F.col("a").alias("raw")), np.float64).items():
+        model.at_start[kind - AT_START] = sums
+    # Places have served, a chunk takes back counts and sums only.
+    answers = answers.select("chunk", "kind", "bucket", "a").unionByName(weights.where("chunk >= 0"), allowMissingColumns=True)
 
     def final(rows):
         text_ = rows[rows["kind"] == 0].iloc[0]
         grams = Grams(text_["b"], text_["c"], text_["d"], order)
-        count = _gather(rows, 1, "a", np.int64)[grams.at[1]]
-        p = _probabilities(grams, rows, model, order) if model.tokens else np.ones(len(grams.doc))
-        base = model.base(count) if model.tokens else np.zeros(len(grams.doc))
+        count = {k: _gather(rows, k, "a", np.int64) for k in range(1, order + 1)}
+        known = count[1][grams.at[1]]
+        p = _probabilities(grams, rows, model, count, order) if model.tokens else np.ones(len(grams.doc))
+        base = model.base(known) if model.tokens else np.zeros(len(grams.doc))
         return pd.DataFrame({
             "ids": text_["ids"], "held_out": text_["held"], "n_tokens": grams.lengths,
-            "n_known": np.add.reduceat((count > 0).astype(np.int64), grams.starts),
+            "n_known": np.add.reduceat((known > 0).astype(np.int64), grams.starts),
             "base_score": np.add.reduceat(base, grams.starts), "score": np.add.reduceat(np.log10(p), grams.starts)})
 
     everything = spoken.unionByName(answers, allowMissingColumns=True)
