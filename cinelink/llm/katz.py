@@ -12,8 +12,9 @@ Discounts follow from the counts of counts (Katz, up to 5). The backoff weight o
 needs, over every n-gram type h w once, its discounted count and its probability P(w|h') of the
 next lower order. As h w was seen, so was h' w: P(w|h') is a discounted count over the divisor of
 h', which is the same for all w. So both are sums of discounted counts, and one exchange serves the
-contexts of all orders; of each type, the first chunk that trains it contributes. Few different
-pairs of sums occur, so packets hold them as numbers of a short table. Then
+contexts of all orders; of each type, the first chunk that trains it contributes. Discounts touch counts
+up to 5 only, so whole numbers travel: how many types have each of these counts, and the sum of
+the counts below. They add up exactly in any order. Then
 P(w|h) = d(r) r / c(h) where the n-gram was seen, and weight(h) P(w|h') else, down to
 unigrams, whose left-over is the probability of the one unknown token. Probabilities of all
 known tokens and the unknown one add up to 1 in every context: a context whose discounts
@@ -24,10 +25,13 @@ own; a null id is scored like any other; without training texts every token has
 probability 1; an empty table gives no rows; other columns are not looked at.
 """
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 import xxhash
 import zstandard
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.taskcontext import TaskContext
 
@@ -40,6 +44,7 @@ UP_TO = 5  # counts above are not discounted
 START, END = np.uint64(xxhash.xxh64_intdigest(b"\t")), b"\n"  # no word holds white space
 COLUMNS = ["chunk", "kind", "bucket", "a", "b", "c", "d"]
 PACKET = "chunk long, kind int, bucket int, a binary, b binary, c binary, d binary"
+PARTS = 4  # chunks take answers in this many passes, so that a part of the answers is in flight at a time
 CONTEXT, AT_START = 100, 200  # added to the order: kinds of the packets about contexts, and about the start of a text
 
 
@@ -70,15 +75,14 @@ def unpack_sorted(raw):
     return np.cumsum(unpack(raw, np.uint64), dtype=np.uint64)
 
 
-def pack_pairs(x, y):
-    """Two columns of numbers from 0 on, as numbers of their different pairs and a table of those."""
-    pairs, code = np.unique(x + 1j * y, return_inverse=True)
-    return pack(code, np.int32), pack(pairs.real, np.float64), pack(pairs.imag, np.float64)
+def pack_small(values):
+    """Whole numbers from 0 on, in as few bytes each as the largest needs."""
+    kind = np.min_scalar_type(int(values.max(initial=0)))
+    return kind.char.encode() + pack(values, kind)
 
 
-def unpack_pairs(code, x, y):
-    code = unpack(code, np.int32)
-    return unpack(x, np.float64)[code], unpack(y, np.float64)[code]
+def unpack_small(raw):
+    return unpack(raw[1:], np.dtype(raw[:1].decode())).astype(np.int64)
 
 
 def tokenize(text):
@@ -215,15 +219,14 @@ def discounts(counts_of_counts):
     return out
 
 
-def _sums(parts, numbers):
-    """Arrays of the same kind added up place by place: a few numbers per order reach the driver."""
-    number = F.pandas_udf(
-        lambda raw: raw.map(lambda x: np.frombuffer(x, numbers).tolist()), "array<long>" if numbers is np.int64 else "array<double>")
-    sums = parts.select("kind", F.posexplode(number("raw"))).groupBy("kind", "pos").agg(F.sum("col").alias("n")).orderBy("kind", "pos")
+def _sums(rows):
+    """Arrays of the same kind in packets of no chunk, added up place by place: a few numbers per order reach the driver."""
+    number = F.pandas_udf(lambda raw: raw.map(lambda x: np.frombuffer(x, np.int64).tolist()), "array<long>")
+    each = rows.where("chunk < 0").select("kind", F.posexplode(number("a"))).groupBy("kind", "pos").agg(F.sum("col").alias("n"))
     out = {}
-    for r in sums.collect():
+    for r in each.orderBy("kind", "pos").collect():
         out.setdefault(r["kind"], []).append(r["n"])
-    return {kind: np.array(n, numbers) for kind, n in out.items()}
+    return {kind: np.array(n, np.int64) for kind, n in out.items()}
 
 
 class Model:
@@ -231,7 +234,7 @@ class Model:
 
     def __init__(self, order, statistics):
         statistics = {k: statistics.get(k, np.zeros(UP_TO + 3)) for k in range(1, order + 1)}
-        self.at_start = {k: np.zeros(2) for k in range(2, order + 1)}
+        self.at_start = {k: np.zeros(2 * UP_TO + 1, np.int64) for k in range(2, order + 1)}
         self.d = {k: discounts(s[:UP_TO + 1]) for k, s in statistics.items()}
         self.tokens, self.types = int(statistics[1][UP_TO + 1]), int(statistics[1][UP_TO + 2])
         n = statistics[1]
@@ -243,6 +246,11 @@ class Model:
     def discounted(self, k, r):
         return self.d[k][np.minimum(r, UP_TO + 1)] * r
 
+    def taken(self, k):
+        """What discounts take from a type with count 1, 2, to UP_TO."""
+        r = np.arange(1, UP_TO + 1)
+        return r - self.discounted(k, r)
+
     def unigram(self, r):
         return np.where(r > 0, self.discounted(1, r) / self.total, self.unknown)
 
@@ -255,8 +263,18 @@ def _gather(rows, kind, column, numbers):
     return np.concatenate([unpack(x, numbers) for x in part[column]]) if len(part) else np.empty(0, numbers)
 
 
-def _contexts(model, order, buckets):
-    """Of a chunk's contexts of all orders: discounted counts of the types it owns, at their own order and the one below."""
+def _follow_sums(contexts, counts, below, n):
+    """Per context, over its types: how many have counts 1 to UP_TO, how many have these one order below, and all counts there."""
+    sums = np.zeros((2 * UP_TO + 1, n), np.int64)
+    for r in range(1, UP_TO + 1):
+        sums[r - 1] = np.bincount(contexts[counts == r], minlength=n)
+        sums[UP_TO + r - 1] = np.bincount(contexts[below == r], minlength=n)
+    np.add.at(sums[-1], contexts, below)
+    return sums
+
+
+def _contexts(order, buckets):
+    """Sums over the types that a chunk owns, of its contexts of all orders."""
     def run(rows):
         text = rows[rows["kind"] == 0].iloc[0]
         grams, out = Grams(text["b"], text["c"], text["d"], order), []
@@ -264,20 +282,19 @@ def _contexts(model, order, buckets):
         for k in range(2, order + 1):
             anywhere = np.empty(len(grams.keys[k]), np.int64)  # a token at which each type stands
             anywhere[grams.at[k]] = np.arange(len(grams.at[k]))
-            here, lower = grams.contexts(k)[anywhere], grams.at[k - 1][anywhere]
             owned = _gather(rows, k, "b", np.uint8) > 0
-            kept, below = (
-                np.bincount(here, np.where(owned, x, 0), minlength=len(grams.keys[k - 1]) + 1)
-                for x in (model.discounted(k, count[k]), model.discounted(k - 1, count[k - 1])[lower]))
+            anywhere = anywhere[owned]
+            sums = _follow_sums(
+                grams.contexts(k)[anywhere], count[k][owned], count[k - 1][grams.at[k - 1][anywhere]], len(grams.keys[k - 1]) + 1)
             cuts = _buckets_of(grams.keys[k - 1], buckets)
             places = rows[rows["kind"] == k - 1].set_index("bucket")["c"]
             for b in range(buckets):
                 part = slice(cuts[b], cuts[b + 1])
                 if cuts[b] < cuts[b + 1]:
-                    out.append((text["chunk"], CONTEXT + k, b, places[b], *pack_pairs(kept[part], below[part])))
+                    out.append((text["chunk"], CONTEXT + k, b, places[b], pack_small(sums[:, part].ravel()), None, None))
             # All texts start in one context: its sums are added up in any bucket and then by Spark.
             some = int(mix(np.array([text["chunk"]], np.int64).view(np.uint64))[0] % np.uint64(buckets))
-            out.append((text["chunk"], AT_START + k, some, np.array([kept[-1], below[-1]]).tobytes(), None, None, None))
+            out.append((text["chunk"], AT_START + k, some, sums[:, -1].tobytes(), None, None, None))
         return pd.DataFrame(out, columns=COLUMNS)
 
     return run
@@ -288,23 +305,20 @@ def _answer_contexts(rows):
     rows = rows.sort_values("chunk")
     kind, bucket = int(rows["kind"].iloc[0]), int(rows["bucket"].iloc[0])
     if kind > AT_START:
-        sums = np.sum([np.frombuffer(r) for r in rows["a"]], axis=0)
+        sums = np.sum([np.frombuffer(r, np.int64) for r in rows["a"]], axis=0)
         return pd.DataFrame([(-1, kind, bucket, sums.tobytes(), None, None, None)], columns=COLUMNS)
     places = [np.cumsum(unpack(r, np.int32)) for r in rows["a"]]
-    kept, below = np.zeros((2, max(p[-1] for p in places) + 1))
-    for at, *packed in zip(places, rows["b"], rows["c"], rows["d"]):
-        x, y = unpack_pairs(*packed)
-        kept[at] += x  # no place comes twice in a packet
-        below[at] += y
+    sums = np.zeros((2 * UP_TO + 1, max(p[-1] for p in places) + 1), np.int64)
+    for at, raw in zip(places, rows["b"]):
+        sums[:, at] += unpack_small(raw).reshape(len(sums), -1)  # no place comes twice in a packet
     return pd.DataFrame([
-        (int(chunk), kind, bucket, *pack_pairs(kept[at], below[at]), None) for chunk, at in zip(rows["chunk"], places)],
+        (int(chunk), kind, bucket, pack_small(sums[:, at].ravel()), None, None, None) for chunk, at in zip(rows["chunk"], places)],
         columns=COLUMNS)
 
 
-def _gather_pairs(rows, kind):
+def _gather_sums(rows, kind, at_start):
     part = rows[rows["kind"] == kind].sort_values("bucket")
-    pairs = [unpack_pairs(*packed) for packed in zip(part["a"], part["b"], part["c"])]
-    return [np.concatenate(x) for x in zip(*pairs)]
+    return np.hstack([unpack_small(raw).reshape(2 * UP_TO + 1, -1) for raw in part["a"]] + [at_start[:, None]])
 
 
 def _probabilities(grams, rows, model, count, order):
@@ -315,9 +329,11 @@ def _probabilities(grams, rows, model, count, order):
         contexts, r = grams.contexts(k), count[k][grams.at[k]]
         # A context was followed as often as it was seen.
         seen = np.append(count[k - 1], texts)[contexts]
-        kept, below = (np.append(x, at_start)[contexts] for x, at_start in zip(_gather_pairs(rows, CONTEXT + k), model.at_start[k]))
-        size = np.where(seen - kept > 1e-9 * seen, seen, np.where(seen > 0, seen + 1, 0))
-        weight = (1 - kept / np.maximum(size, 1)) / np.maximum(1 - below / divisor, 1e-300)
+        sums = _gather_sums(rows, CONTEXT + k, model.at_start[k])
+        taken = (model.taken(k) @ sums[:UP_TO])[contexts]
+        below = (sums[-1] - model.taken(k - 1) @ sums[UP_TO:-1])[contexts]
+        size = np.where(taken > 1e-9 * seen, seen, np.where(seen > 0, seen + 1, 0))
+        weight = (taken + size - seen) / np.maximum(size, 1) / np.maximum(1 - below / divisor, 1e-300)
         p = np.where(size == 0, p, np.where(r > 0, model.discounted(k, r) / np.maximum(size, 1), weight * p))
         divisor = np.maximum(size, 1)
     return p
@@ -329,27 +345,38 @@ def score(docs, held_out, doc_id="doc_id", text="text", order=ORDER, chunk=CHUNK
     `held_out` is a boolean Column; rows where it is true (or null) do not train.
     """
     rows, id_type = _chunks(docs, doc_id, text, F.coalesce(held_out, F.lit(True)), chunk)
-    chunks = materialize(rows, "chunks")
+    part = F.pmod(F.xxhash64("chunk"), F.lit(PARTS)).cast("int")
+
+    def stored(packets, label):
+        return materialize(packets.withColumn("part", part), label, partition_by=["part"])
+
+    def by_parts(step, label):
+        out = [materialize(step(n), label) for n in range(PARTS)]
+        return reduce(DataFrame.unionByName, out)
+
+    chunks = stored(rows, "chunks")
     total = chunks.agg(F.sum("n")).first()[0] or 0
     buckets = max(1, -(-total // bucket))
-    answers = None
-    for k in range(1, order + 1):
-        asked = _ask(chunks, k, buckets).groupBy("kind", "bucket")
-        counts = materialize(asked.applyInPandas(_answer_counts, PACKET), f"counts-{k}")
-        answers = counts if answers is None else answers.unionByName(counts)
-    parts = answers.where("chunk < 0").select("kind", F.col("a").alias("raw"))
-    model = Model(order, _sums(parts, np.int64))
-
-    answers = answers.where("chunk >= 0")
+    counts = [
+        stored(_ask(chunks, k, buckets).groupBy("kind", "bucket").applyInPandas(_answer_counts, PACKET), f"counts-{k}")
+        for k in range(1, order + 1)]
+    counts = reduce(DataFrame.unionByName, counts)
+    model = Model(order, _sums(counts))
     spoken = chunks.select(
         "chunk", F.lit(0).alias("kind"), F.lit(0).alias("bucket"), F.lit(None).cast("binary").alias("a"),
-        F.col("vocabulary").alias("b"), F.col("tokens").alias("c"), F.col("lengths").alias("d"), "ids", "held")
-    asked = spoken.drop("ids", "held").unionByName(answers).groupBy("chunk").applyInPandas(_contexts(model, order, buckets), PACKET)
-    weights = materialize(asked.groupBy("kind", "bucket").applyInPandas(_answer_contexts, PACKET), "contexts")
-    for kind, sums in _sums(weights.where("chunk < 0").select("kind", F.col("a").alias("raw")), np.float64).items():
+        F.col("vocabulary").alias("b"), F.col("tokens").alias("c"), F.col("lengths").alias("d"), "ids", "held", "part")
+    answers = counts.where("chunk >= 0")
+
+    def ask_contexts(n):
+        both = spoken.drop("ids", "held").unionByName(answers).where(F.col("part") == n)
+        return both.drop("part").groupBy("chunk").applyInPandas(_contexts(order, buckets), PACKET)
+
+    asked = by_parts(ask_contexts, "asked").groupBy("kind", "bucket")
+    contexts = stored(asked.applyInPandas(_answer_contexts, PACKET), "contexts")
+    for kind, sums in _sums(contexts).items():
         model.at_start[kind - AT_START] = sums
     # Places have served, a chunk takes back counts and sums only.
-    answers = answers.select("chunk", "kind", "bucket", "a").unionByName(weights.where("chunk >= 0"), allowMissingColumns=True)
+    answers = answers.unionByName(contexts.where("chunk >= 0")).select("chunk", "kind", "bucket", "a", "part")
 
     def final(rows):
         text_ = rows[rows["kind"] == 0].iloc[0]
@@ -363,9 +390,12 @@ def score(docs, held_out, doc_id="doc_id", text="text", order=ORDER, chunk=CHUNK
             "n_known": np.add.reduceat((known > 0).astype(np.int64), grams.starts),
             "base_score": np.add.reduceat(base, grams.starts), "score": np.add.reduceat(np.log10(p), grams.starts)})
 
-    everything = spoken.unionByName(answers, allowMissingColumns=True)
-    out = everything.groupBy("chunk").applyInPandas(
-        final, "ids string, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+    def give_scores(n):
+        both = spoken.unionByName(answers, allowMissingColumns=True).where(F.col("part") == n)
+        return both.drop("part").groupBy("chunk").applyInPandas(
+            final, "ids string, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+
+    out = by_parts(give_scores, "scores")
     return out.select(
         F.col("ids").cast(id_type).alias(doc_id), "held_out", "n_tokens", "n_known",
         F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
