@@ -37,7 +37,12 @@ def new_path(spark, label):
 
 def release(spark):
     """Delete all intermediate tables of this application. DataFrames that read them end with it."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(run_dir(spark))
+    discard(spark, run_dir(spark))
+
+
+def discard(spark, path):
+    """Delete one intermediate table that nothing reads any longer."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
@@ -53,14 +58,14 @@ def _shuffles_dropped(spark):
         spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
-def materialize(df, label, partition_by=()):
-    """Write `df` once and return the stored table.
+def materialize(df, label, partition_by=(), path=None):
+    """Write `df` once and return the stored table; `path`: where, a new one by default (see `new_path`).
 
     Cuts the lineage on storage every executor can reach, and gives later plans
     true sizes, so a small side is broadcast only when it really is small. Its shuffle
     files are not needed any longer and go at once.
     """
-    spark, path = df.sparkSession, new_path(df.sparkSession, label)
+    spark, path = df.sparkSession, path or new_path(df.sparkSession, label)
     with _shuffles_dropped(spark):
         df.write.option("compression", "zstd").partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
