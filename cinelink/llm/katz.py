@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.taskcontext import TaskContext
 
-from cinelink.runtime import materialize
+from cinelink.runtime import discard, materialize, new_path
 
 ORDER = 3
 CHUNK = 1 << 20
@@ -44,7 +44,7 @@ UP_TO = 5  # counts above are not discounted
 START, END = np.uint64(xxhash.xxh64_intdigest(b"\t")), b"\n"  # no word holds white space
 COLUMNS = ["chunk", "kind", "bucket", "a", "b", "c", "d"]
 PACKET = "chunk long, kind int, bucket int, a binary, b binary, c binary, d binary"
-PARTS = 4  # chunks take answers in this many passes, so that a part of the answers is in flight at a time
+PARTS = 4  # chunks take answers, and buckets answer for contexts, in this many passes: a part is in flight at a time
 CONTEXT, AT_START = 100, 200  # added to the order: kinds of the packets about contexts, and about the start of a text
 
 
@@ -350,10 +350,6 @@ def score(docs, held_out, doc_id="doc_id", text="text", order=ORDER, chunk=CHUNK
     def stored(packets, label):
         return materialize(packets.withColumn("part", part), label, partition_by=["part"])
 
-    def by_parts(step, label):
-        out = [materialize(step(n), label) for n in range(PARTS)]
-        return reduce(DataFrame.unionByName, out)
-
     chunks = stored(rows, "chunks")
     total = chunks.agg(F.sum("n")).first()[0] or 0
     buckets = max(1, -(-total // bucket))
@@ -369,10 +365,18 @@ def score(docs, held_out, doc_id="doc_id", text="text", order=ORDER, chunk=CHUNK
 
     def ask_contexts(n):
         both = spoken.drop("ids", "held").unionByName(answers).where(F.col("part") == n)
-        return both.drop("part").groupBy("chunk").applyInPandas(_contexts(order, buckets), PACKET)
-
-    asked = by_parts(ask_contexts, "asked").groupBy("kind", "bucket")
-    contexts = stored(asked.applyInPandas(_answer_contexts, PACKET), "contexts")
+        out = both.drop("part").groupBy("chunk").applyInPandas(_contexts(order, buckets), PACKET)
+        return materialize(out.withColumn("share", F.pmod("bucket", F.lit(PARTS))), "asked", ["share"], paths[n])
+
+    def answer_contexts(n):
+        some = asked.where(F.col("share") == n).drop("share")
+        return stored(some.groupBy("kind", "bucket").applyInPandas(_answer_contexts, PACKET), "contexts")
+
+    paths = [new_path(docs.sparkSession, "asked") for _ in range(PARTS)]
+    asked = reduce(DataFrame.unionByName, map(ask_contexts, range(PARTS)))
+    contexts = reduce(DataFrame.unionByName, map(answer_contexts, range(PARTS)))
+    for path in paths:
+        discard(docs.sparkSession, path)
     for kind, sums in _sums(contexts).items():
         model.at_start[kind - AT_START] = sums
     # Places have served, a chunk takes back counts and sums only.
@@ -392,10 +396,10 @@ def score(docs, held_out, doc_id="doc_id", text="text", order=ORDER, chunk=CHUNK
 
     def give_scores(n):
         both = spoken.unionByName(answers, allowMissingColumns=True).where(F.col("part") == n)
-        return both.drop("part").groupBy("chunk").applyInPandas(
-            final, "ids string, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+        return materialize(both.drop("part").groupBy("chunk").applyInPandas(
+            final, "ids string, held_out boolean, n_tokens long, n_known long, base_score double, score double"), "scores")
 
-    out = by_parts(give_scores, "scores")
+    out = reduce(DataFrame.unionByName, map(give_scores, range(PARTS)))
     return out.select(
         F.col("ids").cast(id_type).alias(doc_id), "held_out", "n_tokens", "n_known",
         F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
