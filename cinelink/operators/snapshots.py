@@ -166,8 +166,7 @@ class Snapshots:
         """Load gold entities on top of the current snapshot and commit. Returns what `_commit` returns."""
         at = F.current_timestamp() if at is None else at
         version = self.version()
-        good, bad = loading.split_rejected(loading.movie_rows(gold))
-        good = materialize(good, "rows")
+        good, bad = loading.split_rejected(loading.movie_rows(gold), "rows")
         asked = {_by(n): self.read(n, self._touched(good.where(F.col(_by(n)).isNotNull()), _by(n)), version) for n in LOOKUPS}
         ids = loading.target_ids(good, asked)
         loaded = materialize(good.join(ids, "nr"), "loaded")
