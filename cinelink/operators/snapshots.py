@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from cinelink import schema as S
 from cinelink.operators import load as loading
-from cinelink.runtime import materialize
+from cinelink.runtime import materialize, together
 
 BUCKETS = 256
 
@@ -104,9 +104,16 @@ class Snapshots:
         else:
             wanted = None if buckets is None else set(buckets)
             paths = [f"{self.path}/data/{folder}/{table}/bucket={b}" for folder, own in held.items() for b in own if wanted is None or b in wanted]
+        return self._parquet(table, paths)
+
+    def _parquet(self, table, paths):
         schema = SCHEMAS[table]
         return self.spark.read.schema(schema).parquet(*paths) if paths else S.empty(self.spark, schema)
 
+    def _stored(self, folder, table, buckets):
+        """Buckets of a table that have been written to a folder."""
+        return self._parquet(table, [f"{self.path}/data/{folder}/{table}/bucket={b}" for b in buckets])
+
     def tables(self, version=None):
         return {name: self.read(name, version=version) for name in S.TARGET_TABLES}
 
@@ -126,27 +133,35 @@ class Snapshots:
             "bucket").parquet(f"{self.path}/data/{folder}/{table}")
         return sorted(int(n.split("=")[1]) for n in self._names("data", folder, table) if n.startswith("bucket="))
 
-    def _commit(self, version, changes, added=None):
+    def _folder(self, version):
+        """A new folder for what a load on top of a snapshot writes."""
+        return f"{version + 1:010d}-{uuid.uuid4().hex}"
+
+    def _commit(self, version, folder, changes, added=None, written=()):
         """Write `changes`, {table: (all rows of the touched buckets, key, touched)}, and log rows; then commit.
 
-        Returns a row (table_name, written, held) per table: buckets written and buckets held.
+        `written` names the buckets of tables that are in the folder already. Returns a row
+        (table_name, written, held) per table: buckets written and buckets held.
         """
-        folder, manifest = f"{version + 1:010d}-{uuid.uuid4().hex}", self.manifest(version)
+        manifest, done = self.manifest(version), dict(written)
         tables = manifest["tables"]
+        steps = {n: lambda n=n, c=c: self._write(folder, n, *c) if c[2] else [] for n, c in changes.items() if n not in done}
+        if added is not None:
+            steps[LOG] = lambda: added.write.parquet(f"{self.path}/data/{folder}/{LOG}")
+        done |= dict(zip(steps, together(*steps.values())))
         report = []
-        for table, (rows, key, touched) in changes.items():
+        for table, (_, _, touched) in changes.items():
             held = tables.setdefault(table, {})
             gone = set(touched)
             for other in list(held):
                 held[other] = [b for b in held[other] if b not in gone]
                 if not held[other]:
                     del held[other]
-            full = self._write(folder, table, rows, key, touched) if touched else []
+            full = done[table]
             if full:
                 held[folder] = full
             report.append((table, len(full), sum(map(len, held.values()))))
         if added is not None:
-            added.write.parquet(f"{self.path}/data/{folder}/{LOG}")
             tables.setdefault(LOG, {})[folder] = []
         self._publish(version + 1, manifest)
         return report
@@ -160,21 +175,26 @@ class Snapshots:
         changes = {n: (df, KEYS[n], every) for n, df in have.items() if n != LOG}
         if "movies" in have:
             changes |= {n: (_holders(have["movies"], n), _by(n), every) for n in LOOKUPS}
-        return self._commit(0, changes, have.get(LOG))
+        return self._commit(0, self._folder(0), changes, have.get(LOG))
 
     def load(self, gold, at=None):
         """Load gold entities on top of the current snapshot and commit. Returns what `_commit` returns."""
         at = F.current_timestamp() if at is None else at
         version = self.version()
         good, bad = loading.split_rejected(loading.movie_rows(gold), "rows")
-        asked = {_by(n): self.read(n, self._touched(good.where(F.col(_by(n)).isNotNull()), _by(n)), version) for n in LOOKUPS}
+        named = together(*[lambda by=_by(n): self._touched(good.where(F.col(by).isNotNull()), by) for n in LOOKUPS])
+        asked = {_by(n): self.read(n, buckets, version) for n, buckets in zip(LOOKUPS, named)}
         ids = loading.target_ids(good, asked)
         loaded = materialize(good.join(ids, "nr"), "loaded")
-        touched = self._touched(loaded, "movie_id")
-        have = {n: self.read(n, touched, version) for n in OF_MOVIES}
-        named = self._touched(loaded.select(F.explode("genres").alias("name")).where("name <> ''"), "name")
-        genres = materialize(loading.upsert_genres(loaded, self.read("genres", named, version)), "genres")
-        movies = materialize(loading.upsert_movies(loaded, have["movies"], at), "movies")
+        touched, named = together(
+            lambda: self._touched(loaded, "movie_id"),
+            lambda: self._touched(loaded.select(F.explode("genres").alias("name")).where("name <> ''"), "name"))
+        have, folder = {n: self.read(n, touched, version) for n in OF_MOVIES}, self._folder(version)
+        genres, full = together(
+            lambda: materialize(loading.upsert_genres(loaded, self.read("genres", named, version)), "genres"),
+            lambda: self._write(folder, "movies", loading.upsert_movies(loaded, have["movies"], at), "id", touched) if touched else [])
+        # The lookups follow from the movies as they were written.
+        movies = self._stored(folder, "movies", full)
         after = {
             "movies": movies, "genres": genres,
             "movie_genres": loading.upsert_movie_genres(loaded, genres, have["movie_genres"]),
@@ -182,9 +202,9 @@ class Snapshots:
             "rt_details": loading.upsert_rt_details(loaded, have["rt_details"], at),
         }
         changes = {n: (df, KEYS[n], named if n == "genres" else touched) for n, df in after.items()}
-        for name in LOOKUPS:
-            changes[name] = self._moved(name, have["movies"], movies, version)
-        return self._commit(version, changes, loading.log_rows(loaded, bad, at))
+        moved = together(*[lambda n=n: self._moved(n, have["movies"], movies, version) for n in LOOKUPS])
+        changes |= dict(zip(LOOKUPS, moved))
+        return self._commit(version, folder, changes, loading.log_rows(loaded, bad, at), {"movies": full})
 
     def _moved(self, name, before, after, version):
         """The buckets of a lookup in which movies took or gave up an identifier."""

@@ -1,12 +1,15 @@
 """Loading: inserts, updates, rejected rows, chains of shared identifiers, repeats."""
 
 import datetime
+import threading
 
+import pytest
 from pyspark.sql import functions as F
 
 from cinelink import schema as S
 from cinelink.operators import load, quality
-from cinelink.runtime import materialize
+from cinelink.plans import load_queries
+from cinelink.runtime import materialize, together
 
 GOLD = """tier int, pos struct<priority:int,a:bigint>, source string, tmdb_id long, imdb_id string, title string,
     title_norm string, year int, original_title string, overview string, release_date date, vote_average double,
@@ -105,3 +108,42 @@ def test_export(spark, tmp_path):
     assert set(back.columns) == {"source", "budget", "vote_average", "genres"}
     assert (back.first().budget, back.first().vote_average) == (None, 8.5)
     assert load.lists_to_json(back).first().genres == '["a"]'
+
+
+def test_rows_are_compared_in_one_pass(spark):
+    columns = "movie_id string, score double"
+    before = spark.createDataFrame([("a", 1.0), ("a", 1.0), ("b", None), ("c", 3.0)], columns)
+    after = spark.createDataFrame([("a", 1.0), ("b", None), ("c", 4.0), ("d", None), ("d", None)], columns)
+    got = load_queries.compare_rows({"x": (before, after), "same": (after, after), "none": (before.limit(0), after.limit(0))})
+    assert {tuple(r) for r in got.collect()} == {("x", 5, 5), ("same", 5, 0), ("none", 0, 0)}
+    plan = got.where("table_name = 'x'")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") == 2
+
+
+def test_a_rating_without_score_keeps_the_stored_scale(spark):
+    ratings = spark.createDataFrame(
+        [("m1", "tmdb", 7.0, 1, "old"), ("m2", "imdb", None, None, None), ("m3", "tmdb", 2.0, 2, "old")], S.RATINGS)
+    rows = spark.createDataFrame(
+        [(1, "m1", "tmdb", None, 9, None), (2, "m2", "imdb", None, 4, None), (3, "m4", "rotten_tomatoes", None, 5, None),
+         (4, "m3", "tmdb", 8.0, None, None)],
+        "nr int, movie_id string, source string, vote_average double, vote_count long, tomatometer_score double")
+    after = load.upsert_ratings(rows, ratings)
+    assert {tuple(r) for r in after.collect()} == {
+        ("m1", "tmdb", 7.0, 9, "old"), ("m2", "imdb", None, 4, "0-10"), ("m3", "tmdb", 8.0, 2, "0-10"),
+        ("m4", "rotten_tomatoes", None, 5, "0-100")}
+    # The stored ratings, which may be a costly table, meet the new ones in a single join.
+    assert after._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
+
+
+def test_steps_run_at_the_same_time_and_leave_the_session_as_it_was(spark):
+    key, meet = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", threading.Barrier(3, timeout=60)
+    before = spark.conf.get(key, None)
+
+    def step(n):
+        meet.wait()
+        return materialize(spark.range(n).groupBy("id").count(), "step").count()
+
+    assert together(*[lambda n=n: step(n) for n in (3, 5, 7)]) == [3, 5, 7]
+    assert spark.conf.get(key, None) == before and together() == []
+    with pytest.raises(ZeroDivisionError):
+        together(lambda: 1 / 0, lambda: step)
