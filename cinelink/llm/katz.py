@@ -25,6 +25,7 @@ own; a null id is scored like any other; without training texts every token has
 probability 1; an empty table gives no rows; other columns are not looked at.
 """
 
+from collections import defaultdict
 from functools import reduce
 
 import numpy as np
@@ -57,14 +58,19 @@ def mix(x):
 def pack(values, kind):
     """Bytes of an array, the first bytes of all numbers first, then the second, compressed."""
     values = np.ascontiguousarray(values, kind)
-    planes = values.view(np.uint8).reshape(len(values), values.itemsize).T if len(values) else b""
-    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes() if len(values) else b"")
+    planes = np.empty((values.itemsize, len(values)), np.uint8)
+    for i, plane in enumerate(planes):  # one at a time: far cheaper than a transposed copy
+        plane[:] = values.view(np.uint8)[i::values.itemsize]
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
 
 
 def unpack(raw, kind):
     raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8)
     size = np.dtype(kind).itemsize
-    return np.ascontiguousarray(raw.reshape(size, -1).T).view(kind).ravel() if len(raw) else np.empty(0, kind)
+    values = np.empty(len(raw), np.uint8)
+    for i, plane in enumerate(raw.reshape(size, -1)):
+        values[i::size] = plane
+    return values.view(kind)
 
 
 def pack_sorted(keys):
@@ -90,11 +96,19 @@ def tokenize(text):
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []
 
 
+def _numbers():
+    """A dict that gives new words the next number; the end is 0."""
+    numbers = defaultdict()
+    numbers.default_factory = numbers.__len__
+    numbers[END]
+    return numbers
+
+
 def _chunks(docs, doc_id, text, held_out, size):
     """Rows of about `size` tokens: ids, held_out, lengths, vocabulary hashes, tokens as places in it."""
     def run(batches):
         number = TaskContext.get().partitionId() << 32
-        ids, held, lengths, tokens, vocabulary, total = [], [], [], [], {END: 0}, 0
+        ids, held, lengths, tokens, vocabulary, total = [], [], [], [], _numbers(), 0
 
         def row():
             hashes = np.fromiter(map(xxhash.xxh64_intdigest, vocabulary), np.uint64, len(vocabulary))
@@ -109,7 +123,7 @@ def _chunks(docs, doc_id, text, held_out, size):
             for key, text_, out in zip(batch["id"], batch["text"], batch["held"]):
                 words = tokenize(text_)
                 words.append(END)
-                tokens.append(np.array([vocabulary.setdefault(w, len(vocabulary)) for w in words], np.int32))
+                tokens.append(np.fromiter(map(vocabulary.__getitem__, words), np.int32, len(words)))
                 ids.append(key)
                 held.append(out)
                 lengths.append(len(words))
@@ -117,7 +131,7 @@ def _chunks(docs, doc_id, text, held_out, size):
                 if total >= size:
                     yield row()
                     number += 1
-                    ids, held, lengths, tokens, vocabulary, total = [], [], [], [], {END: 0}, 0
+                    ids, held, lengths, tokens, vocabulary, total = [], [], [], [], _numbers(), 0
         if ids:
             yield row()
 
