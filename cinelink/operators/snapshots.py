@@ -181,11 +181,10 @@ class Snapshots:
         """Load gold entities on top of the current snapshot and commit. Returns what `_commit` returns."""
         at = F.current_timestamp() if at is None else at
         version = self.version()
-        good, bad = loading.split_rejected(loading.movie_rows(gold), "rows")
+        good, bad = loading.judged_rows(gold)
         named = together(*[lambda by=_by(n): self._touched(good.where(F.col(by).isNotNull()), by) for n in LOOKUPS])
         asked = {_by(n): self.read(n, buckets, version) for n, buckets in zip(LOOKUPS, named)}
-        ids = loading.target_ids(good, asked)
-        loaded = materialize(good.join(ids, "nr"), "loaded")
+        loaded = loading.with_movies(good, loading.target_ids(good, asked))
         touched, named = together(
             lambda: self._touched(loaded, "movie_id"),
             lambda: self._touched(loaded.select(F.explode("genres").alias("name")).where("name <> ''"), "name"))

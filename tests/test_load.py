@@ -32,6 +32,15 @@ def stored(tables):
     return {n: materialize(df, n) for n, df in tables.items()}
 
 
+def test_rows_move_without_what_no_table_takes(spark, monkeypatch):
+    moved, store = {}, load.materialize
+    monkeypatch.setattr(load, "materialize", lambda df, label, *a: moved.update({label: set(df.columns)}) or store(df, label, *a))
+    tables = load.load(gold(spark, {"tmdb_id": 1, "title_norm": "a", "year": 1990, "genres": ["Horror"]}), at=F.lit(AT))
+    assert not moved["rows"] & {"title_norm", "year", "tier", "pos", "contributors"}
+    assert "movie_id" in moved["loaded"] and "id" not in moved["loaded"]
+    assert [r.id for r in tables["movies"].collect()] == [r.movie_id for r in tables["movie_genres"].collect()]
+
+
 def test_first_load_and_repeat(spark):
     g = gold(
         spark,
