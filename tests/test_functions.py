@@ -125,3 +125,15 @@ def test_rating_rules(spark):
 def test_priorities(spark):
     got = apply(spark, S.source_priority, ["tmdb", "rotten_tomatoes", "kaggle", "imdb", "spark", "other", None])
     assert got == [0, 1, 2, 3, 4, 99, 99]
+
+
+def test_markup_without_content_to_drop_and_usual_references_take_the_short_way(spark):
+    pieces = ["<!--", "-->", "<SCRIPT x>", "</script >", "<scripts>", "<style>", "<p>", "&amp;", "&amp", "&lt;", "&", "amp;", "a"]
+    texts = ["".join(pieces[(i * 7 + j * j * (i % 11 + 1) + i // 13) % len(pieces)] for j in range(i % 9)) for i in range(400)]
+    df = spark.createDataFrame([(t,) for t in texts] + [(None,)], "x string")
+    for unclosed in (True, False):
+        whole = F.col("x")
+        for pattern in text.MARKUP:
+            whole = F.regexp_replace(whole, pattern, " ")
+        whole = text.decode_entities(whole, unclosed)
+        assert df.where(~text.strip_markup(F.col("x"), unclosed).eqNullSafe(whole)).count() == 0
